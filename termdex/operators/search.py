@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termdex.functions.text import query_terms
+from termdex.session import checkpoint_base
 from termdex.sources.index_io import filter_text_lines, parse_lines, read_index, read_text_lines
 
 # Broadcast the batch's distinct terms / query-term rows only below these counts
@@ -129,9 +130,14 @@ def search_batch(
         vocab = F.broadcast(vocab)
     qt_small = n_rows <= max_broadcast_query_terms
 
-    # Postings of the batch's terms only; one shuffle on (term, doc) dedupes them and
-    # is reused by the verifying semi-join below.
+    # Postings of the batch's terms only (the semi-join is pushed below the postings
+    # aggregate, so only these terms' tokens are counted); one shuffle on (term, doc)
+    # dedupes them. They are read three times below, so a reliable checkpoint in the
+    # shared folder cuts the lineage: no second pass over the corpus or the index, and
+    # a lost executor does not send the job back to the scan.
+    checkpoint_base(post.sparkSession)
     rel = post.select("term", "doc").join(vocab, "term", "left_semi").dropDuplicates(["term", "doc"])
+    rel = rel.checkpoint(eager=True)
 
     # Rarest term of each query; a term missing from the index rules the query out.
     dfreq = rel.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -34,6 +34,17 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
     return spark
 
 
+def checkpoint_base(spark: SparkSession) -> str:
+    """The shared checkpoint folder; set to a temporary folder only when unset (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = tempfile.mkdtemp(prefix="termdex-cp-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
@@ -41,14 +52,6 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     Only when neither is set, as in a bare local test session, a temporary folder is
     made and registered as the checkpoint dir, so later calls agree.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        cp = spark.sparkContext.getCheckpointDir()
-        if cp:
-            base = cp
-    if not base:
-        base = tempfile.mkdtemp(prefix="termdex-cp-")
-        spark.sparkContext.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = checkpoint_base(spark)
     name = "-".join(parts) if parts else "work"
     return os.path.join(base.rstrip("/"), f"termdex-{name}-{uuid.uuid4().hex[:12]}")
