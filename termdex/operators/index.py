@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termdex.functions.text import term_array
+from termdex.functions.text import raw_terms
 
-# Documents per posting block when doc keys are integers: a grouped row or text line
-# never holds more than this many postings (about 20 MB of text at most).
-DEFAULT_BLOCK_DOCS = 1 << 20
+# log2 of the documents per posting block when doc keys are integers: a grouped row
+# or text line never holds more than 2**20 postings (about 20 MB of text at most).
+DEFAULT_BLOCK_BITS = 20
 # Hash blocks per term when doc keys are strings (1 = one line per term, as in the reference).
 DEFAULT_STRING_BLOCKS = 1
 
@@ -56,7 +56,8 @@ def tokens(docs: DataFrame, partitions: int | str | None = None) -> DataFrame:
     ``partitions`` spreads the documents before tokenising (see ``spread``).
     """
     src = spread(docs.select("doc", "text"), partitions)
-    return src.select("doc", F.explode(term_array("text")).alias("term"))
+    occ = src.select("doc", F.explode(raw_terms("text")).alias("term"))
+    return occ.select("doc", F.lower("term").alias("term"))
 
 
 def postings(docs: DataFrame, partitions: int | str | None = None) -> DataFrame:
@@ -100,17 +101,17 @@ def stats(post: DataFrame) -> DataFrame:
 def doc_block(
     doc: Column,
     doc_type: T.DataType,
-    block_docs: int = DEFAULT_BLOCK_DOCS,
+    block_bits: int = DEFAULT_BLOCK_BITS,
     string_blocks: int = DEFAULT_STRING_BLOCKS,
 ) -> Column:
     """Block number of a document inside one term's posting list.
 
-    Integer keys: ``doc div block_docs``, so a block holds at most ``block_docs``
-    documents (doc keys are unique within a term). String keys: a hash bucket out
-    of ``string_blocks``.
+    Integer keys: ``doc >> block_bits`` (exact floor division by ``2**block_bits``),
+    so a block holds at most ``2**block_bits`` documents, doc keys being unique
+    within a term. String keys: a hash bucket out of ``string_blocks``.
     """
     if isinstance(doc_type, T.IntegralType):
-        return F.floor(doc / F.lit(block_docs)).cast("bigint")
+        return F.shiftright(doc.cast("bigint"), block_bits)
     if string_blocks <= 1:
         return F.lit(0).cast("bigint")
     return F.pmod(F.xxhash64(doc), F.lit(string_blocks)).cast("bigint")
@@ -118,7 +119,7 @@ def doc_block(
 
 def grouped(
     post: DataFrame,
-    block_docs: int = DEFAULT_BLOCK_DOCS,
+    block_bits: int = DEFAULT_BLOCK_BITS,
     string_blocks: int = DEFAULT_STRING_BLOCKS,
 ) -> DataFrame:
     """A3 + P5: ``(term, block, postings array<struct<doc, tf>>)`` sorted by doc.
@@ -126,7 +127,7 @@ def grouped(
     All of a common term's documents in one row would grow with the corpus, so the
     list is cut into blocks of documents; a term has one row per non-empty block.
     """
-    block = doc_block(F.col("doc"), post.schema["doc"].dataType, block_docs, string_blocks)
+    block = doc_block(F.col("doc"), post.schema["doc"].dataType, block_bits, string_blocks)
     return (
         post.select("term", block.alias("block"), F.struct("doc", "tf").alias("p"))
         .groupBy("term", "block")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termdex.functions.text import SPACES_SEP, TAB_SEP
-from termdex.operators.index import DEFAULT_BLOCK_DOCS, merge_postings, postings, stats, tokens
+from termdex.operators.index import DEFAULT_BLOCK_BITS, merge_postings, postings, stats, tokens
 from termdex.operators.lines import format_lines
 from termdex.operators.search import search_all, search_all_intersect, search_batch, search_stored, batch_terms
 from termdex.session import shared_dir
@@ -212,7 +212,7 @@ def _lines_sql(sep_sql: str) -> str:
     return (
         _post_cte()
         + f"SELECT term || {sep_sql} || string_agg(CAST(doc AS VARCHAR) || ':' || CAST(tf AS VARCHAR), {sep_sql} ORDER BY doc) AS line "
-        f"FROM post GROUP BY term, doc // {DEFAULT_BLOCK_DOCS}"
+        f"FROM post GROUP BY term, doc >> {DEFAULT_BLOCK_BITS}"
     )
 
 

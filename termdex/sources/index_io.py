@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termdex.functions.text import TAB_SEP, WHITESPACE_CLASS
-from termdex.operators.index import DEFAULT_BLOCK_DOCS, DEFAULT_STRING_BLOCKS
+from termdex.operators.index import DEFAULT_BLOCK_BITS, DEFAULT_STRING_BLOCKS
 from termdex.operators.lines import format_lines, parse_lines
 
 LAYOUTS = ("hash", "round", "range")
@@ -42,7 +42,7 @@ def write_text_index(
     parts: int | None = None,
     sep: str = TAB_SEP,
     layout: str = "hash",
-    block_docs: int = DEFAULT_BLOCK_DOCS,
+    block_bits: int = DEFAULT_BLOCK_BITS,
     string_blocks: int = DEFAULT_STRING_BLOCKS,
     mode: str = "errorifexists",
 ) -> None:
@@ -54,7 +54,7 @@ def write_text_index(
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    lines = format_lines(post, sep, block_docs, string_blocks)
+    lines = format_lines(post, sep, block_bits, string_blocks)
     if layout == "hash":
         if parts:
             lines = lines.repartition(parts, "term")

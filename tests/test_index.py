@@ -82,7 +82,7 @@ def test_merge_needs_input():
 def test_grouped_blocks_bound_rows(spark):
     docs = from_table(read_table(spark, SF_SMALL, "documents"))
     post = postings(docs)
-    g = grouped(post, block_docs=16)
+    g = grouped(post, block_bits=4)
     assert g.select(F.max(F.size("postings"))).first()[0] <= 16
     flat = g.select("term", F.explode("postings").alias("p")).select("term", "p.doc", "p.tf")
     assert flat.exceptAll(post).count() == 0 and post.exceptAll(flat).count() == 0
@@ -94,7 +94,7 @@ def test_blocked_lines_read_back(spark, tmp_path):
     docs = from_table(read_table(spark, SF_SMALL, "documents"))
     post = postings(docs)
     path = str(tmp_path / "idx")
-    write_text_index(post, path, parts=3, block_docs=16)
+    write_text_index(post, path, parts=3, block_bits=4)
     back = read_text_index(spark, path).select("term", F.col("doc").cast("bigint").alias("doc"), "tf")
     assert back.exceptAll(post).count() == 0 and post.exceptAll(back).count() == 0
 
