@@ -19,6 +19,7 @@ from termdex.operators.search import search_all, search_all_intersect, search_ba
 from termdex.session import shared_dir
 from termdex.sources.files import from_table, read_table
 from termdex.sources.index_io import read_index, read_text_index, write_index, write_text_index
+from termdex.streaming.ingest import index_stream, read_merged, stream_table
 
 # Search parameters of the registered queries (constants of the query, not data).
 SEARCH_QUERY = "The  of AND"
@@ -132,6 +133,17 @@ def q_merge_postings(spark, sf):
     return merge_postings(a, b)
 
 
+def q_postings_streamed(spark, sf):
+    # Structured Streaming over the documents table: postings per micro-batch, merged
+    # on read. The brace glob names exactly documents.parquet (a stream source needs
+    # a folder or a glob, not a file).
+    schema = read_table(spark, sf, "documents").schema
+    src = stream_table(spark, f"{sf.rstrip('/')}/{{documents}}.parquet", schema, "doc_id", "text", max_files=1)
+    path = shared_dir(spark, "stream-index")
+    index_stream(src, path).awaitTermination()
+    return read_merged(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tokens": q_tokens,
     "postings": q_postings,
@@ -151,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_stored_parquet": q_search_stored_parquet,
     "search_stored_text": q_search_stored_text,
     "merge_postings": q_merge_postings,
+    "postings_streamed": q_postings_streamed,
 }
 
 
@@ -235,4 +248,5 @@ ORACLE_SQL: dict[str, str] = {
     "search_stored_parquet": _search_sql(STORED_QUERY),
     "search_stored_text": _search_sql(STORED_QUERY),
     "merge_postings": _post_cte("conversations", "conv_id", "text") + "SELECT term, doc, tf FROM post",
+    "postings_streamed": _post_cte() + "SELECT term, doc, tf FROM post",
 }
