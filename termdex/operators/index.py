@@ -43,10 +43,12 @@ def spread(df: DataFrame, partitions: int | str | None = "auto") -> DataFrame:
     if partitions is None or partitions == 0:
         return df
     if partitions == "auto":
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
+        try:
+            slots = df.sparkSession.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
             return df
-        return df.repartition(slots)
+        return df if splits >= slots else df.repartition(slots)
     return df.repartition(int(partitions))
 
 

@@ -36,12 +36,19 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
 
 def checkpoint_base(spark: SparkSession) -> str:
     """The shared checkpoint folder; set to a temporary folder only when unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's own settings apply
+        sc = None
+    base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not base:
         base = tempfile.mkdtemp(prefix="termdex-cp-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # a core setting may be read-only at run time
+            pass
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base
 
 
