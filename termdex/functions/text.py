@@ -60,8 +60,12 @@ def term_array(text: Column | str) -> Column:
 
 
 def split_words(text: Column | str) -> Column:
-    """Split on Unicode whitespace runs and drop empty strings (Python ``str.split()``)."""
-    return F.array_remove(F.split(_col(text), WHITESPACE_RUN), "")
+    """Words between Unicode whitespace runs, no empties (Python ``str.split()``).
+
+    Extracting the non-blank runs is one regex pass and much faster than a regex
+    ``split`` followed by removing empty strings; the result is the same.
+    """
+    return F.regexp_extract_all(_col(text), F.lit(f"[^{WHITESPACE_CLASS}]+"), 0)
 
 
 def query_terms(query: Column | str, clean_query: bool = False) -> Column:

@@ -39,10 +39,16 @@ def spread(df: DataFrame, partitions: int | str | None = "auto") -> DataFrame:
     ``"auto"`` repartitions only when the scan has fewer splits than the cluster
     has task slots (a single large Parquet row group is read by one task). A big
     input has many more splits than slots, so ``auto`` adds no shuffle there.
+    A plan that already shuffles is left alone; its split count is only read for
+    exchange-free plans, where that needs no job (with AQE it would run the stages).
     """
     if partitions is None or partitions == 0:
         return df
     if partitions == "auto":
+        from termdex.plans.inspect import exchanges
+
+        if exchanges(df):
+            return df
         try:
             slots = df.sparkSession.sparkContext.defaultParallelism
             splits = df.rdd.getNumPartitions()

@@ -66,6 +66,8 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
         )
     )
     has_sep = F.instr("e", ENTRY_SEP) > 0
-    doc = F.when(has_sep, F.regexp_extract("e", "^(.*):[^:]*$", 1)).otherwise(F.col("e"))
-    tf = F.when(has_sep, F.substring_index("e", ENTRY_SEP, -1).cast("bigint"))
+    tail = F.substring_index("e", ENTRY_SEP, -1)
+    head = F.substring("e", F.lit(1), F.length("e") - F.length(tail) - F.lit(1))
+    doc = F.when(has_sep, head).otherwise(F.col("e"))
+    tf = F.when(has_sep, tail.cast("bigint"))
     return entries.select("term", doc.alias("doc"), tf.alias("tf"))

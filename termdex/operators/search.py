@@ -100,6 +100,10 @@ def search_stored(spark: SparkSession, path: str, query: str, fmt: str = "parque
     return _divide(post.filter(F.col("term").isin(terms)), len(terms))
 
 
+def _side(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df.hint("merge")
+
+
 def batch_terms(queries: DataFrame, clean_query: bool = False) -> DataFrame:
     """P11 for a table of queries -> ``(query_id, term, n)``, n = distinct terms of the query."""
     arr = query_terms(F.col("query"), clean_query)
@@ -125,10 +129,12 @@ def search_batch(
     if n_rows == 0:
         return post.select(F.lit(None).cast("bigint").alias("query_id"), "doc").filter(F.lit(False))
 
-    vocab = qt.select("term").distinct()
-    if n_vocab <= max_broadcast_terms:
-        vocab = F.broadcast(vocab)
+    # Counted sizes decide every join strategy on the query side: broadcast below
+    # the limits, a forced shuffle (sort-merge) join above them, whatever the
+    # planner's estimates say.
+    terms_small = n_vocab <= max_broadcast_terms
     qt_small = n_rows <= max_broadcast_query_terms
+    vocab = _side(qt.select("term").distinct(), terms_small)
 
     # Postings of the batch's terms only (the semi-join is pushed below the postings
     # aggregate, so only these terms' tokens are counted); one shuffle on (term, doc)
@@ -141,7 +147,7 @@ def search_batch(
 
     # Rarest term of each query; a term missing from the index rules the query out.
     dfreq = rel.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    dfreq = F.broadcast(dfreq) if n_vocab <= max_broadcast_terms else dfreq
+    dfreq = _side(dfreq, terms_small)
     rare = (
         qt.join(dfreq, "term", "left")
         .groupBy("query_id")
@@ -152,11 +158,11 @@ def search_batch(
         .filter(F.col("r.df") > 0)
         .select("query_id", F.col("r.term").alias("term"), "n")
     )
-    rare = F.broadcast(rare) if qt_small else rare
+    rare = _side(rare, qt_small)
 
     cand = rel.join(rare, "term").select("query_id", "doc", "n")
     qside = qt.select("query_id", "term")
-    qside = F.broadcast(qside) if qt_small else qside
+    qside = _side(qside, qt_small)
     probes = cand.join(qside, "query_id")
     hits = probes.join(rel, ["term", "doc"], "left_semi")
     return (

@@ -56,3 +56,34 @@ def test_search_filter_below_postings_aggregate(spark):
     i_filter = next(i for i, ln in enumerate(lines) if "IN (the,of)" in ln)
     i_first_exchange = next(i for i, ln in enumerate(lines) if "Exchange hash" in ln)
     assert i_filter > i_first_exchange  # deeper in the tree than the first exchange
+
+
+def test_no_pairwise_join_in_any_query(spark):
+    # no cross product or nested-loop join anywhere, and no Python worker
+    for name, fn in QUERIES.items():
+        plan = inspect.plan_string(fn(spark, SF_SMALL))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in plan, (name, bad)
+        assert not any(n in plan for n in inspect.PYTHON_NODES), name
+
+
+def test_spread_only_when_scan_is_narrow(spark):
+    from termdex.operators.index import spread
+
+    narrow = _docs(spark)  # one row group -> fewer splits than task slots
+    assert "RoundRobinPartitioning" in inspect.plan_string(spread(narrow, "auto"))
+    shuffled = narrow.repartition(spark.sparkContext.defaultParallelism * 2)
+    assert inspect.plan_string(spread(shuffled, "auto")).count("RoundRobinPartitioning") == 1
+    assert "RoundRobinPartitioning" not in inspect.plan_string(spread(narrow, None))
+
+
+def test_batch_search_broadcasts_only_small_sides(spark):
+    from termdex.operators.search import search_batch
+
+    post = postings(_docs(spark))
+    qs = read_table(spark, SF_SMALL, "benchmark").selectExpr("item_id AS query_id", "text AS query")
+    small = inspect.plan_string(search_batch(post, qs, clean_query=True))
+    assert "BroadcastExchange" in small
+    big = inspect.plan_string(search_batch(post, qs, True, max_broadcast_terms=0, max_broadcast_query_terms=0))
+    # when the counted sizes are over the limits, the query-side joins are shuffled
+    assert big.count("SortMergeJoin") >= 3
