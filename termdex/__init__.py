@@ -10,6 +10,7 @@ from termdex.operators.lines import format_lines, parse_lines
 from termdex.operators.search import (
     batch_terms,
     parse_query,
+    resident_index,
     search_all,
     search_all_intersect,
     search_batch,
@@ -21,6 +22,6 @@ from termdex.sources.index_io import read_index, read_text_index, write_index, w
 __all__ = [
     "batch_terms", "clean", "doc_name", "format_lines", "from_table", "grouped", "merge_postings",
     "parse_lines", "parse_query", "postings", "query_terms", "read_index", "read_lines", "read_table",
-    "read_text_index", "read_whole", "search_all", "search_all_intersect", "search_batch",
+    "read_text_index", "read_whole", "resident_index", "search_all", "search_all_intersect", "search_batch",
     "search_stored", "stats", "term_array", "tokens", "write_index", "write_text_index",
 ]

@@ -81,6 +81,21 @@ def search_all_intersect(post: DataFrame, query: str, clean_query: bool = False)
     return reduce(lambda a, b: a.intersect(b), sets).distinct()
 
 
+def resident_index(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Q2: load a stored index once and keep ``(term, doc)`` cached on the executors.
+
+    Counts are dropped, as the resident reader does; ``search_all`` over the result
+    answers each later query from memory (a lost block is recomputed from storage).
+    """
+    if fmt == "parquet":
+        post = read_index(spark, path)
+    elif fmt == "text":
+        post = parse_lines(read_text_lines(spark, path))
+    else:
+        raise ValueError("fmt must be 'parquet' or 'text'")
+    return post.select("term", "doc").cache()
+
+
 def search_stored(spark: SparkSession, path: str, query: str, fmt: str = "parquet", clean_query: bool = False) -> DataFrame:
     """Q3 + S7 + Q5: search an index on storage, reading only the query terms.
 

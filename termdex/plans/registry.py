@@ -80,6 +80,15 @@ def q_index_lines_spaces(spark, sf):
     return format_lines(documents_postings(spark, sf), SPACES_SEP).select("line")
 
 
+# Small blocks for the bounded-row check: at most 2**6 = 64 postings per line.
+SMALL_BLOCK_BITS = 6
+
+
+def q_index_lines_blocked(spark, sf):
+    # A common term's posting list cut into lines of at most 64 documents each.
+    return format_lines(documents_postings(spark, sf), TAB_SEP, block_bits=SMALL_BLOCK_BITS).select("line")
+
+
 def q_parse_index_lines(spark, sf):
     path = shared_dir(spark, "text-index")
     write_text_index(documents_postings(spark, sf), path)
@@ -153,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_stats": q_index_stats,
     "index_lines_tab": q_index_lines_tab,
     "index_lines_spaces": q_index_lines_spaces,
+    "index_lines_blocked": q_index_lines_blocked,
     "parse_index_lines": q_parse_index_lines,
     "read_index_parquet": q_read_index_parquet,
     "query_terms": q_query_terms,
@@ -221,11 +231,11 @@ def _search_sql(query: str) -> str:
     )
 
 
-def _lines_sql(sep_sql: str) -> str:
+def _lines_sql(sep_sql: str, bits: int = DEFAULT_BLOCK_BITS) -> str:
     return (
         _post_cte()
         + f"SELECT term || {sep_sql} || string_agg(CAST(doc AS VARCHAR) || ':' || CAST(tf AS VARCHAR), {sep_sql} ORDER BY doc) AS line "
-        f"FROM post GROUP BY term, doc >> {DEFAULT_BLOCK_BITS}"
+        f"FROM post GROUP BY term, doc >> {bits}"
     )
 
 
@@ -238,6 +248,7 @@ ORACLE_SQL: dict[str, str] = {
     "index_stats": _post_cte() + "SELECT count(DISTINCT term) AS num_terms, CAST(sum(tf) AS BIGINT) AS tot_terms FROM post",
     "index_lines_tab": _lines_sql("chr(9)"),
     "index_lines_spaces": _lines_sql("'    '"),
+    "index_lines_blocked": _lines_sql("chr(9)", SMALL_BLOCK_BITS),
     "parse_index_lines": _post_cte() + "SELECT term, CAST(doc AS VARCHAR) AS doc, tf FROM post",
     "read_index_parquet": _post_cte() + "SELECT term, doc, tf FROM post",
     "query_terms": "WITH " + _qt_cte(False) + "SELECT query_id, term FROM qt",

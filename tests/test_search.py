@@ -114,3 +114,15 @@ def test_random_corpora_against_brute_force(spark):
         assert sorted(got.get(qid, [])) == brute(q), q
     for qid, q in queries[:6]:
         assert _docs(search_all(post, q)) == brute(q)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "text"])
+def test_resident_index_answers_like_stored(spark, hand_post, tmp_path, fmt):
+    from termdex.operators.search import resident_index
+
+    path = str(tmp_path / "index")
+    (write_index if fmt == "parquet" else write_text_index)(hand_post, path)
+    res = resident_index(spark, path, fmt)
+    for query, expected in HAND_QUERIES:
+        assert _docs(search_all(res, query)) == expected
+    res.unpersist()
