@@ -28,8 +28,11 @@ from termdex.functions.text import raw_terms
 # log2 of the documents per posting block when doc keys are integers: a grouped row
 # or text line never holds more than 2**20 postings (about 20 MB of text at most).
 DEFAULT_BLOCK_BITS = 20
-# Hash blocks per term when doc keys are strings (1 = one line per term, as in the reference).
-DEFAULT_STRING_BLOCKS = 1
+# String doc keys: None = number documents and block exactly (see with_block);
+# k = that many hash buckets per term (1 = one line per term, as in the reference).
+DEFAULT_STRING_BLOCKS = None
+# Broadcast the document-number dictionary only below this (counted) size.
+MAX_BROADCAST_DOCS = 5_000_000
 
 
 def spread(df: DataFrame, partitions: int | str | None = "auto") -> DataFrame:
@@ -110,34 +113,70 @@ def doc_block(
     doc: Column,
     doc_type: T.DataType,
     block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int = DEFAULT_STRING_BLOCKS,
+    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
 ) -> Column:
-    """Block number of a document inside one term's posting list.
+    """Block number of a document inside one term's posting list (integer keys).
 
-    Integer keys: ``doc >> block_bits`` (exact floor division by ``2**block_bits``),
-    so a block holds at most ``2**block_bits`` documents, doc keys being unique
-    within a term. String keys: a hash bucket out of ``string_blocks``.
+    ``doc >> block_bits`` is exact floor division by ``2**block_bits``, so a block
+    holds at most ``2**block_bits`` documents, doc keys being unique within a term.
+    For string keys with ``string_blocks`` set: a hash bucket out of that many.
     """
     if isinstance(doc_type, T.IntegralType):
         return F.shiftright(doc.cast("bigint"), block_bits)
-    if string_blocks <= 1:
+    if not string_blocks or string_blocks <= 1:
         return F.lit(0).cast("bigint")
     return F.pmod(F.xxhash64(doc), F.lit(string_blocks)).cast("bigint")
 
 
+def doc_numbers(post: DataFrame, max_broadcast: int = MAX_BROADCAST_DOCS) -> tuple[DataFrame, bool]:
+    """Give every distinct document a unique integer ``doc_no`` -> ``((doc, doc_no), small)``.
+
+    The numbers are fixed once with a reliable checkpoint (a recomputed partition
+    could otherwise number documents differently). ``small`` tells whether the
+    counted dictionary may be broadcast.
+    """
+    from termdex.session import checkpoint_base
+
+    checkpoint_base(post.sparkSession)
+    numbered = post.select("doc").distinct().withColumn("doc_no", F.monotonically_increasing_id())
+    numbered = numbered.checkpoint(eager=True)
+    return numbered, numbered.count() <= max_broadcast
+
+
+def with_block(
+    post: DataFrame,
+    block_bits: int = DEFAULT_BLOCK_BITS,
+    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
+) -> DataFrame:
+    """``post`` plus a ``block`` column bounding every (term, block) group.
+
+    Integer doc keys: ``doc >> block_bits``. String keys, ``string_blocks=None``
+    (default): documents are numbered once (``doc_numbers``) and blocked by
+    ``doc_no >> block_bits``, so the bound is exact for file names too. String keys
+    with ``string_blocks=k``: ``k`` hash buckets (``1`` = one line per term, as the
+    reference writes it).
+    """
+    doc_type = post.schema["doc"].dataType
+    if isinstance(doc_type, T.IntegralType) or string_blocks:
+        return post.withColumn("block", doc_block(F.col("doc"), doc_type, block_bits, string_blocks))
+    numbered, small = doc_numbers(post)
+    numbered = F.broadcast(numbered) if small else numbered.hint("merge")
+    return post.join(numbered, "doc").withColumn("block", F.shiftright("doc_no", block_bits)).drop("doc_no")
+
+
 def grouped(
     post: DataFrame,
     block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int = DEFAULT_STRING_BLOCKS,
+    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
 ) -> DataFrame:
     """A3 + P5: ``(term, block, postings array<struct<doc, tf>>)`` sorted by doc.
 
     All of a common term's documents in one row would grow with the corpus, so the
     list is cut into blocks of documents; a term has one row per non-empty block.
     """
-    block = doc_block(F.col("doc"), post.schema["doc"].dataType, block_bits, string_blocks)
     return (
-        post.select("term", block.alias("block"), F.struct("doc", "tf").alias("p"))
+        with_block(post, block_bits, string_blocks)
+        .select("term", "block", F.struct("doc", "tf").alias("p"))
         .groupBy("term", "block")
         .agg(F.sort_array(F.collect_list("p")).alias("postings"))
     )

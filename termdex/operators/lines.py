@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termdex.functions.text import ENTRY_SEP, TAB_SEP, WHITESPACE_RUN, split_words
-from termdex.operators.index import DEFAULT_BLOCK_BITS, DEFAULT_STRING_BLOCKS, doc_block
+from termdex.operators.index import DEFAULT_BLOCK_BITS, DEFAULT_STRING_BLOCKS, with_block
 
 
 def format_lines(
     post: DataFrame,
     sep: str = TAB_SEP,
     block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int = DEFAULT_STRING_BLOCKS,
+    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
 ) -> DataFrame:
     """P6-P8 over A3: ``(term, block, line)``.
 
@@ -36,9 +36,9 @@ def format_lines(
             F.raise_error(F.concat(F.lit("doc name with whitespace cannot be written as text: "), doc)),
         ).otherwise(doc)
     entry = F.concat(doc_str, F.lit(ENTRY_SEP), F.col("tf").cast("string"))
-    block = doc_block(doc, doc_type, block_bits, string_blocks)
     return (
-        post.select("term", block.alias("block"), F.struct(doc.alias("d"), entry.alias("e")).alias("p"))
+        with_block(post, block_bits, string_blocks)
+        .select("term", "block", F.struct(doc.alias("d"), entry.alias("e")).alias("p"))
         .groupBy("term", "block")
         .agg(F.sort_array(F.collect_list("p")).alias("ps"))
         .select(

@@ -43,7 +43,7 @@ def write_text_index(
     sep: str = TAB_SEP,
     layout: str = "hash",
     block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int = DEFAULT_STRING_BLOCKS,
+    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
     mode: str = "errorifexists",
 ) -> None:
     """K1-K4 with P6-P8: write the index as text lines.

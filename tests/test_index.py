@@ -170,3 +170,20 @@ def test_text_lines_reader_reads_all_parts(spark, hand_docs, tmp_path):
     path = str(tmp_path / "idx")
     write_text_index(postings(hand_docs), path, parts=2)
     assert read_text_lines(spark, path).count() == 11
+
+
+def test_string_doc_lines_are_bounded(spark, tmp_path):
+    # ten files all holding "cloud": with 2-document blocks no line has more than 2 entries
+    docs = spark.createDataFrame([(f"f{i}.txt", "cloud computing") for i in range(10)], "doc string, text string")
+    post = postings(docs)
+    lines = format_lines(post, block_bits=1).select("line").collect()
+    assert max(len(r["line"].split("\t")) - 1 for r in lines) <= 2
+    assert len([r for r in lines if r["line"].startswith("cloud\t")]) == 5
+    g = grouped(post, block_bits=1)
+    assert g.select(F.max(F.size("postings"))).first()[0] <= 2
+    path = str(tmp_path / "idx")
+    write_text_index(post, path, block_bits=1)
+    assert _post_set(read_text_index(spark, path)) == _post_set(post)
+    # one line per term, as the reference writes it, on request
+    one = format_lines(post, string_blocks=1).select("line").collect()
+    assert sorted(r["line"] for r in one)[0] == "cloud\t" + "\t".join(f"f{i}.txt:1" for i in range(10))
