@@ -71,3 +71,30 @@ def test_query_terms_spark_and_driver_agree(spark, query, clean_query, expected)
 def test_doc_name_decodes(spark, path, expected):
     df = spark.createDataFrame([(path,)], "p string")
     assert df.select(doc_name("p").alias("d")).first()["d"] == expected
+
+
+def test_whitespace_split_equals_python_for_every_bmp_char(spark):
+    # N9: "a<c>b" splits exactly where Python's str.split() does, for every BMP character
+    from termdex.functions.text import split_words
+
+    chars = [c for c in range(1, 0x10000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(c, f"a{chr(c)}b") for c in chars], "c int, s string")
+    got = {r["c"]: r["w"] for r in df.select("c", split_words("s").alias("w")).collect()}
+    bad = [c for c in chars if got[c] != f"a{chr(c)}b".split()]
+    assert bad == []
+
+
+def test_tokeniser_equals_reference_rule_on_random_text(spark):
+    # Clean (keep [a-zA-Z0-9] and whitespace), lower, split -- as a Python rule
+    import random
+    import re
+
+    rule = re.compile(r"[^a-zA-Z0-9\s]")
+    alphabet = list("aZ09 x-_.,'!\t\n\r") + ["\x0b", "\x0c", "\x1c", "\x85", "\xa0", " ", "　",
+                                            "é", "ß", "İ", "K", "ﬁ", "Ω", "ｆ", "😀", "�"]
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: r["a"] for r in df.select("i", term_array("t").alias("a")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == rule.sub(" ", t).lower().split(), repr(t)
