@@ -8,8 +8,10 @@ documents that hold all distinct terms.
 Many queries (Q6): joining every query term with every posting of that term would
 emit (queries holding t) x (documents holding t) rows for a common term t. Instead
 each query is seeded with its rarest term, whose posting list bounds the answer, and
-each candidate (query, doc) then checks the query's other terms with a semi-join on
-(term, doc). Work is at most n_terms x df(rarest term) per query, and exact.
+each candidate (query, doc) then checks the query's terms against the postings on
+(term, doc). Work is at most n_terms x df(rarest term) per query, and exact. The
+number of such probes is counted from small tables first: few probes are broadcast
+and looked up without moving the postings; many probes use a shuffled semi-join.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from termdex.sources.index_io import filter_text_lines, parse_lines, read_index,
 # (checked with one aggregate over the query table); beyond, Spark shuffles.
 MAX_BROADCAST_TERMS = 2_000_000
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
+# Look candidates up by broadcasting them only below this counted number of probes.
+MAX_BROADCAST_PROBES = 5_000_000
 
 _PY_NON_TERM = re.compile(r"[^a-zA-Z0-9]+")
 
@@ -133,6 +137,7 @@ def search_batch(
     clean_query: bool = False,
     max_broadcast_terms: int = MAX_BROADCAST_TERMS,
     max_broadcast_query_terms: int = MAX_BROADCAST_QUERY_TERMS,
+    max_broadcast_probes: int = MAX_BROADCAST_PROBES,
 ) -> DataFrame:
     """Q6: answer a table ``queries(query_id, query)`` -> ``(query_id, doc)``.
 
@@ -152,17 +157,15 @@ def search_batch(
     vocab = _side(qt.select("term").distinct(), terms_small)
 
     # Postings of the batch's terms only (the semi-join is pushed below the postings
-    # aggregate, so only these terms' tokens are counted); one shuffle on (term, doc)
-    # dedupes them. They are read three times below, so a reliable checkpoint in the
-    # shared folder cuts the lineage: no second pass over the corpus or the index, and
-    # a lost executor does not send the job back to the scan.
+    # aggregate, so only these terms' tokens are counted). They are read three times
+    # below, so a reliable checkpoint in the shared folder cuts the lineage: no
+    # second pass over the corpus or the index, and a lost executor does not send
+    # the job back to the scan.
     checkpoint_base(post.sparkSession)
-    rel = post.select("term", "doc").join(vocab, "term", "left_semi").dropDuplicates(["term", "doc"])
-    rel = rel.checkpoint(eager=True)
+    rel = post.select("term", "doc").join(vocab, "term", "left_semi").checkpoint(eager=True)
 
     # Rarest term of each query; a term missing from the index rules the query out.
-    dfreq = rel.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    dfreq = _side(dfreq, terms_small)
+    dfreq = _side(rel.groupBy("term").agg(F.count(F.lit(1)).alias("df")), terms_small)
     rare = (
         qt.join(dfreq, "term", "left")
         .groupBy("query_id")
@@ -171,18 +174,22 @@ def search_batch(
             F.max("n").alias("n"),
         )
         .filter(F.col("r.df") > 0)
-        .select("query_id", F.col("r.term").alias("term"), "n")
+        .select("query_id", F.col("r.term").alias("term"), F.col("r.df").alias("df"), "n")
     )
-    rare = _side(rare, qt_small)
-
-    cand = rel.join(rare, "term").select("query_id", "doc", "n")
-    qside = qt.select("query_id", "term")
-    qside = _side(qside, qt_small)
-    probes = cand.join(qside, "query_id")
-    hits = probes.join(rel, ["term", "doc"], "left_semi")
+    # Exact number of (query, candidate doc, query term) probes, from small tables only.
+    n_probes = int(rare.agg(F.coalesce(F.sum(F.col("df") * F.col("n")), F.lit(0))).first()[0])
+
+    cand = rel.join(_side(rare.drop("df"), qt_small), "term").select("query_id", "doc", "n")
+    probes = cand.join(_side(qt.select("query_id", "term"), qt_small), "query_id")
+    if n_probes <= max_broadcast_probes:
+        # the probes are few: look them up in the postings without moving the postings
+        hits = rel.join(F.broadcast(probes), ["term", "doc"])
+    else:
+        hits = probes.join(rel.hint("merge"), ["term", "doc"], "left_semi")
+    # a distinct count keeps the answer exact if a foreign index repeats a (term, doc) pair
     return (
         hits.groupBy("query_id", "doc", "n")
-        .agg(F.count(F.lit(1)).alias("k"))
+        .agg(F.count_distinct("term").alias("k"))
         .filter(F.col("k") == F.col("n"))
         .select("query_id", "doc")
     )

@@ -51,9 +51,18 @@ def test_search_batch_matches_hand_table(spark, hand_post):
 
 def test_search_batch_without_broadcast(spark, hand_post):
     qs = spark.createDataFrame([(i, q) for i, (q, _) in enumerate(HAND_QUERIES)], "query_id bigint, query string")
+    want = sorted(map(tuple, search_batch(hand_post, qs).collect()))
     got = search_batch(hand_post, qs, max_broadcast_terms=0, max_broadcast_query_terms=0)
-    want = search_batch(hand_post, qs)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, got.collect())) == want
+    got = search_batch(hand_post, qs, max_broadcast_terms=0, max_broadcast_query_terms=0, max_broadcast_probes=0)
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_foreign_duplicates_on_shuffled_path(spark):
+    post = spark.createDataFrame([("a", "d1", 1), ("a", "d1", 1), ("b", "d2", 1)], "term string, doc string, tf bigint")
+    qs = spark.createDataFrame([(1, "a b"), (2, "a")], "query_id bigint, query string")
+    got = search_batch(post, qs, max_broadcast_terms=0, max_broadcast_query_terms=0, max_broadcast_probes=0)
+    assert sorted(map(tuple, got.collect())) == [(2, "d1")]
 
 
 def test_search_batch_all_empty_queries(spark, hand_post):
