@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from termdex.operators.index import merge_postings, postings, stats  # noqa: E402
+from termdex.operators.index import merge_postings, postings, spread, stats  # noqa: E402
 from termdex.operators.search import search_all, search_batch, search_stored  # noqa: E402
 from termdex.plans.registry import SEARCH_QUERY, STORED_QUERY, benchmark_queries, documents  # noqa: E402
 from termdex.session import local_session, shared_dir  # noqa: E402
@@ -99,6 +99,15 @@ def main() -> None:
     cold.pop("_pq_path")
     q = _steps(spark, sf_dir)
     docs = documents(spark, sf_dir)
+
+    # The reference's matrix: the same build written as 1, 5 or 15 output parts
+    # (its reducer / partition counts). Reported apart from the headline total.
+    matrix = {}
+    for parts in (1, 5, 15):
+        path = shared_dir(spark, f"bench-text-{parts}")
+        matrix[f"build_text_index_parts_{parts}"] = _timed(
+            lambda: write_text_index(postings(docs, SPREAD), path, parts=parts)
+        )
     idx = read_index(spark, q.pop("_pq_path"))
 
     # throughput of the build (A8): occurrences and input text per second
@@ -118,6 +127,9 @@ def main() -> None:
                 "startup_sec": startup,
                 "cold_total": round(sum(cold.values()), 3),
                 "cold_queries": cold,
+                "parts_matrix": matrix,
+                "input_splits": docs.rdd.getNumPartitions(),
+                "spread_partitions": spread(docs, SPREAD).rdd.getNumPartitions(),
                 "num_terms": info["num_terms"],
                 "tot_terms": info["tot_terms"],
                 "text_mb": round(text_bytes / 1e6, 2),
