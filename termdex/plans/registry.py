@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 from termdex.functions.text import SPACES_SEP, TAB_SEP
 from termdex.operators.index import DEFAULT_BLOCK_BITS, merge_postings, postings, stats, tokens
 from termdex.operators.lines import format_lines
-from termdex.operators.search import search_all, search_all_intersect, search_batch, search_stored, batch_terms
+from termdex.operators.search import (
+    batch_terms,
+    parse_query,
+    search_all,
+    search_all_intersect,
+    search_batch,
+    search_stored,
+)
 from termdex.session import shared_dir
 from termdex.sources.files import from_table, read_table
 from termdex.sources.index_io import read_index, read_text_index, write_index, write_text_index
@@ -222,8 +229,6 @@ def _batch_sql(clean: bool) -> str:
 
 
 def _search_sql(query: str) -> str:
-    from termdex.operators.search import parse_query
-
     terms = parse_query(query)
     return (
         _post_cte() + f"SELECT doc FROM post WHERE term IN ({_sql_terms(terms)}) "

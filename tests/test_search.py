@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from termdex.operators.index import postings
 from termdex.operators.search import search_all, search_all_intersect, search_batch, search_stored
