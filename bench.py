@@ -26,7 +26,7 @@ from termdex.operators.index import merge_postings, postings, stats  # noqa: E40
 from termdex.operators.search import search_all, search_batch, search_stored  # noqa: E402
 from termdex.plans.registry import SEARCH_QUERY, STORED_QUERY, benchmark_queries, documents  # noqa: E402
 from termdex.session import local_session, shared_dir  # noqa: E402
-from termdex.sources.files import from_table, read_table  # noqa: E402
+from termdex.sources.files import from_table, read_lines, read_table  # noqa: E402
 from termdex.sources.index_io import read_index, write_index, write_text_index  # noqa: E402
 
 SPREAD = "auto"
@@ -100,6 +100,17 @@ def main() -> None:
     q = _steps(spark, sf_dir)
     docs = documents(spark, sf_dir)
 
+    # The reference's input shape: the corpus as a folder of 10 or 20 text files
+    # (written by Spark from the documents table, untimed), indexed by line scan.
+    files = {}
+    for n in (10, 20):
+        corpus = shared_dir(spark, f"bench-corpus-{n}")
+        docs.select("text").repartition(n).write.text(corpus)
+        out = shared_dir(spark, f"bench-files-index-{n}")
+        files[f"build_text_index_{n}_files"] = _timed(
+            lambda: write_text_index(postings(read_lines(spark, corpus), SPREAD), out)
+        )
+
     # The reference's matrix: the same build written as 1, 5 or 15 output parts
     # (its reducer / partition counts). Reported apart from the headline total.
     matrix = {}
@@ -130,6 +141,7 @@ def main() -> None:
                 "cold_total": round(sum(cold.values()), 3),
                 "cold_queries": cold,
                 "parts_matrix": matrix,
+                "file_corpus": files,
                 "input_splits": splits,
                 "spread_partitions": max(splits, slots),
                 "num_terms": info["num_terms"],

@@ -63,3 +63,24 @@ def test_bad_utf8_bytes_become_separators(spark, tmp_path):
     (d / "x.txt").write_bytes(bytes([0x64, 0xFF, 0x20, 0x65]))
     terms = sorted(r["term"] for r in postings(read_whole(spark, str(d))).collect())
     assert terms == ["d", "e"]
+
+
+def test_table_written_as_files_gives_same_stats(spark, tmp_path):
+    # the reference's input shape: a folder of text files, scanned line by line
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from termdex.operators.index import stats
+    from termdex.sources.files import from_table, read_table
+
+    docs = from_table(read_table(spark, SF_SMALL, "documents"))
+    corpus = str(tmp_path / "corpus")
+    docs.select("text").repartition(4).write.text(corpus)
+    by_file = postings(read_lines(spark, corpus))
+    assert by_file.select("doc").distinct().count() == 4
+    want, got = stats(postings(docs)).first(), stats(by_file).first()
+    assert (got["num_terms"], got["tot_terms"]) == (want["num_terms"], want["tot_terms"])
+    # per term, the counts summed over files equal the counts summed over documents
+    a = postings(docs).groupBy("term").agg(F.sum("tf").alias("n"))
+    b = by_file.groupBy("term").agg(F.sum("tf").alias("n"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
