@@ -26,7 +26,6 @@ from pyspark.sql.types import StructType
 
 from termdex.functions.text import doc_name
 from termdex.operators.index import merge_postings, postings
-from termdex.session import shared_dir
 from termdex.sources.index_io import write_index
 
 
@@ -65,9 +64,11 @@ def index_stream(
 
     ``available_now=True`` indexes everything present and stops (batch-like runs
     that resume from the checkpoint); otherwise the query runs on ``processing_time``.
+    The checkpoint defaults to ``<index_path>/_checkpoint`` (hidden from Parquet
+    readers), so restarting on the same index resumes instead of indexing old
+    input again.
     """
-    spark = docs.sparkSession
-    checkpoint = checkpoint or shared_dir(spark, "stream-checkpoint")
+    checkpoint = checkpoint or os.path.join(index_path, "_checkpoint")
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         out = os.path.join(index_path, f"epoch={epoch_id}")

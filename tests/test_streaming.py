@@ -50,3 +50,15 @@ def test_one_file_per_trigger(spark, tmp_path):
     index_stream(stream_text_files(spark, str(src), max_files=1), idx, str(tmp_path / "cp")).awaitTermination()
     assert len([d for d in os.listdir(idx) if d.startswith("epoch=")]) == 3
     assert _set(read_merged(spark, idx)) == _set(postings(read_lines(spark, str(src))))
+
+
+def test_restart_without_explicit_checkpoint_resumes(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("cloud cloud")
+    idx = str(tmp_path / "idx")
+    index_stream(stream_text_files(spark, str(src)), idx).awaitTermination()
+    (src / "b.txt").write_text("cloud")
+    index_stream(stream_text_files(spark, str(src)), idx).awaitTermination()
+    assert _set(read_merged(spark, idx)) == [("cloud", "a.txt", 2), ("cloud", "b.txt", 1)]
+    assert os.path.isdir(os.path.join(idx, "_checkpoint"))
