@@ -81,7 +81,11 @@ def search_all_intersect(post: DataFrame, query: str, clean_query: bool = False)
     terms = parse_query(query, clean_query)
     if not terms:
         return _empty_docs(post)
-    sets = [post.filter(F.col("term") == t).select("doc") for t in terms]
+    # The query terms' postings are cut once (a reliable checkpoint): otherwise each
+    # term's set would re-read the index, or re-tokenise the corpus, on its own.
+    checkpoint_base(post.sparkSession)
+    hits = post.filter(F.col("term").isin(terms)).select("term", "doc").checkpoint(eager=True)
+    sets = [hits.filter(F.col("term") == t).select("doc") for t in terms]
     return reduce(lambda a, b: a.intersect(b), sets).distinct()
 
 
