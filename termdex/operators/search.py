@@ -17,7 +17,6 @@ and looked up without moving the postings; many probes use a shuffled semi-join.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +29,8 @@ from termdex.sources.index_io import filter_text_lines, parse_lines, read_index,
 # (checked with one aggregate over the query table); beyond, Spark shuffles.
 MAX_BROADCAST_TERMS = 2_000_000
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
+# Broadcast one term's document set in the intersection only below this counted size.
+MAX_BROADCAST_DOCSET = 2_000_000
 # Look candidates up by broadcasting them only below this counted number of probes.
 MAX_BROADCAST_PROBES = 5_000_000
 
@@ -77,7 +78,11 @@ def search_all(post: DataFrame, query: str, clean_query: bool = False) -> DataFr
 
 
 def search_all_intersect(post: DataFrame, query: str, clean_query: bool = False) -> DataFrame:
-    """Q4 twin of ``search_all``: intersect the document sets of the terms."""
+    """Q4 twin of ``search_all``: intersect the document sets of the terms.
+
+    Set intersection is a semi-join on ``doc`` followed by ``distinct`` (what
+    ``INTERSECT`` plans to), written out so each step's strategy follows its size.
+    """
     terms = parse_query(query, clean_query)
     if not terms:
         return _empty_docs(post)
@@ -85,8 +90,18 @@ def search_all_intersect(post: DataFrame, query: str, clean_query: bool = False)
     # term's set would re-read the index, or re-tokenise the corpus, on its own.
     checkpoint_base(post.sparkSession)
     hits = post.filter(F.col("term").isin(terms)).select("term", "doc").checkpoint(eager=True)
-    sets = [hits.filter(F.col("term") == t).select("doc") for t in terms]
-    return reduce(lambda a, b: a.intersect(b), sets).distinct()
+    # Exact set sizes (one row per query term) order the intersection rarest first and
+    # decide, per set, between a broadcast and a sort-merge semi-join.
+    sizes = {r["term"]: r["n"] for r in hits.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < len(terms):
+        return _empty_docs(post)
+    order = sorted(terms, key=lambda t: sizes[t])
+    acc = hits.filter(F.col("term") == order[0]).select("doc")
+    for t in order[1:]:
+        other = hits.filter(F.col("term") == t).select("doc")
+        other = F.broadcast(other) if sizes[t] <= MAX_BROADCAST_DOCSET else other.hint("merge")
+        acc = acc.join(other, "doc", "left_semi")
+    return acc.distinct()
 
 
 def resident_index(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

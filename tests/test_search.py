@@ -134,3 +134,14 @@ def test_resident_index_answers_like_stored(spark, hand_post, tmp_path, fmt):
     for query, expected in HAND_QUERIES:
         assert _docs(search_all(res, query)) == expected
     res.unpersist()
+
+
+def test_intersect_without_broadcast(hand_post, monkeypatch):
+    import termdex.operators.search as S
+
+    monkeypatch.setattr(S, "MAX_BROADCAST_DOCSET", 0)
+    plan_text = S.search_all_intersect(hand_post, "cloud computing")
+    assert _docs(plan_text) == ["a.txt", "b.txt"]
+    from termdex.plans import inspect
+
+    assert "BroadcastExchange" not in inspect.plan_string(S.search_all_intersect(hand_post, "cloud computing"))
