@@ -163,8 +163,9 @@ def search_batch(
     Empty queries and queries with a term absent from the index have no answer.
     """
     qt = batch_terms(queries, clean_query)
-    sizes = qt.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("term").alias("vocab")).first()
-    n_rows, n_vocab = int(sizes["rows"]), int(sizes["vocab"])
+    # One count of the (query, term) rows; it also bounds the batch's distinct terms.
+    n_rows = qt.count()
+    n_vocab = n_rows
     if n_rows == 0:
         return post.select(F.lit(None).cast("bigint").alias("query_id"), "doc").filter(F.lit(False))
 
@@ -183,7 +184,8 @@ def search_batch(
     checkpoint_base(post.sparkSession)
     rel = post.select("term", "doc").join(vocab, "term", "left_semi").checkpoint(eager=True)
 
-    # Rarest term of each query; a term missing from the index rules the query out.
+    # Rarest term of each query (at most one row per query, cut from lineage once);
+    # a term missing from the index rules the query out.
     dfreq = _side(rel.groupBy("term").agg(F.count(F.lit(1)).alias("df")), terms_small)
     rare = (
         qt.join(dfreq, "term", "left")
@@ -194,8 +196,9 @@ def search_batch(
         )
         .filter(F.col("r.df") > 0)
         .select("query_id", F.col("r.term").alias("term"), F.col("r.df").alias("df"), "n")
+        .checkpoint(eager=True)
     )
-    # Exact number of (query, candidate doc, query term) probes, from small tables only.
+    # Exact number of (query, candidate doc, query term) probes, from the small table.
     n_probes = int(rare.agg(F.coalesce(F.sum(F.col("df") * F.col("n")), F.lit(0))).first()[0])
 
     cand = rel.join(_side(rare.drop("df"), qt_small), "term").select("query_id", "doc", "n")
