@@ -159,6 +159,15 @@ def with_block(
     doc_type = post.schema["doc"].dataType
     if isinstance(doc_type, T.IntegralType) or string_blocks:
         return post.withColumn("block", doc_block(F.col("doc"), doc_type, block_bits, string_blocks))
+    # Postings are read twice (to number the documents, then to block them): a build
+    # that still has to shuffle is cut once with a reliable checkpoint instead of
+    # tokenising the corpus twice; a plain scan of a stored index is just read again.
+    from termdex.plans.inspect import exchanges
+    from termdex.session import checkpoint_base
+
+    if exchanges(post):
+        checkpoint_base(post.sparkSession)
+        post = post.checkpoint(eager=True)
     numbered, small = doc_numbers(post)
     numbered = F.broadcast(numbered) if small else numbered.hint("merge")
     return post.join(numbered, "doc").withColumn("block", F.shiftright("doc_no", block_bits)).drop("doc_no")
