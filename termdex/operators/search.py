@@ -26,7 +26,7 @@ from termdex.session import checkpoint_base
 from termdex.sources.index_io import filter_text_lines, parse_lines, read_index, read_text_lines
 
 # Broadcast the batch's distinct terms / query-term rows only below these counts
-# (checked with one aggregate over the query table); beyond, Spark shuffles.
+# (checked with one count of the query-term rows); beyond, joins are sort-merge.
 MAX_BROADCAST_TERMS = 2_000_000
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
 # Broadcast one term's document set in the intersection only below this counted size.
