@@ -21,7 +21,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termdex.functions.text import query_terms
+from termdex.functions.text import NON_TERM_RUN, query_terms
 from termdex.session import checkpoint_base
 from termdex.sources.index_io import filter_text_lines, parse_lines, read_index, read_text_lines
 
@@ -34,7 +34,7 @@ MAX_BROADCAST_DOCSET = 2_000_000
 # Look candidates up by broadcasting them only below this counted number of probes.
 MAX_BROADCAST_PROBES = 5_000_000
 
-_PY_NON_TERM = re.compile(r"[^a-zA-Z0-9]+")
+_PY_NON_TERM = re.compile(NON_TERM_RUN)
 
 
 def parse_query(query: str | None, clean_query: bool = False) -> list[str]:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termdex.functions.text import SPACES_SEP, TAB_SEP
+from termdex.functions.text import NON_TERM_RUN, SPACES_SEP, TAB_SEP
 from termdex.operators.index import DEFAULT_BLOCK_BITS, merge_postings, postings, stats, tokens
 from termdex.operators.lines import format_lines
 from termdex.operators.search import (
@@ -188,7 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _tok_sql(table: str, doc: str, text: str) -> str:
     return (
-        f"SELECT {doc} AS doc, unnest(string_split(lower(regexp_replace({text}, '[^a-zA-Z0-9]+', ' ', 'g')), ' ')) AS term "
+        f"SELECT {doc} AS doc, unnest(string_split(lower(regexp_replace({text}, '{NON_TERM_RUN}', ' ', 'g')), ' ')) AS term "
         f"FROM {table}"
     )
 
@@ -210,7 +210,7 @@ def _sql_terms(terms: list[str]) -> str:
 
 def _qt_cte(clean: bool) -> str:
     if clean:
-        split = "string_split(lower(regexp_replace(text, '[^a-zA-Z0-9]+', ' ', 'g')), ' ')"
+        split = f"string_split(lower(regexp_replace(text, '{NON_TERM_RUN}', ' ', 'g')), ' ')"
     else:
         split = f"regexp_split_to_array(lower(text), '{_WS_RE2}')"
     return (
