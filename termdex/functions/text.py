@@ -26,6 +26,14 @@ ENTRY_SEP = ":"
 # Separators between the term and its entries in the two text forms.
 TAB_SEP = "\t"
 SPACES_SEP = "    "
+# Locale-free case mapping for queries (Python's str.lower ignores the locale; the
+# JVM's does not, e.g. "I" -> dotless "ı" under a Turkish locale): ASCII letters and
+# the Kelvin sign map to ASCII, U+0130 maps to "i" + U+0307 as in the root locale.
+ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
+KELVIN_SIGN = "\u212a"
+CAPITAL_I_WITH_DOT = "\u0130"
+CAPITAL_I_WITH_DOT_LOWER = "i\u0307"
 # --- end of fixed values ---
 
 
@@ -68,6 +76,16 @@ def split_words(text: Column | str) -> Column:
     return F.regexp_extract_all(_col(text), F.lit(f"[^{WHITESPACE_CLASS}]+"), 0)
 
 
+def lower_query(text: Column | str) -> Column:
+    """Lower-case a query like Python's ``str.lower``, whatever the JVM locale.
+
+    The characters that can become term letters are mapped first with fixed
+    tables; ``lower`` then only handles characters that stay non-ASCII.
+    """
+    fixed = F.translate(_col(text), ASCII_UPPER + KELVIN_SIGN, ASCII_LOWER + "k")
+    return F.lower(F.replace(fixed, F.lit(CAPITAL_I_WITH_DOT), F.lit(CAPITAL_I_WITH_DOT_LOWER)))
+
+
 def query_terms(query: Column | str, clean_query: bool = False) -> Column:
     """Distinct terms of a query line.
 
@@ -76,7 +94,7 @@ def query_terms(query: Column | str, clean_query: bool = False) -> Column:
     exactly like document text instead.
     """
     q = _col(query)
-    words = term_array(q) if clean_query else split_words(F.lower(q))
+    words = term_array(q) if clean_query else split_words(lower_query(q))
     return F.array_distinct(words)
 
 

@@ -98,3 +98,39 @@ def test_tokeniser_equals_reference_rule_on_random_text(spark):
     got = {r["i"]: r["a"] for r in df.select("i", term_array("t").alias("a")).collect()}
     for i, t in enumerate(texts):
         assert got[i] == rule.sub(" ", t).lower().split(), repr(t)
+
+
+def test_query_lowering_matches_python_for_every_bmp_char(spark):
+    # Queries are lower-cased like Python; any residual difference (characters newer
+    # than the JVM's Unicode tables) stays non-ASCII, so it can never match a term
+    from termdex.functions.text import lower_query
+
+    chars = [c for c in range(1, 0x10000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame([(c, f"A{chr(c)}I") for c in chars], "c int, s string")
+    got = {r["c"]: r["l"] for r in df.select("c", lower_query("s").alias("l")).collect()}
+    bad = [c for c in chars if got[c] != f"A{chr(c)}I".lower()]
+    assert len(bad) < 20
+    assert all(not chr(c).lower().isascii() and not got[c][1:-1].isascii() for c in bad)
+
+
+def test_query_lowering_ignores_a_turkish_jvm_locale(tmp_path):
+    # a separate JVM whose default locale lower-cases "I" to a dotless "ı"
+    import os
+    import subprocess
+    import sys
+
+    script = tmp_path / "tr.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "from termdex.functions.text import query_terms\n"
+        "s = (SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')\n"
+        "     .config('spark.driver.extraJavaOptions', '-Duser.language=tr -Duser.country=TR').getOrCreate())\n"
+        "df = s.createDataFrame([('IT \\u015f KELVIN \\u0130x',)], 'q string')\n"
+        "print('RESULT', df.select(query_terms('q')).first()[0])\n"
+        "s.stop()\n"
+    )
+    out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=300).stdout
+    line = next(ln for ln in out.splitlines() if ln.startswith("RESULT"))
+    assert line == "RESULT " + str("IT ş KELVIN İx".lower().split())
