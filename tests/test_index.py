@@ -187,3 +187,28 @@ def test_string_doc_lines_are_bounded(spark, tmp_path):
     # one line per term, as the reference writes it, on request
     one = format_lines(post, string_blocks=1).select("line").collect()
     assert sorted(r["line"] for r in one)[0] == "cloud\t" + "\t".join(f"f{i}.txt:1" for i in range(10))
+
+
+def test_empty_corpus_through_every_operator(spark, tmp_path):
+    from termdex.operators.search import search_all, search_all_intersect, search_batch, search_stored
+
+    docs = spark.createDataFrame([(1, "..."), (2, "")], "doc bigint, text string")
+    post = postings(docs)
+    assert post.count() == 0
+    assert format_lines(post).count() == 0 and grouped(post).count() == 0
+    path = str(tmp_path / "txt")
+    write_text_index(post, path)
+    assert read_text_index(spark, path).count() == 0
+    pq = str(tmp_path / "pq")
+    write_index(post, pq)
+    assert search_stored(spark, pq, "a b").count() == 0
+    assert search_all(post, "a").count() == 0 and search_all_intersect(post, "a b").count() == 0
+    qs = spark.createDataFrame([(1, "a"), (2, "a b")], "query_id bigint, query string")
+    assert search_batch(post, qs).count() == 0
+
+
+def test_parse_lines_with_unicode_blanks(spark):
+    # An index line may separate its words with any whitespace Python's split() knows
+    lines = spark.createDataFrame([("t f1:2　f2:1",), (" u\u0085f3:4",)], "value string")
+    got = sorted(tuple(r) for r in parse_lines(lines).collect())
+    assert got == [("t", "f1", 2), ("t", "f2", 1), ("u", "f3", 4)]
