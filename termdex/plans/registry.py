@@ -24,7 +24,7 @@ from termdex.operators.search import (
     search_stored,
 )
 from termdex.session import shared_dir
-from termdex.sources.files import from_table, read_table
+from termdex.sources.files import from_table, read_lines, read_table
 from termdex.sources.index_io import read_index, read_text_index, write_index, write_text_index
 from termdex.streaming.ingest import index_stream, read_merged, stream_table
 
@@ -149,6 +149,16 @@ def q_merge_postings(spark, sf):
     return merge_postings(a, b)
 
 
+def q_file_corpus_terms(spark, sf):
+    # S1 + S5 on the reference's input shape: Spark writes the documents table as 10 text
+    # files in the shared folder, and the line scan indexes them (doc = file basename).
+    # How rows fall into files is not fixed, so the result is each term's total count.
+    corpus = shared_dir(spark, "file-corpus")
+    documents(spark, sf).select("text").repartition(10).write.text(corpus)
+    post = postings(read_lines(spark, corpus), SPREAD)
+    return post.groupBy("term").agg(F.sum("tf").cast("bigint").alias("occurrences"))
+
+
 def q_postings_streamed(spark, sf):
     # Structured Streaming over the documents table: postings per micro-batch, merged
     # on read. The brace glob names exactly documents.parquet (a stream source needs
@@ -181,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_stored_text": q_search_stored_text,
     "merge_postings": q_merge_postings,
     "postings_streamed": q_postings_streamed,
+    "file_corpus_terms": q_file_corpus_terms,
 }
 
 
@@ -265,4 +276,5 @@ ORACLE_SQL: dict[str, str] = {
     "search_stored_text": _search_sql(STORED_QUERY),
     "merge_postings": _post_cte("conversations", "conv_id", "text") + "SELECT term, doc, tf FROM post",
     "postings_streamed": _post_cte() + "SELECT term, doc, tf FROM post",
+    "file_corpus_terms": _post_cte() + "SELECT term, CAST(sum(tf) AS BIGINT) AS occurrences FROM post GROUP BY term",
 }
