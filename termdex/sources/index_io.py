@@ -7,7 +7,7 @@ several files instead of landing in one task.
 
 Text (K1-K4): one line per (term, doc block), in one of three part layouts:
 
-- ``hash``   K1 + K2: parts hash-partitioned by term, lines sorted within each part.
+- ``hash``   K1 + K2: parts hash-partitioned by (term, block), lines sorted within each part.
 - ``round``  K3: lines spread round-robin over the parts.
 - ``range``  K4: contiguous term ranges of about equal size, sorted.
 """
@@ -57,7 +57,8 @@ def write_text_index(
     lines = format_lines(post, sep, block_bits, string_blocks)
     if layout == "hash":
         if parts:
-            lines = lines.repartition(parts, "term")
+            # by (term, block): the lines of one very common term spread over the parts
+            lines = lines.repartition(parts, "term", "block")
         lines = lines.sortWithinPartitions("term", "block")
     elif layout == "round":
         if parts:

@@ -212,3 +212,13 @@ def test_parse_lines_with_unicode_blanks(spark):
     lines = spark.createDataFrame([("t f1:2　f2:1",), (" u\u0085f3:4",)], "value string")
     got = sorted(tuple(r) for r in parse_lines(lines).collect())
     assert got == [("t", "f1", 2), ("t", "f2", 1), ("u", "f3", 4)]
+
+
+def test_common_term_lines_spread_over_parts(spark, tmp_path):
+    # 64 documents all holding "cloud", blocks of 4 -> 16 lines for one term
+    docs = spark.createDataFrame([(i, "cloud") for i in range(64)], "doc bigint, text string")
+    path = str(tmp_path / "idx")
+    write_text_index(postings(docs), path, parts=4, block_bits=2)
+    holding = [f for f in os.listdir(path) if f.startswith("part-") and open(os.path.join(path, f)).read()]
+    assert len(holding) > 1
+    assert read_text_index(spark, path).count() == 64
