@@ -54,7 +54,8 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
     Blank lines are skipped; word 0 is the term and every further word is an entry.
     An entry splits at its last ``:`` (the reference takes the first; names with a
-    colon then still read back). An entry without ``:`` gives a null ``tf``.
+    colon then still read back). An entry without ``:``, or with a count that is not a
+    number, gives a null ``tf`` instead of failing the read (Spark 4 casts are ANSI).
     """
     words = split_words(F.col(col))
     entries = (
@@ -69,5 +70,5 @@ def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     tail = F.substring_index("e", ENTRY_SEP, -1)
     head = F.substring("e", F.lit(1), F.length("e") - F.length(tail) - F.lit(1))
     doc = F.when(has_sep, head).otherwise(F.col("e"))
-    tf = F.when(has_sep, tail.cast("bigint"))
+    tf = F.when(has_sep, tail.try_cast("bigint"))
     return entries.select("term", doc.alias("doc"), tf.alias("tf"))

@@ -139,10 +139,11 @@ def test_text_sink_refuses_blank_in_doc_name(spark, tmp_path):
 
 def test_parse_lines_edge_cases(spark):
     lines = spark.createDataFrame(
-        [("t\tf1:1",), ("t    f2:1",), ("",), ("   ",), ("u  a:b.txt:4",), ("v",), ("w x",)], "value string"
+        [("t\tf1:1",), ("t    f2:1",), ("",), ("   ",), ("u  a:b.txt:4",), ("v",), ("w x",), ("z d:abc",)],
+        "value string",
     )
     got = sorted(tuple(r) for r in parse_lines(lines).collect())
-    assert got == [("t", "f1", 1), ("t", "f2", 1), ("u", "a:b.txt", 4), ("w", "x", None)]
+    assert got == [("t", "f1", 1), ("t", "f2", 1), ("u", "a:b.txt", 4), ("w", "x", None), ("z", "d", None)]
 
 
 def test_parquet_index_sorted_and_round_trip(spark, tmp_path):
