@@ -105,4 +105,5 @@ def doc_name(path: Column | str) -> Column:
     protected first so that a literal plus in a file name survives decoding.
     """
     base = F.element_at(F.split(_col(path), "/"), -1)
-    return F.url_decode(F.replace(base, F.lit("+"), F.lit("%2B")))
+    # a name that is not valid URL encoding (a raw path passed in by hand) stays as it is
+    return F.coalesce(F.try_url_decode(F.replace(base, F.lit("+"), F.lit("%2B"))), base)

@@ -66,6 +66,8 @@ def test_query_terms_spark_and_driver_agree(spark, query, clean_query, expected)
         ("file:/data/x/my%20doc.txt", "my doc.txt"),
         ("file:/data/a+b%20c%2520.txt", "a+b c%20.txt"),
         ("hdfs://nn/in/b.txt", "b.txt"),
+        ("file:/x/a%zz.txt", "a%zz.txt"),
+        ("file:/x/100%25.txt", "100%.txt"),
     ],
 )
 def test_doc_name_decodes(spark, path, expected):
