@@ -145,3 +145,10 @@ def test_intersect_without_broadcast(hand_post, monkeypatch):
     from termdex.plans import inspect
 
     assert "BroadcastExchange" not in inspect.plan_string(S.search_all_intersect(hand_post, "cloud computing"))
+
+
+def test_null_queries_have_no_answer(spark, hand_post):
+    qs = spark.createDataFrame([(1, None), (2, "cloud computing"), (3, None)], "query_id bigint, query string")
+    got = sorted(map(tuple, search_batch(hand_post, qs).collect()))
+    assert got == [(2, "a.txt"), (2, "b.txt")]
+    assert _docs(search_all(hand_post, None)) == []
