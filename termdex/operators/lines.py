@@ -25,7 +25,8 @@ def format_lines(
 
     Each entry string is built before the aggregation and carried next to its doc,
     so the per-group work is one sort and one join of strings, with no lambda.
-    Doc names holding whitespace cannot be read back, so they fail the job (N3).
+    Doc names holding whitespace cannot be read back, and a null doc key would vanish
+    from its line, so both fail the job (N3); Parquet keeps them.
     """
     doc = F.col("doc")
     doc_type = post.schema["doc"].dataType
@@ -35,6 +36,8 @@ def format_lines(
             doc.rlike(WHITESPACE_RUN),
             F.raise_error(F.concat(F.lit("doc name with whitespace cannot be written as text: "), doc)),
         ).otherwise(doc)
+    # a null key would silently vanish from the joined line, so it fails the job too
+    doc_str = F.when(doc.isNull(), F.raise_error(F.lit("null doc key cannot be written as text"))).otherwise(doc_str)
     entry = F.concat(doc_str, F.lit(ENTRY_SEP), F.col("tf").cast("string"))
     return (
         with_block(post, block_bits, string_blocks)

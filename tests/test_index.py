@@ -223,3 +223,12 @@ def test_common_term_lines_spread_over_parts(spark, tmp_path):
     holding = [f for f in os.listdir(path) if f.startswith("part-") and open(os.path.join(path, f)).read()]
     assert len(holding) > 1
     assert read_text_index(spark, path).count() == 64
+
+
+def test_text_sink_refuses_null_doc_key(spark, tmp_path):
+    docs = spark.createDataFrame([(None, "cloud"), (1, "cloud")], "doc bigint, text string")
+    with pytest.raises(Exception):
+        write_text_index(postings(docs), str(tmp_path / "idx"))
+    path = str(tmp_path / "pq")
+    write_index(postings(docs), path)
+    assert read_index(spark, path).count() == 2
