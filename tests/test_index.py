@@ -232,3 +232,18 @@ def test_text_sink_refuses_null_doc_key(spark, tmp_path):
     path = str(tmp_path / "pq")
     write_index(postings(docs), path)
     assert read_index(spark, path).count() == 2
+
+
+def test_text_form_round_trips_random_string_names(spark):
+    # doc names may hold colons and non-ASCII letters (not whitespace): format -> parse is exact
+    import random
+
+    rng = random.Random(5)
+    alphabet = list("abcXYZ019_-.:") + ["é", "ß", "ü", "中"]
+    names = list({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 8))) for _ in range(60)})
+    terms = [f"t{i}" for i in range(15)]
+    rows = {(rng.choice(terms), rng.choice(names)): rng.randint(1, 9) for _ in range(400)}
+    post = spark.createDataFrame([(t, d, n) for (t, d), n in rows.items()], "term string, doc string, tf bigint")
+    lines = format_lines(post, block_bits=3).select(F.col("line").alias("value"))
+    back = parse_lines(lines)
+    assert sorted(map(tuple, back.collect())) == sorted((t, d, n) for (t, d), n in rows.items())
