@@ -47,6 +47,8 @@ def test_term_filter_pushed_to_parquet_index(spark):
     write_index(postings(_docs(spark)), path)
     plan = inspect.plan_string(search_stored(spark, path, "the of", "parquet"))
     assert "PushedFilters: [In(term, [of,the])" in plan or "PushedFilters: [In(term, [the,of])" in plan
+    # only the two columns the search needs are read; tf is pruned
+    assert "ReadSchema: struct<term:string,doc:bigint>" in plan
 
 
 def test_search_filter_below_postings_aggregate(spark):
