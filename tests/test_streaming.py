@@ -62,3 +62,18 @@ def test_restart_without_explicit_checkpoint_resumes(spark, tmp_path):
     index_stream(stream_text_files(spark, str(src)), idx).awaitTermination()
     assert _set(read_merged(spark, idx)) == [("cloud", "a.txt", 2), ("cloud", "b.txt", 1)]
     assert os.path.isdir(os.path.join(idx, "_checkpoint"))
+
+
+def test_continuous_trigger_indexes_new_files(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("cloud computing")
+    idx = str(tmp_path / "idx")
+    q = index_stream(stream_text_files(spark, str(src)), idx, available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        (src / "b.txt").write_text("cloud")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert _set(read_merged(spark, idx)) == [("cloud", "a.txt", 1), ("cloud", "b.txt", 1), ("computing", "a.txt", 1)]
