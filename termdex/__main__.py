@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
 
     b = sub.add_parser("build", help="index text files")
     b.add_argument("paths", nargs="+", help="input folders or files, then the output folder")
-    b.add_argument("--parts", type=int, default=None, help="number of output parts (default: Spark's)")
+    b.add_argument("--parts", type=int, default=None, help="number of output parts; -1 or none: Spark's own")
     b.add_argument("--format", choices=("text", "parquet"), default="text")
     b.add_argument("--sep", choices=("tab", "spaces"), default="tab")
     b.add_argument("--whole", action="store_true", help="read each file as one row")
@@ -67,12 +67,13 @@ def main(argv: list[str] | None = None) -> int:
             if len(a.paths) < 2:
                 p.error("build needs at least one input and one output")
             inputs, out = a.paths[:-1], a.paths[-1]
+            parts = a.parts if a.parts and a.parts > 0 else None
             docs = (read_whole if a.whole else read_lines)(spark, inputs)
             post = postings(docs, "auto")
             if a.format == "parquet":
-                write_index(post, out, a.parts)
+                write_index(post, out, parts)
             else:
-                write_text_index(post, out, a.parts, TAB_SEP if a.sep == "tab" else SPACES_SEP)
+                write_text_index(post, out, parts, TAB_SEP if a.sep == "tab" else SPACES_SEP)
         elif a.cmd == "search":
             res = search_stored(spark, a.index, a.query, a.format, a.clean)
             for row in res.toLocalIterator():

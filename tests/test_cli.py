@@ -20,6 +20,12 @@ def test_cli_build_search_batch_stats(spark, corpus_dir, tmp_path):
     lines = sorted(r["value"] for r in spark.read.text(text).collect())
     assert lines == HAND_INDEX_TAB
 
+    minus_one = str(tmp_path / "text-1")
+    _out(["build", corpus_dir, minus_one, "--parts", "-1", "--sep", "spaces"])
+    assert sorted(r["value"] for r in spark.read.text(minus_one).collect()) == [
+        ln.replace("\t", "    ") for ln in HAND_INDEX_TAB
+    ]
+
     pq = str(tmp_path / "pq")
     _out(["build", corpus_dir, pq, "--format", "parquet", "--whole"])
     assert sorted(_out(["search", pq, "cloud computing"])) == ["a.txt", "b.txt"]
