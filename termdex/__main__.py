@@ -14,17 +14,21 @@ it at once. A session that already exists (a notebook, a test) is used and left
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+if not __package__:  # run as a file (spark-submit termdex/__main__.py): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from termdex.functions.text import SPACES_SEP, TAB_SEP
-from termdex.operators.index import postings, stats
-from termdex.operators.search import search_batch, search_stored
-from termdex.session import checkpoint_base
-from termdex.sources.files import read_lines, read_whole
-from termdex.sources.index_io import read_index, read_text_index, write_index, write_text_index
+from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from termdex.functions.text import SPACES_SEP, TAB_SEP  # noqa: E402
+from termdex.operators.index import postings, stats  # noqa: E402
+from termdex.operators.search import search_batch, search_stored  # noqa: E402
+from termdex.session import checkpoint_base  # noqa: E402
+from termdex.sources.files import read_lines, read_whole  # noqa: E402
+from termdex.sources.index_io import read_index, read_text_index, write_index, write_text_index  # noqa: E402
 
 
 def _index(spark: SparkSession, path: str, fmt: str):
