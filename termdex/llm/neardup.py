@@ -54,6 +54,8 @@ HASHES, BANDS, ROWS = 256, 32, 4
 BATCH = 32
 # Probability, after any batch, with which a linked pair may be dropped.
 MISS = 1e-5
+# Texts whose words are numbered together.
+TOGETHER = 256
 # Members of a bucket that are compared with each other in one task.
 CHUNK = 1024
 # Parts into which the pairs of one centre are dealt.
@@ -79,9 +81,11 @@ def _shingles(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
 
 
 def _sets(texts: pd.Series) -> Iterator[np.ndarray]:
-    ids, vocab = word_ids(texts)
-    h = hashes(vocab)
-    return (_shingles(h[x]) for x in ids)
+    """Shingle sets of texts, a few at a time: their words are held, not the batch's."""
+    for a in range(0, len(texts), TOGETHER):
+        ids, vocab = word_ids(texts.iloc[a : a + TOGETHER])
+        h = hashes(vocab)
+        yield from (_shingles(h[x]) for x in ids)
 
 
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
