@@ -80,12 +80,13 @@ def _shingles(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     return np.unique(h)
 
 
-def _sets(texts: pd.Series) -> Iterator[np.ndarray]:
-    """Shingle sets of texts, a few at a time: their words are held, not the batch's."""
-    for a in range(0, len(texts), TOGETHER):
-        ids, vocab = word_ids(texts.iloc[a : a + TOGETHER])
-        h = hashes(vocab)
-        yield from (_shingles(h[x]) for x in ids)
+def _sets(batches: Iterator[pd.Series]) -> Iterator[list[np.ndarray]]:
+    """Shingle sets of texts, a few texts at a time: a batch's words are never held at once."""
+    for texts in batches:
+        for a in range(0, len(texts), TOGETHER):
+            ids, vocab = word_ids(texts.iloc[a : a + TOGETHER])
+            h = hashes(vocab)
+            yield [_shingles(h[x]) for x in ids]
 
 
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,9 +108,9 @@ def _minhash(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
 @F.pandas_udf(_SIGNED)
 def _signature(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     mul, add = _seeds(HASHES)
-    for t in texts:
+    for sets in _sets(texts):
         rows = []
-        for s in _sets(t):
+        for s in sets:
             if not len(s):
                 rows.append((0, None, None, None))
                 continue
@@ -121,8 +122,8 @@ def _signature(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 @F.pandas_udf(T.BinaryType())
 def _packed_set(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for t in texts:
-        yield pd.Series([s.tobytes() for s in _sets(t)], dtype=object)
+    for sets in _sets(texts):
+        yield pd.Series([s.tobytes() for s in sets], dtype=object)
 
 
 def least_matches(seen: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
@@ -163,7 +164,7 @@ def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
 
     def one(x: bytes, y: bytes) -> bool:
         p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if 100 * min(len(p), len(q)) < PER_CENT * max(len(p), len(q)):
+        if not len(p) or 100 * min(len(p), len(q)) < PER_CENT * max(len(p), len(q)):
             return False
         both = len(np.intersect1d(p, q, assume_unique=True))
         return 100 * both >= PER_CENT * (len(p) + len(q) - both)
@@ -183,7 +184,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """Pairs that are linked on their full sets; only the texts of their members are read again."""
     nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     sets = docs.join(nodes, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _packed_set("text").alias("v"))
-    sets = saved(sets.filter(F.octet_length("v") > 0), f"{name}-sets")
+    sets = saved(sets, f"{name}-sets")
     return saved(_both_sides(pairs, sets, _linked), f"{name}-links")
 
 

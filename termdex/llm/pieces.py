@@ -37,6 +37,8 @@ UNKNOWN_COST = 10.0
 # Chunks up to this many bytes are segmented together; longer ones one by one.
 SHORT = 48
 TOGETHER = 8192
+# Texts coded together.
+BATCH = 256
 # Slots looked at together when the trie is laid out.
 STEP = 512
 # Chunks a task remembers before it starts afresh.
@@ -280,7 +282,8 @@ def encode(spark: SparkSession, model: PieceModel, text: Column) -> Column:
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         one = shared().encoder()
         for t in texts:
-            yield pd.Series([y for a in range(0, len(t), 256) for y in one(list(t.iloc[a : a + 256]))], dtype=object)
+            for a in range(0, len(t), BATCH):
+                yield pd.Series(one(list(t.iloc[a : a + BATCH])), dtype=object)
 
     return run(text)
 
@@ -293,6 +296,7 @@ def decode(spark: SparkSession, model: PieceModel, ids: Column) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared()
         for b in batches:
-            yield pd.Series([m.decode(None if x is None else x.tolist()) for x in b], dtype=object)
+            for a in range(0, len(b), BATCH):
+                yield pd.Series([m.decode(None if x is None else x.tolist()) for x in b.iloc[a : a + BATCH]], dtype=object)
 
     return run(ids)
