@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termdex.llm.common import saved
+from termdex.llm.common import saved, small_batches
 
 # Messages in a part of a conversation.
 PART = 64
@@ -141,6 +141,7 @@ def _threads(links: DataFrame) -> DataFrame:
 
 def messages(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """``conv, turn, role, content, n_quoted, n_linked, reply_to, thread, depth`` of every message."""
+    small_batches(conversations.sparkSession)
     rows = conversations.select(
         F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).distinct()

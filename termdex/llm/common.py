@@ -32,6 +32,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 T = TypeVar("T")
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Texts sent to a Python worker at once, unless the session says otherwise.
+TEXTS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower Spark's default of 10,000 rows a batch to ``TEXTS``: a batch of texts is held whole.
+
+    A value that the session's owner has set stays.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(TEXTS))
 
 
 def ship(spark: SparkSession, model: T) -> Callable[[], T]:

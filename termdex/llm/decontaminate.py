@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termdex.llm.common import ship
+from termdex.llm.common import ship, small_batches
 
 MIN_TILE = 4
 THRESHOLD = 0.5
@@ -179,6 +179,7 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
 
 def matches(spark: SparkSession, items: Items, text: Column, id_type: str = "bigint", threshold: float = THRESHOLD) -> Column:
     """``array<struct<item_id, coverage, n_tiles, longest>>``: what a text column covers of ``items``."""
+    small_batches(spark)
     shared = ship(spark, items)
 
     @F.pandas_udf(f"array<struct<item_id:{id_type},coverage:double,n_tiles:int,longest:int>>")

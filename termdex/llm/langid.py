@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termdex.llm.common import ship, split_of
+from termdex.llm.common import ship, small_batches, split_of
 
 # N-grams in a profile.
 PROFILE = 400
@@ -125,6 +125,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", size: int = PROFILE) -> DataFrame:
     """Learn ``(lang, gram, place)``: the ``size`` most frequent n-grams of each language."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     by = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -172,6 +173,7 @@ def model(profile: DataFrame, size: int = PROFILE) -> Model:
 
 def predict(spark: SparkSession, m: Model, text: Column) -> Column:
     """``struct<lang_pred string, score double>`` of a text column."""
+    small_batches(spark)
     shared = ship(spark, m)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from termdex.llm.common import hashes, mix, split_of, word_ids
+from termdex.llm.common import hashes, mix, small_batches, split_of, word_ids
 
 # Weight of the shorter context in p(w | h), in counts.
 PRIOR = 300.0
@@ -294,6 +294,7 @@ def score(
     """
     if order < 1:
         raise ValueError("order must be at least 1")
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(split_of(id_col, folds) == held_fold, F.lit(False)).alias("held_out"),

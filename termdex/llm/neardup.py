@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termdex.llm.common import hashes, mix, saved, slots, word_ids
+from termdex.llm.common import hashes, mix, saved, slots, small_batches, word_ids
 from termdex.llm.components import components
 
 SHINGLE = 5
@@ -254,6 +254,7 @@ def _compared(t: pa.Table, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = saved(docs.select("doc_id", _signature("text").alias("s")).select("doc_id", "s.*"), "signatures")
     named = signed.filter("doc_id is not null and n_shingles > 0")

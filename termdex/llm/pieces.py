@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from termdex.llm.common import ship
+from termdex.llm.common import ship, small_batches
 
 MARKER = "▁"
 UNKNOWN_COST = 10.0
@@ -276,6 +276,7 @@ def public_model() -> PieceModel:
 
 def encode(spark: SparkSession, model: PieceModel, text: Column) -> Column:
     """``array<int>`` of a text column's piece ids."""
+    small_batches(spark)
     shared = ship(spark, model)
 
     @F.pandas_udf("array<int>")
@@ -290,6 +291,7 @@ def encode(spark: SparkSession, model: PieceModel, text: Column) -> Column:
 
 def decode(spark: SparkSession, model: PieceModel, ids: Column) -> Column:
     """Texts of a column of piece ids."""
+    small_batches(spark)
     shared = ship(spark, model)
 
     @F.pandas_udf("string")

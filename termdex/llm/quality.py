@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termdex.llm.common import saved, split_of
+from termdex.llm.common import saved, small_batches, split_of
 
 # Labelled rows that the classifier is fitted on.
 FIT_ROWS = 20_000
@@ -197,6 +197,7 @@ def assess(
     from. Returns ``doc_id, held_out, host, path, evidence, host_rate, path_rate, score,
     kept`` for every row of ``docs``.
     """
+    small_batches(docs.sparkSession)
     marks = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("double").alias("label"))
     rows = docs.select(
         F.col(id_col).alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"),

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from termdex.llm.common import saved, ship
+from termdex.llm.common import saved, ship, small_batches
 
 # Numbers in a word and bits of each, by selector (selector 0 is the escape).
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -259,6 +259,7 @@ def _write(get, end_id: int):
 
 def write(docs: DataFrame, tokenizer: WordTokenizer, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, name: str = "token-files") -> DataFrame:
     """Write the segments of ``docs`` to the shared folder; the table is read back."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
