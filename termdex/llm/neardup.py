@@ -15,13 +15,16 @@ Large groups. A group of n near copies is never expanded into its n^2 pairs:
    the others come from. Verified stars are merged into components.
 2. *Remainder.* Only buckets that still hold two or more components can hide a link. Their
    members are compared inside tasks on packed signatures, in chunk pairs of ``CHUNK``
-   members, skipping members of the same component; a pair is looked at in the first band
-   it shares. Only survivors leave the task as rows, and are verified exactly.
+   members, skipping members of the same component. Of the survivors a task reports no more
+   than a forest, which joins them into clusters; a second pass over chunk pairs of each
+   cluster verifies its survivors exactly, on the texts, inside the task, and again reports
+   a forest of links.
 
 So no bucket is capped and no linked pair of different components is left out; what can be
 missed is bounded by the bands (a pair at the threshold shares none of 32 bands of 4 with
-probability 5e-6) and by ``MISS``. The cost of the remainder is quadratic only in the
-signature comparisons among members of one bucket that are no copies of each other.
+probability 5e-6) and by ``MISS``. Rows and bytes that move are linear in the members; only
+comparisons inside tasks are quadratic, among members of one bucket that are no copies of
+each other, and they spread over chunk pairs.
 
 Defined results. Null and empty texts have no shingle, no link, and are their own
 component. A document with fewer words than a shingle has its whole sequence as the one
@@ -32,6 +35,7 @@ if there is none), and ``kept`` compares nulls as equal. Other columns are ignor
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from math import comb
 
@@ -121,9 +125,34 @@ def _signature(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 
 @F.pandas_udf(T.BinaryType())
-def _packed_set(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for sets in _sets(texts):
-        yield pd.Series([s.tobytes() for s in sets], dtype=object)
+def _packed(texts: pd.Series) -> pd.Series:
+    """Texts, deflated: a third of the size of their sets."""
+    return pd.Series([zlib.compress(x.encode(), 1) if x else None for x in texts], dtype=object)
+
+
+class _Sets:
+    """Shingle sets of packed texts; the last few are remembered."""
+
+    def __init__(self):
+        self.seen: dict[bytes, np.ndarray] = {}
+
+    def get(self, packed: bytes | None) -> np.ndarray:
+        if not packed:
+            return np.zeros(0, np.uint64)
+        s = self.seen.get(packed)
+        if s is None:
+            if len(self.seen) >= 2 * CHUNK:
+                self.seen.clear()
+            w = zlib.decompress(packed).lower().split()
+            s = self.seen[packed] = _shingles(hashes(w))
+        return s
+
+    def linked(self, x: bytes | None, y: bytes | None) -> bool:
+        p, q = self.get(x), self.get(y)
+        if not len(p) or 100 * min(len(p), len(q)) < PER_CENT * max(len(p), len(q)):
+            return False
+        both = len(np.intersect1d(p, q, assume_unique=True))
+        return 100 * both >= PER_CENT * (len(p) + len(q) - both)
 
 
 def least_matches(seen: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
@@ -160,16 +189,9 @@ def _plausible(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.BooleanType())
 def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Exact test of set pairs."""
-
-    def one(x: bytes, y: bytes) -> bool:
-        p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if not len(p) or 100 * min(len(p), len(q)) < PER_CENT * max(len(p), len(q)):
-            return False
-        both = len(np.intersect1d(p, q, assume_unique=True))
-        return 100 * both >= PER_CENT * (len(p) + len(q) - both)
-
-    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
+    """Exact test of pairs of packed texts."""
+    sets = _Sets()
+    return pd.Series([sets.linked(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
 def _both_sides(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
@@ -180,12 +202,9 @@ def _both_sides(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
     return right.join(left, ["a", "salt"]).filter(test("va", "vb")).select("a", "b")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """Pairs that are linked on their full sets; only the texts of their members are read again."""
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = docs.join(nodes, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _packed_set("text").alias("v"))
-    sets = saved(sets, f"{name}-sets")
-    return saved(_both_sides(pairs, sets, _linked), f"{name}-links")
+def _texts(docs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """Packed texts of some nodes; only these texts move."""
+    return saved(docs.join(nodes.toDF("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _packed("text").alias("v")), name)
 
 
 def _bands(sig: Column) -> Column:
@@ -193,47 +212,57 @@ def _bands(sig: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring(sig, i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Surviving pairs of different components in each group of sorted rows."""
-    held: pa.Table | None = None
-    for b in batches:
-        t = pa.Table.from_batches([b])
-        t = t if held is None else pa.concat_tables([held, t])
-        ends = _ends(t)
-        held = t.slice(ends[-1])
-        yield from _compared(t, ends)
-    if held is not None and held.num_rows:
-        yield from _compared(held, np.append(_ends(held), held.num_rows))
+def _compare(keys: list[str], exact: bool):
+    """Compare the members of each group of sorted rows: a forest of plausible, or of exact, links."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            ends = _ends(t, keys)
+            held = t.slice(ends[-1])
+            yield from _compared(t, ends, exact)
+        if held is not None and held.num_rows:
+            yield from _compared(held, np.append(_ends(held, keys), held.num_rows), exact)
 
-def _ends(t: pa.Table) -> np.ndarray:
+    return run
+
+
+def _ends(t: pa.Table, keys: list[str]) -> np.ndarray:
     """Where groups start; the last one may go on in the next batch."""
     new = np.zeros(t.num_rows, bool)
     new[:1] = True
-    key = t.column("key").combine_chunks()
-    codes = key.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    for x in (codes, t.column("band").to_numpy(), t.column("low").to_numpy(), t.column("high").to_numpy()):
+    for k in keys:
+        x = t.column(k).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
         new[1:] |= x[1:] != x[:-1]
     return np.flatnonzero(new)
 
 
-def _compared(t: pa.Table, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _compared(t: pa.Table, ends: np.ndarray, exact: bool) -> Iterator[pa.RecordBatch]:
     if len(ends) < 2:
         return
     t = t.combine_chunks()
     label = t.column("label").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    chunk, low, band, size = (t.column(c).to_numpy() for c in ("chunk", "low", "band", "n"))
-    one = low == t.column("high").to_numpy()
+    chunk, low, high, size = (t.column(c).to_numpy() for c in ("chunk", "low", "high", "n"))
     sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(-1, HASHES)
+    text = t.column("v").to_pylist() if exact else None
+    sets = _Sets()
     left, right = [], []
     for start, end in zip(ends[:-1], ends[1:], strict=True):
-        if one[start]:
-            first, rest = range(start, end), None
-        else:
-            at = np.arange(start, end)
-            first, rest = at[chunk[start:end] == low[start]], at[chunk[start:end] != low[start]]
-        for i in first:
-            j = np.arange(i + 1, end) if rest is None else rest
+        # What is joined so far in this group: members if plausible, as each must meet its
+        # partners again in the cluster; whole components if linked.
+        up: dict[int, int] = {}
+
+        def top(x: int, up: dict[int, int] = up) -> int:
+            while (y := up.get(x, x)) != x:
+                x = y
+            return x
+
+        at = np.arange(start, end)
+        rest = at[chunk[start:end] != low[start]]
+        for i in at if low[start] == high[start] else at[chunk[start:end] == low[start]]:
+            j = np.arange(i + 1, end) if low[start] == high[start] else rest
             j = j[(label[j] != label[i]) & (100 * np.minimum(size[j], size[i]) >= PER_CENT * np.maximum(size[j], size[i]))]
             m = np.zeros(len(j), np.int64)
             for k in range(0, HASHES, BATCH):
@@ -242,14 +271,30 @@ def _compared(t: pa.Table, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
                 m += (sig[j, k : k + BATCH] == sig[i, k : k + BATCH]).sum(1)
                 ok = m >= LEAST[k + BATCH]
                 j, m = j[ok], m[ok]
-            if len(j):  # a pair belongs to the first band it shares
-                same = (sig[j, : BANDS * ROWS] == sig[i, : BANDS * ROWS]).reshape(-1, BANDS, ROWS).all(2)
-                j = j[same.argmax(1) == band[i]]
-                left += [i] * len(j)
-                right += j.tolist()
+            for o in j.tolist():
+                x, y = (top(int(label[i])), top(int(label[o]))) if exact else (top(int(i)), top(o))
+                if x != y and (not exact or sets.linked(text[i], text[o])):
+                    up[max(x, y)] = min(x, y)
+                    left.append(int(i))
+                    right.append(o)
     node = t.column("node").combine_chunks()
-    for k in range(0, len(left), 65536):
-        yield pa.RecordBatch.from_arrays([node.take(pa.array(left[k : k + 65536])), node.take(pa.array(right[k : k + 65536]))], ["a", "b"])
+    if left:
+        yield pa.RecordBatch.from_arrays([node.take(pa.array(left)), node.take(pa.array(right))], ["a", "b"])
+
+
+def _compared_in_chunks(rows: DataFrame, keys: list[str], exact: bool) -> DataFrame:
+    """``_compare`` the rows (keys, size of the group, node, label, n, sig[, v]) of each group in chunk pairs."""
+    rows = (
+        rows.withColumn("parts", F.ceil(F.col("size") / CHUNK).cast("int"))
+        .withColumn("chunk", F.pmod(F.hash("node"), F.col("parts")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("low", F.least("chunk", "other"))
+        .withColumn("high", F.greatest("chunk", "other"))
+        .select(*keys, "low", "high", "chunk", "node", "label", "n", "sig", *(["v"] if exact else []))
+    )
+    group = [*keys, "low", "high"]
+    kind = rows.schema["node"].dataType.simpleString()
+    return rows.repartition(slots(rows), *group).sortWithinPartitions(*group).mapInArrow(_compare(group, exact), f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,7 +322,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = members.join(centre, ["band", "key"]).filter(F.col("a") != F.col("node")).select("a", F.col("node").alias("b")).distinct()
     sigs = classes.select("node", F.col("sig").alias("v"))
     tried = saved(_both_sides(stars, sigs, _plausible), "star-candidates")
-    links = _verified(docs, tried, "star")
+    ends = tried.select("a").union(tried.select("b")).distinct()
+    links = saved(_both_sides(tried, _texts(docs, ends, "star-texts"), _linked), "star-links")
     # texts that share a doc_id are one document
     twice = named.select("doc_id", "hi", "lo").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1")
     same = named.join(twice, "doc_id", "left_semi").join(classes.select("hi", "lo", "node"), ["hi", "lo"])
@@ -286,20 +332,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # 2. remainder
     marked = members.join(labels, "node", "left").select("band", "key", "node", F.coalesce("label", "node").alias("label"))
     mixed = marked.groupBy("band", "key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("size")).filter("l1 <> l2")
-    parts = F.ceil(F.col("size") / CHUNK).cast("int")
-    chunked = (
-        marked.join(mixed.select("band", "key", parts.alias("parts")), ["band", "key"])
-        .join(classes.select("node", "n", "sig"), "node")
-        .withColumn("chunk", F.pmod(F.hash("node"), F.col("parts")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("band", "key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "node", "label", "n", "sig")
-    )
-    kind = classes.schema["node"].dataType.simpleString()
-    group = ["band", "key", "low", "high"]
-    rest = chunked.repartition(slots(docs), *group).sortWithinPartitions(*group).mapInArrow(_compare, f"a {kind}, b {kind}")
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(known, ["a", "b"], "left_anti")
-    late = _verified(docs, saved(rest, "rest-candidates"), "rest")
+    about = classes.select("node", "n", "sig")
+    crowd = marked.join(mixed.select("band", "key", "size"), ["band", "key"]).join(about, "node")
+    near = saved(_compared_in_chunks(crowd, ["band", "key"], False), "rest-near")
+    clusters = components(near).withColumnRenamed("label", "cluster")
+    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
+    texts = _texts(docs, clusters.select("node"), "rest-texts")
+    inside = clusters.join(sizes, "cluster").join(about, "node").join(texts, "node").join(labels, "node", "left")
+    inside = inside.withColumn("label", F.coalesce("label", "node"))
+    late = saved(_compared_in_chunks(inside, ["cluster"], True), "rest-links")
     if not late.isEmpty():
         old = labels.select(F.col("node"), F.col("label"))
         ends = late.join(old.toDF("a", "la"), "a", "left").join(old.toDF("b", "lb"), "b", "left")
