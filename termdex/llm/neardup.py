@@ -202,9 +202,10 @@ def _both_sides(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
     return right.join(left, ["a", "salt"]).filter(test("va", "vb")).select("a", "b")
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
-    """Packed texts of some nodes; only these texts move."""
-    return saved(docs.join(nodes.toDF("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), _packed("text").alias("v")), name)
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Packed texts of some nodes, kept for both verifications; texts are packed before they move."""
+    packed = docs.select(F.col("doc_id").alias("node"), _packed("text").alias("v"))
+    return saved(packed.join(nodes, "node", "left_semi"), "texts")
 
 
 def _bands(sig: Column) -> Column:
@@ -322,8 +323,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = members.join(centre, ["band", "key"]).filter(F.col("a") != F.col("node")).select("a", F.col("node").alias("b")).distinct()
     sigs = classes.select("node", F.col("sig").alias("v"))
     tried = saved(_both_sides(stars, sigs, _plausible), "star-candidates")
-    ends = tried.select("a").union(tried.select("b")).distinct()
-    links = saved(_both_sides(tried, _texts(docs, ends, "star-texts"), _linked), "star-links")
+    texts = _texts(docs, members.select("node").distinct())
+    links = saved(_both_sides(tried, texts, _linked), "star-links")
     # texts that share a doc_id are one document
     twice = named.select("doc_id", "hi", "lo").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1")
     same = named.join(twice, "doc_id", "left_semi").join(classes.select("hi", "lo", "node"), ["hi", "lo"])
@@ -337,7 +338,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = saved(_compared_in_chunks(crowd, ["band", "key"], False), "rest-near")
     clusters = components(near).withColumnRenamed("label", "cluster")
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    texts = _texts(docs, clusters.select("node"), "rest-texts")
     inside = clusters.join(sizes, "cluster").join(about, "node").join(texts, "node").join(labels, "node", "left")
     inside = inside.withColumn("label", F.coalesce("label", "node"))
     late = saved(_compared_in_chunks(inside, ["cluster"], True), "rest-links")
