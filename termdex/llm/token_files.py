@@ -17,7 +17,7 @@ Table columns: ``part`` (range partition), ``segment`` (number in the part), ``n
 ``doc_ids``, ``doc_lengths``, ``offsets`` (binary, uint32 per block), ``words`` (binary).
 
 How it runs. Documents are range-partitioned by id and sorted in their partition; equal
-ids fall in one partition, ordered by text. Encoding is a map that remembers the words it
+ids fall in one partition, ordered by text. Encoding is a map that remembers the pieces it
 has seen: the tokenizer drops white space, so a text's ids are those of its words in a
 row. Global starts are sums of the parts' totals (one number for each part reaches the
 driver) plus sums within the part. The range partitions hold about ``PART_BYTES`` of text,
@@ -49,8 +49,8 @@ BLOCK = 1024
 SEGMENT = 1 << 16
 END_ID = 1
 PART_BYTES = 32 << 20
-# Words a task remembers before it starts afresh.
-REMEMBERED = 400_000
+# Pieces a task remembers before it starts afresh.
+REMEMBERED = 500_000
 _LOW60 = np.uint64((1 << 60) - 1)
 
 
@@ -131,83 +131,89 @@ def unpack_block(words: np.ndarray, offsets: np.ndarray, n: int, b: int, block:
 
 
 class _Numbers(dict):
-    """Numbers words in the order in which they are first asked for."""
+    """Numbers strings in the order in which they are first asked for."""
 
     def __init__(self):
         super().__init__()
         self.new: list[str] = []
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
         return n
 
 
 class WordTokenizer:
     """A tokenizer file whose ids of a text are those of its blank-separated words in a row.
 
-    Words of printable ASCII and Latin-1 letters, which its normaliser only lowers, are cut
-    as its pre-tokenizer cuts them and go straight to its merge model; the library encodes
-    all other words whole.
+    Texts of printable ASCII and Latin-1 letters, which its normaliser only lowers, are cut
+    as its pre-tokenizer cuts them, and each distinct piece goes straight to its merge
+    model. In other texts this holds word by word, and the library encodes the words that
+    are not plain whole.
     """
 
     SPLIT = re.compile(r"[^ \n\t\r]+")
-    # The file's pre-tokenizer pattern over such words.
-    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-    CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    # Plain characters, and the file's pre-tokenizer pattern over them.
+    PLAIN = re.compile(r"[ \n\t\r!-~À-ÖØ-öø-ÿ]*")
+    CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \n\t\ra-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             self.json = f.read()
 
     def encoder(self):
-        """A function from texts to id arrays that remembers the words it has seen."""
+        """A function from texts to id arrays that remembers the pieces it has seen."""
         from tokenizers import Tokenizer, pre_tokenizers
 
         t = Tokenizer.from_str(self.json)
         merge = t.model.tokenize
-        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        find, plain, cut = self.SPLIT.findall, self.PLAIN.fullmatch, self.CUT.findall
-        pieces: dict[str, list[int]] = {}
-
-        def piece(p: str) -> list[int]:
-            got = pieces.get(p)
-            if got is None:
-                as_bytes = p if p.isascii() else bytewise.pre_tokenize_str(p)[0][0]
-                got = pieces[p] = [x.id for x in merge(as_bytes)]
-            return got
-
-        def word(w: str) -> list[int]:
-            if plain(w) and "<|" not in w:
-                return [i for p in cut(w.lower()) for i in piece(p)]
-            return t.encode(w, add_special_tokens=False).ids
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        split, match, cut = self.SPLIT.findall, self.PLAIN.fullmatch, self.CUT.findall
+
+        def plain(x: str) -> bool:
+            return "<|" not in x and match(x) is not None
+
+        def keys(x: str | None) -> list[str]:
+            if not x:
+                return []
+            if plain(x):
+                return cut(x.lower())
+            return [k for w in split(x) for k in (cut(w.lower()) if plain(w) else (w,))]
+
+        def ids_of(key: str) -> list[int]:
+            if not plain(key):
+                return t.encode(key, add_special_tokens=False).ids
+            return [x.id for x in merge(key if key.isascii() else bytewise(key)[0][0])]
 
         seen = _Numbers()
-        pool, length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        pool, length = np.zeros(0, np.int32), np.zeros(0, np.int64)
         start = length
 
         def run(texts: list[str | None]) -> list[np.ndarray]:
             nonlocal seen, pool, start, length
             if len(seen) > REMEMBERED:
                 seen = _Numbers()
-                pieces.clear()
-                pool = start = length = np.zeros(0, np.int64)
-            words = [find(x) if x else [] for x in texts]
-            sizes = np.array([len(w) for w in words])
-            number = seen.__getitem__
-            k = np.fromiter((number(w) for x in words for w in x), np.int64, int(sizes.sum()))
+                pool, length = pool[:0], length[:0]
+            number, numbered = seen.__getitem__, []
+            for x in texts:
+                k = keys(x)
+                numbered.append(np.fromiter(map(number, k), np.int64, len(k)))
             if seen.new:
-                new = [word(w) for w in seen.new]
+                more, flat = [], []
+                for key in seen.new:
+                    got = ids_of(key)
+                    more.append(len(got))
+                    flat += got
                 seen.new.clear()
-                more = np.array([len(x) for x in new])
-                length = np.concatenate([length, more])
-                pool = np.concatenate([pool, np.array([i for x in new for i in x], np.int64)])
+                length = np.concatenate([length, np.array(more, np.int64)])
+                pool = np.concatenate([pool, np.array(flat, np.int32)])
                 start = np.cumsum(length) - length
-            n = length[k]
-            ends = np.cumsum(n)
-            ids = pool[np.repeat(start[k] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
-            bounds = np.concatenate([[0], ends])[np.cumsum(sizes)]
-            return np.split(ids, bounds[:-1])
+            out = []
+            for k in numbered:
+                n = length[k]
+                ends = np.cumsum(n)
+                out.append(pool[np.repeat(start[k] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)])
+            return out
 
         return run
 
@@ -246,7 +252,7 @@ def _write(get, end_id: int):
             for a in range(0, len(texts), 256):
                 for name, ids in zip(names[a : a + 256], encode(texts[a : a + 256]), strict=True):
                     docs.append(name)
-                    held.append(np.append(ids, end_id))
+                    held.append(np.append(ids, np.int32(end_id)))
                     size += len(ids) + 1
                     if size >= SEGMENT:
                         yield _segment(part, number, docs, held, kind)
