@@ -62,6 +62,8 @@ MISS = 1e-5
 TOGETHER = 256
 # Members of a bucket that are compared with each other in one task.
 CHUNK = 1024
+# Ids that are broadcast to pick texts; beyond, the texts are shuffled to the ids.
+MAX_BROADCAST = 1_000_000
 # Parts into which the pairs of one centre are dealt.
 SALTS = 32
 
@@ -205,6 +207,9 @@ def _both_sides(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Packed texts of some nodes, kept for both verifications; texts are packed before they move."""
     packed = docs.select(F.col("doc_id").alias("node"), _packed("text").alias("v"))
+    nodes = saved(nodes, "nodes")
+    if nodes.count() <= MAX_BROADCAST:
+        nodes = F.broadcast(nodes)
     return saved(packed.join(nodes, "node", "left_semi"), "texts")
 
 

@@ -62,7 +62,7 @@ def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     segments = token_files.write(read_table(spark, sf, "documents"), token_files.public_tokenizer())
-    return token_files.read(segments).select("doc_id", "start", "n_tokens", token_files.ids_crc32("ids").alias("ids_crc32"))
+    return token_files.digests(segments)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

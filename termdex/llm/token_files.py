@@ -13,15 +13,15 @@ escape: the next word is one number of 64 bits. A segment also stores the offset
 block's first word, so blocks decode on their own and all words of one selector decode
 together, as arrays.
 
-Table columns: ``part`` (range partition), ``segment`` (number in the part), ``n_ids``,
+Table columns: ``part`` (range partition), ``before`` (ids before it in the part), ``n_ids``,
 ``doc_ids``, ``doc_lengths``, ``offsets`` (binary, uint32 per block), ``words`` (binary).
 
 How it runs. Documents are range-partitioned by id and sorted in their partition; equal
 ids fall in one partition, ordered by text. Encoding is a map that remembers the pieces it
 has seen: the tokenizer drops white space, so a text's ids are those of its words in a
-row. Global starts are sums of the parts' totals (one number for each part reaches the
-driver) plus sums within the part. The range partitions hold about ``PART_BYTES`` of text,
-so a part, unlike the corpus, is small.
+row. A task counts the ids before each of its segments; global starts add the totals of the
+parts before (one number for each part of ``PART_BYTES`` of text reaches the driver). So
+reading is a map over the segments.
 
 Null and empty texts hold the end id alone. Repeated rows are written each. Null ids come
 first. Other columns are ignored.
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -46,9 +46,11 @@ from termdex.llm.common import saved, ship, small_batches
 # Numbers in a word and bits of each, by selector (selector 0 is the escape).
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 BLOCK = 1024
-SEGMENT = 1 << 16
+SEGMENT = 1 << 13
 END_ID = 1
 PART_BYTES = 32 << 20
+# Parts whose starts are broadcast; more are joined by a shuffle.
+MAX_PARTS = 500_000
 # Pieces a task remembers before it starts afresh.
 REMEMBERED = 500_000
 _LOW60 = np.uint64((1 << 60) - 1)
@@ -57,22 +59,34 @@ _LOW60 = np.uint64((1 << 60) - 1)
 # -- coding ----------------------------------------------------------------------------
 
 
+_SMALL = np.concatenate([[0], np.floor(np.log2(np.arange(1, 1 << 16))) + 1]).astype(np.uint8)
+
+
+def _bit_lengths(x: np.ndarray) -> np.ndarray:
+    """Bits of each number; of some above 2**53, one too many."""
+    if not len(x) or x.max() < 1 << 16:
+        return _SMALL[x]
+    return np.frexp(x.astype(float))[1].astype(np.uint8)
+
+
 def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """Words of an array of numbers below 2**64, and the offset of every block's first word."""
     x = np.ascontiguousarray(ids, np.uint64)
     n = len(x)
-    ends = np.minimum((np.arange(n) // block + 1) * block, n)
-    # the first selector whose numbers, from here on, all fit and end in the block
+    # the selector with the most numbers whose numbers, from here on, fit and end in the block
     choice = np.zeros(n, np.int64)
-    left = ends - np.arange(n)
+    left = np.minimum(block - np.arange(n) % block, np.arange(n, 0, -1))
+    widest, size = _bit_lengths(x), 1  # widest of the next `size` numbers
     for s in range(len(SELECTORS), 0, -1):
         count, bits = SELECTORS[s - 1]
         if count > n:
-            continue
-        wide = np.concatenate([[0], np.cumsum(x >> np.uint64(bits) > 0)])
-        fits = np.zeros(n, bool)
-        fits[: n - count + 1] = wide[count:] == wide[: n - count + 1]
-        choice[fits & (left >= count)] = s
+            break
+        while size < count:
+            step = min(size, count - size)
+            widest = np.maximum(widest[:-step], widest[step:])
+            size += step
+        fits = (widest <= bits) & (left[: n - count + 1] >= count)
+        choice[: n - count + 1][fits] = s
     step = np.array([1, *(c for c, _ in SELECTORS)])[choice].tolist()
     places, at = [], 0
     while at < n:
@@ -227,27 +241,26 @@ def public_tokenizer() -> WordTokenizer:
 # -- tables ----------------------------------------------------------------------------
 
 
-def _segment(part: int, number: int, docs: list, ids: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+def _segment(part: int, before: int, docs: list, ids: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
     words, offsets = pack(np.concatenate(ids))
     lengths = [len(x) for x in ids]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([part], pa.int32()), pa.array([number]), pa.array([sum(lengths)]), pa.array([docs], pa.list_(kind)), pa.array([lengths], pa.list_(pa.int64())),
+            pa.array([part], pa.int32()), pa.array([before]), pa.array([sum(lengths)]), pa.array([docs], pa.list_(kind)), pa.array([lengths], pa.list_(pa.int64())),
             pa.array([offsets.astype("<u4").tobytes()]), pa.array([words.astype("<u8").tobytes()]),
         ],
-        ["part", "segment", "n_ids", "doc_ids", "doc_lengths", "offsets", "words"],
+        ["part", "before", "n_ids", "doc_ids", "doc_lengths", "offsets", "words"],
     )
 
 
 def _write(get, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = get().encoder()
-        number, docs, held, size = 0, [], [], 0
+        before, docs, held, size = 0, [], [], 0
         part, kind = 0, pa.int64()
         for b in batches:
             kind = b.column("doc_id").type
-            parts = b.column("part").to_pylist()
-            part = parts[0] if parts else part
+            part = b.column("part")[0].as_py() if b.num_rows else part
             names, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
             for a in range(0, len(texts), 256):
                 for name, ids in zip(names[a : a + 256], encode(texts[a : a + 256]), strict=True):
@@ -255,10 +268,10 @@ def _write(get, end_id: int):
                     held.append(np.append(ids, np.int32(end_id)))
                     size += len(ids) + 1
                     if size >= SEGMENT:
-                        yield _segment(part, number, docs, held, kind)
-                        number, docs, held, size = number + 1, [], [], 0
+                        yield _segment(part, before, docs, held, kind)
+                        before, docs, held, size = before + size, [], [], 0
         if docs:
-            yield _segment(part, number, docs, held, kind)
+            yield _segment(part, before, docs, held, kind)
 
     return run
 
@@ -271,45 +284,65 @@ def write(docs: DataFrame, tokenizer: WordTokenizer, id_col: str = "doc_id", tex
     parts = max(1, -(-size // PART_BYTES))
     ranged = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"part int, segment long, n_ids long, doc_ids array<{kind}>, doc_lengths array<long>, offsets binary, words binary"
+    schema = f"part int, before long, n_ids long, doc_ids array<{kind}>, doc_lengths array<long>, offsets binary, words binary"
     return saved(ranged.mapInArrow(_write(ship(docs.sparkSession, tokenizer), end_id), schema), name)
 
 
+def _decoded(b: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
+    """Document ids, ends, lengths and token ids of each segment."""
+    for r in range(b.num_rows):
+        get = lambda n, r=r: b.column(n)[r].as_py()
+        ids = unpack(np.frombuffer(get("words"), "<u8"), np.frombuffer(get("offsets"), "<u4"), get("n_ids"))
+        lengths = np.array(get("doc_lengths"), np.int64)
+        yield get("doc_ids"), get("before") + np.cumsum(lengths) - lengths, lengths, ids
+
+
 def _read(kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                r = {n: b.column(n)[k].as_py() for n in b.schema.names}
-                ids = unpack(np.frombuffer(r["words"], "<u8"), np.frombuffer(r["offsets"], "<u4"), r["n_ids"])
-                lengths = np.array(r["doc_lengths"], np.int64)
-                ends = np.cumsum(lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(r["doc_ids"], kind), pa.array(ends - lengths + r["before"]), pa.array(lengths),
-                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids.astype(np.int64))),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids"],
-                )
+        for docs, start, lengths, ids in (x for b in batches for x in _decoded(b)):
+            bounds = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(bounds, pa.array(ids.astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(docs, kind), pa.array(start), pa.array(lengths), lists], ["doc_id", "start", "n_tokens", "ids"])
 
     return run
 
 
-def read(segments: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids`` of every document, decoded from the segments."""
-    spark = segments.sparkSession
+def _digest(kind: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for docs, start, lengths, ids in (x for b in batches for x in _decoded(b)):
+            data, ends = memoryview(ids.astype("<u4").tobytes()), 4 * np.cumsum(lengths)
+            crc = [zlib.crc32(data[e - 4 * n : e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(docs, kind), pa.array(start), pa.array(lengths), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return run
+
+
+def _placed(segments: DataFrame) -> DataFrame:
+    """Segments with ``before`` counted from the first part on."""
     totals = dict(segments.groupBy("part").agg(F.sum("n_ids")).collect())
     firsts, total = [], 0
     for part in sorted(totals):
         firsts.append((part, total))
         total += totals[part]
-    starts = spark.createDataFrame(firsts, "part int, first long")
-    # segments within a part: few numbers, as a part is bounded
-    sizes = segments.select("part", "segment", "n_ids").withColumn("inside", F.sum("n_ids").over(Window.partitionBy("part").orderBy("segment")) - F.col("n_ids"))
-    places = sizes.join(starts, "part").select("part", "segment", (F.col("first") + F.col("inside")).alias("before"))
-    kind = segments.schema["doc_ids"].dataType.elementType.simpleString()
-    rows = segments.join(places, ["part", "segment"])
-    arrow = to_arrow_type(segments.schema["doc_ids"].dataType.elementType)
-    return rows.mapInArrow(_read(arrow), f"doc_id {kind}, start long, n_tokens long, ids array<long>")
+    starts = segments.sparkSession.createDataFrame(firsts, "part int, first long")
+    starts = F.broadcast(starts) if len(firsts) <= MAX_PARTS else starts
+    return segments.join(starts, "part").withColumn("before", F.col("first") + F.col("before")).drop("first")
+
+
+def _id_type(segments: DataFrame) -> T.DataType:
+    return segments.schema["doc_ids"].dataType.elementType
+
+
+def read(segments: DataFrame) -> DataFrame:
+    """``doc_id, start, n_tokens, ids`` of every document, decoded from the segments."""
+    kind = _id_type(segments)
+    return _placed(segments).mapInArrow(_read(to_arrow_type(kind)), f"doc_id {kind.simpleString()}, start long, n_tokens long, ids array<long>")
+
+
+def digests(segments: DataFrame) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of every document: ``read`` with the ids as a checksum."""
+    kind = _id_type(segments)
+    return _placed(segments).mapInArrow(_digest(to_arrow_type(kind)), f"doc_id {kind.simpleString()}, start long, n_tokens long, ids_crc32 long")
 
 
 @F.pandas_udf(T.LongType())

@@ -317,5 +317,6 @@ def test_token_files_hold_all_ids_in_order(spark, monkeypatch):
         at += len(ids)
     crc = token_files.read(segments).filter("doc_id = 300").select(token_files.ids_crc32("ids")).first()[0]
     assert crc == zlib.crc32(np.array([*library.encode("long " * 20_000, add_special_tokens=False).ids, 1], "<u4").tobytes())
+    assert token_files.digests(segments).filter("doc_id = 300").first()["ids_crc32"] == crc
     empty = token_files.write(df.filter("false"), t)
     assert token_files.read(empty).count() == 0
