@@ -46,7 +46,7 @@ from termdex.llm.common import saved, ship, small_batches
 # Numbers in a word and bits of each, by selector (selector 0 is the escape).
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 BLOCK = 1024
-SEGMENT = 1 << 13
+SEGMENT = 1 << 15
 END_ID = 1
 PART_BYTES = 32 << 20
 # Parts whose starts are broadcast; more are joined by a shuffle.
