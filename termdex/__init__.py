@@ -5,7 +5,7 @@ all-words search over postings. Built from Spark SQL expressions only.
 """
 
 from termdex.functions.text import clean, doc_name, lower_query, query_terms, raw_terms, split_words, term_array
-from termdex.operators.index import grouped, merge_postings, postings, spread, stats, tokens, with_block
+from termdex.operators.index import grouped, keyed, merge_postings, partition_count, postings, spread, stats, tokens, with_block
 from termdex.operators.lines import format_lines, parse_lines
 from termdex.operators.search import (
     batch_terms,
@@ -21,8 +21,8 @@ from termdex.sources.index_io import read_index, read_text_index, write_index, w
 from termdex.streaming.ingest import compact, index_stream, read_merged, stream_table, stream_text_files
 
 __all__ = [
-    "batch_terms", "clean", "compact", "doc_name", "format_lines", "from_table", "grouped", "index_stream",
-    "lower_query", "merge_postings", "parse_lines", "parse_query", "postings", "query_terms", "raw_terms",
+    "batch_terms", "clean", "compact", "doc_name", "format_lines", "from_table", "grouped", "index_stream", "keyed",
+    "lower_query", "merge_postings", "parse_lines", "partition_count", "parse_query", "postings", "query_terms", "raw_terms",
     "read_index", "read_lines", "read_merged", "read_table", "read_text_index", "read_whole",
     "resident_index", "search_all", "search_all_intersect", "search_batch", "search_stored", "split_words",
     "spread", "stats", "stream_table", "stream_text_files", "term_array", "tokens", "with_block",

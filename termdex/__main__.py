@@ -1,6 +1,7 @@
 """Command line: the reference's jobs as ``python -m termdex`` (or ``spark-submit``).
 
     build  IN [IN ...] OUT [--parts N] [--format text|parquet] [--sep tab|spaces] [--whole]
+           [--layout hash|round|range] [--input-parts N]
     search INDEX QUERY [--format parquet|text] [--clean]
     batch  INDEX QUERIES OUT [--format parquet|text] [--clean]
     stats  INDEX [--format parquet|text]
@@ -44,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--parts", type=int, default=None, help="number of output parts; -1 or none: Spark's own")
     b.add_argument("--format", choices=("text", "parquet"), default="text")
     b.add_argument("--sep", choices=("tab", "spaces"), default="tab")
+    b.add_argument("--layout", choices=("hash", "round", "range"), default="hash", help="of the text parts")
+    b.add_argument("--input-parts", type=int, default=None, help="spread the input over this many tasks")
     b.add_argument("--whole", action="store_true", help="read each file as one row")
 
     s = sub.add_parser("search", help="documents holding every word of a query")
@@ -73,11 +76,11 @@ def main(argv: list[str] | None = None) -> int:
             inputs, out = a.paths[:-1], a.paths[-1]
             parts = a.parts if a.parts and a.parts > 0 else None
             docs = (read_whole if a.whole else read_lines)(spark, inputs)
-            post = postings(docs, "auto")
+            post = postings(docs, a.input_parts or "auto")
             if a.format == "parquet":
                 write_index(post, out, parts)
             else:
-                write_text_index(post, out, parts, TAB_SEP if a.sep == "tab" else SPACES_SEP)
+                write_text_index(post, out, parts, TAB_SEP if a.sep == "tab" else SPACES_SEP, a.layout)
         elif a.cmd == "search":
             res = search_stored(spark, a.index, a.query, a.format, a.clean)
             for row in res.toLocalIterator():

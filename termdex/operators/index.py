@@ -3,7 +3,7 @@
 The flat ``postings(term, doc, tf)`` table is the index. It has one row per
 (term, document) pair, so no row grows with the corpus, and every later step
 (search, text lines, statistics, merging) reads it. A grouped form with all of a
-term's documents in one row is only built in bounded blocks (see ``doc_block``).
+term's documents in one row is only built in bounded blocks (see ``with_block``).
 
 Plan shape of ``postings`` (checked in ``tests/test_plans.py``)::
 
@@ -21,52 +21,48 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from termdex.functions.text import raw_terms
 
-# log2 of the documents per posting block when doc keys are integers: a grouped row
-# or text line never holds more than 2**20 postings (about 20 MB of text at most).
+# log2 of the documents per posting block: a term with at most 2**20 documents has one
+# grouped row or text line; a longer list is cut into rows of about that many.
 DEFAULT_BLOCK_BITS = 20
-# String doc keys: None = number documents and block exactly (see with_block);
-# k = that many hash buckets per term (1 = one line per term, as in the reference).
-DEFAULT_STRING_BLOCKS = None
-# Broadcast the document-number dictionary only below this (counted) size.
-MAX_BROADCAST_DOCS = 5_000_000
+
+
+def keyed(doc: Column | str) -> Column:
+    """A document key that must not be null: a null one fails the job (for every builder and search)."""
+    doc = F.col(doc) if isinstance(doc, str) else doc
+    return F.when(doc.isNull(), F.raise_error(F.lit("null document key"))).otherwise(doc)
 
 
 def spread(df: DataFrame, partitions: int | str | None = "auto") -> DataFrame:
     """K5: optionally spread rows round-robin over more tasks before heavy work.
 
     ``None``/``0`` leaves the scan as it is; an int repartitions to that count;
-    ``"auto"`` repartitions only when the scan has fewer splits than the cluster
-    has task slots (a single large Parquet row group is read by one task). A big
-    input has many more splits than slots, so ``auto`` adds no shuffle there.
-    A plan that already shuffles is left alone; its split count is only read for
-    exchange-free plans, where that needs no job (with AQE it would run the stages).
+    ``"auto"`` is for plain scans: it repartitions only when the scan has fewer splits
+    than the cluster has task slots (a single large Parquet row group is read by one
+    task). A big input has many more splits than slots, so ``auto`` adds no shuffle
+    there. Plans that shuffle already should be given ``None``.
     """
     if partitions is None or partitions == 0:
         return df
     if partitions == "auto":
-        from termdex.plans.inspect import exchanges
-
-        if exchanges(df):
-            return df
-        try:
-            slots = df.sparkSession.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
-            return df
-        return df if splits >= slots else df.repartition(slots)
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        return df if partition_count(df) >= slots else df.repartition(slots)
     return df.repartition(int(partitions))
 
 
+def partition_count(df: DataFrame) -> int:
+    """K6: number of partitions of a DataFrame (of a scan: its splits; no job is run for those)."""
+    return df.rdd.getNumPartitions()
+
+
 def tokens(docs: DataFrame, partitions: int | str | None = None) -> DataFrame:
     """One row per term occurrence -> ``(doc, term)``.
 
     ``partitions`` spreads the documents before tokenising (see ``spread``).
     """
-    src = spread(docs.select("doc", "text"), partitions)
+    src = spread(docs.select(keyed("doc").alias("doc"), "text"), partitions)
     occ = src.select("doc", F.explode(raw_terms("text")).alias("term"))
     return occ.select("doc", F.lower("term").alias("term"))
 
@@ -87,8 +83,8 @@ def postings(docs: DataFrame, partitions: int | str | None = None) -> DataFrame:
 def merge_postings(*parts: DataFrame) -> DataFrame:
     """A5: merge partial indexes; counts of the same (term, doc) add up.
 
-    Each part is pre-aggregated on the map side before the one shuffle, so merging
-    an index with a small increment moves little more than the increment.
+    The parts' pairs are unique, so all of them move in the one shuffle: merge when many
+    increments have gathered (``streaming.ingest.compact``), not for each.
     """
     if not parts:
         raise ValueError("merge_postings needs at least one index")
@@ -109,82 +105,33 @@ def stats(post: DataFrame) -> DataFrame:
     )
 
 
-def doc_block(
-    doc: Column,
-    doc_type: T.DataType,
-    block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
-) -> Column:
-    """Block number of a document inside one term's posting list (integer keys).
+def with_block(post: DataFrame, block_bits: int = DEFAULT_BLOCK_BITS) -> DataFrame:
+    """``post`` plus a ``block`` column: 0 for every term with at most ``2**block_bits`` documents.
 
-    ``doc >> block_bits`` is exact floor division by ``2**block_bits``, so a block
-    holds at most ``2**block_bits`` documents, doc keys being unique within a term.
-    For string keys with ``string_blocks`` set: a hash bucket out of that many.
-    """
-    if isinstance(doc_type, T.IntegralType):
-        return F.shiftright(doc.cast("bigint"), block_bits)
-    if not string_blocks or string_blocks <= 1:
-        return F.lit(0).cast("bigint")
-    return F.pmod(F.xxhash64(doc), F.lit(string_blocks)).cast("bigint")
-
-
-def doc_numbers(post: DataFrame, max_broadcast: int = MAX_BROADCAST_DOCS) -> tuple[DataFrame, bool]:
-    """Give every distinct document a unique integer ``doc_no`` -> ``((doc, doc_no), small)``.
-
-    The numbers are fixed once with a reliable checkpoint (a recomputed partition
-    could otherwise number documents differently). ``small`` tells whether the
-    counted dictionary may be broadcast.
-    """
-    from termdex.session import checkpoint_base
-
-    checkpoint_base(post.sparkSession)
-    numbered = post.select("doc").distinct().withColumn("doc_no", F.monotonically_increasing_id())
-    numbered = numbered.checkpoint(eager=True)
-    return numbered, numbered.count() <= max_broadcast
-
-
-def with_block(
-    post: DataFrame,
-    block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
-) -> DataFrame:
-    """``post`` plus a ``block`` column bounding every (term, block) group.
-
-    Integer doc keys: ``doc >> block_bits``. String keys, ``string_blocks=None``
-    (default): documents are numbered once (``doc_numbers``) and blocked by
-    ``doc_no >> block_bits``, so the bound is exact for file names too. String keys
-    with ``string_blocks=k``: ``k`` hash buckets (``1`` = one line per term, as the
-    reference writes it).
+    Only a longer list is cut, by a hash of the document, into the fewest blocks of that
+    many documents on average, so the result depends on neither the key's type nor the
+    partitioning. The document frequencies reuse the build's own exchange. Cut terms are
+    broadcast: there is at most one for every ``2**block_bits`` postings.
     """
-    doc_type = post.schema["doc"].dataType
-    if isinstance(doc_type, T.IntegralType) or string_blocks:
-        return post.withColumn("block", doc_block(F.col("doc"), doc_type, block_bits, string_blocks))
-    # Postings are read twice (to number the documents, then to block them): a build
-    # that still has to shuffle is cut once with a reliable checkpoint instead of
-    # tokenising the corpus twice; a plain scan of a stored index is just read again.
-    from termdex.plans.inspect import exchanges
-    from termdex.session import checkpoint_base
-
-    if exchanges(post):
-        checkpoint_base(post.sparkSession)
-        post = post.checkpoint(eager=True)
-    numbered, small = doc_numbers(post)
-    numbered = F.broadcast(numbered) if small else numbered.hint("merge")
-    return post.join(numbered, "doc").withColumn("block", F.shiftright("doc_no", block_bits)).drop("doc_no")
-
-
-def grouped(
-    post: DataFrame,
-    block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
-) -> DataFrame:
+    size = 1 << block_bits
+    # tf is named so that both sides have the same aggregate below, and so one exchange
+    one = F.when(F.col("tf") < 0, 0).otherwise(1)
+    heavy = post.groupBy("term").agg(F.sum(one).alias("df")).filter(F.col("df") > size)
+    heavy = heavy.select("term", F.ceil(F.col("df") / size).alias("parts"))
+    digest = F.conv(F.substring(F.md5(F.col("doc").cast("string")), 1, 8), 16, 10).cast("bigint")
+    block = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(digest, F.col("parts"))).cast("bigint")
+    cut = post.join(F.broadcast(heavy), "term", "left")
+    return cut.withColumn("doc", keyed("doc")).withColumn("block", block).drop("parts")
+
+
+def grouped(post: DataFrame, block_bits: int = DEFAULT_BLOCK_BITS) -> DataFrame:
     """A3 + P5: ``(term, block, postings array<struct<doc, tf>>)`` sorted by doc.
 
     All of a common term's documents in one row would grow with the corpus, so the
-    list is cut into blocks of documents; a term has one row per non-empty block.
+    list is cut into blocks of documents (``with_block``); other terms have one row.
     """
     return (
-        with_block(post, block_bits, string_blocks)
+        with_block(post, block_bits)
         .select("term", "block", F.struct("doc", "tf").alias("p"))
         .groupBy("term", "block")
         .agg(F.sort_array(F.collect_list("p")).alias("postings"))

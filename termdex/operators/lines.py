@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termdex.functions.text import ENTRY_SEP, TAB_SEP, WHITESPACE_RUN, split_words
-from termdex.operators.index import DEFAULT_BLOCK_BITS, DEFAULT_STRING_BLOCKS, with_block
+from termdex.operators.index import DEFAULT_BLOCK_BITS, with_block
 
 
 def format_lines(
     post: DataFrame,
     sep: str = TAB_SEP,
     block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
 ) -> DataFrame:
     """P6-P8 over A3: ``(term, block, line)``.
 
@@ -36,11 +35,9 @@ def format_lines(
             doc.rlike(WHITESPACE_RUN),
             F.raise_error(F.concat(F.lit("doc name with whitespace cannot be written as text: "), doc)),
         ).otherwise(doc)
-    # a null key would silently vanish from the joined line, so it fails the job too
-    doc_str = F.when(doc.isNull(), F.raise_error(F.lit("null doc key cannot be written as text"))).otherwise(doc_str)
     entry = F.concat(doc_str, F.lit(ENTRY_SEP), F.col("tf").cast("string"))
     return (
-        with_block(post, block_bits, string_blocks)
+        with_block(post, block_bits)
         .select("term", "block", F.struct(doc.alias("d"), entry.alias("e")).alias("p"))
         .groupBy("term", "block")
         .agg(F.sort_array(F.collect_list("p")).alias("ps"))

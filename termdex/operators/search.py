@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termdex.functions.text import NON_TERM_RUN, query_terms
+from termdex.operators.index import keyed
 from termdex.session import checkpoint_base
 from termdex.sources.index_io import filter_text_lines, parse_lines, read_index, read_text_lines
 
@@ -60,7 +61,7 @@ def _divide(hits: DataFrame, n_terms: int) -> DataFrame:
     in a well-formed index, so a map-side combine would save nothing.
     """
     return (
-        hits.select("term", "doc")
+        hits.select("term", keyed("doc").alias("doc"))
         .repartition("doc")
         .groupBy("doc")
         .agg(F.count_distinct("term").alias("n"))
@@ -89,7 +90,7 @@ def search_all_intersect(post: DataFrame, query: str, clean_query: bool = False)
     # The query terms' postings are cut once (a reliable checkpoint): otherwise each
     # term's set would re-read the index, or re-tokenise the corpus, on its own.
     checkpoint_base(post.sparkSession)
-    hits = post.filter(F.col("term").isin(terms)).select("term", "doc").checkpoint(eager=True)
+    hits = post.filter(F.col("term").isin(terms)).select("term", keyed("doc").alias("doc")).checkpoint(eager=True)
     # Exact set sizes (one row per query term) order the intersection rarest first and
     # decide, per set, between a broadcast and a sort-merge semi-join.
     sizes = {r["term"]: r["n"] for r in hits.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -160,14 +161,20 @@ def search_batch(
 ) -> DataFrame:
     """Q6: answer a table ``queries(query_id, query)`` -> ``(query_id, doc)``.
 
-    Empty queries and queries with a term absent from the index have no answer.
+    Empty queries and queries with a term absent from the index have no answer. Ids name
+    the answers, so a null or repeated ``query_id`` raises. The postings are scanned three
+    times (frequencies of the batch's words, the rarest words' lists, the probes), each
+    time pruned to what is needed: give a stored index, not a build.
     """
+    if not queries.groupBy("query_id").count().filter("count > 1 or query_id is null").isEmpty():
+        raise ValueError("query_id must be unique and not null")
     qt = batch_terms(queries, clean_query)
     # One count of the (query, term) rows; it also bounds the batch's distinct terms.
     n_rows = qt.count()
     n_vocab = n_rows
     if n_rows == 0:
-        return post.select(F.lit(None).cast("bigint").alias("query_id"), "doc").filter(F.lit(False))
+        kind = queries.schema["query_id"].dataType
+        return post.select(F.lit(None).cast(kind).alias("query_id"), "doc").filter(F.lit(False))
 
     # Counted sizes decide every join strategy on the query side: broadcast below
     # the limits, a forced shuffle (sort-merge) join above them, whatever the
@@ -176,13 +183,10 @@ def search_batch(
     qt_small = n_rows <= max_broadcast_query_terms
     vocab = _side(qt.select("term").distinct(), terms_small)
 
-    # Postings of the batch's terms only (the semi-join is pushed below the postings
-    # aggregate, so only these terms' tokens are counted). They are read three times
-    # below, so a reliable checkpoint in the shared folder cuts the lineage: no
-    # second pass over the corpus or the index, and a lost executor does not send
-    # the job back to the scan.
+    # Postings of the batch's terms only: the semi-join is pushed below a postings
+    # aggregate, and a stored index is read for these columns alone.
     checkpoint_base(post.sparkSession)
-    rel = post.select("term", "doc").join(vocab, "term", "left_semi").checkpoint(eager=True)
+    rel = post.select("term", keyed("doc").alias("doc")).join(vocab, "term", "left_semi")
 
     # Rarest term of each query (at most one row per query, cut from lineage once);
     # a term missing from the index rules the query out.
@@ -201,7 +205,8 @@ def search_batch(
     # Exact number of (query, candidate doc, query term) probes, from the small table.
     n_probes = int(rare.agg(F.coalesce(F.sum(F.col("df") * F.col("n")), F.lit(0))).first()[0])
 
-    cand = rel.join(_side(rare.drop("df"), qt_small), "term").select("query_id", "doc", "n")
+    # Only the rarest words' lists are kept (a reliable checkpoint); stop words stay in place.
+    cand = rel.join(_side(rare.drop("df"), qt_small), "term").select("query_id", "doc", "n").checkpoint(eager=True)
     probes = cand.join(_side(qt.select("query_id", "term"), qt_small), "query_id")
     if n_probes <= max_broadcast_probes:
         # the probes are few: look them up in the postings without moving the postings

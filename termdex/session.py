@@ -38,13 +38,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set to a temporary folder only when unset (tests)."""
+    """The shared checkpoint folder; a temporary folder if unset and the master is ``local``."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server's own settings apply
         sc = None
     base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="termdex-cp-")
         try:
             spark.conf.set("spark.checkpoint.dir", base)
@@ -59,8 +62,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set, as in a bare local test session, a temporary folder is
-    made and registered as the checkpoint dir, so later calls agree.
+    Only when neither is set and Spark runs in one local JVM, a temporary folder is made
+    and registered as the checkpoint dir, so later calls agree; on a cluster that raises.
     """
     base = checkpoint_base(spark)
     name = "-".join(parts) if parts else "work"

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termdex.functions.text import TAB_SEP, WHITESPACE_CLASS
-from termdex.operators.index import DEFAULT_BLOCK_BITS, DEFAULT_STRING_BLOCKS
+from termdex.operators.index import DEFAULT_BLOCK_BITS
 from termdex.operators.lines import format_lines, parse_lines
 
 LAYOUTS = ("hash", "round", "range")
@@ -43,7 +43,6 @@ def write_text_index(
     sep: str = TAB_SEP,
     layout: str = "hash",
     block_bits: int = DEFAULT_BLOCK_BITS,
-    string_blocks: int | None = DEFAULT_STRING_BLOCKS,
     mode: str = "errorifexists",
 ) -> None:
     """K1-K4 with P6-P8: write the index as text lines.
@@ -54,7 +53,7 @@ def write_text_index(
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
-    lines = format_lines(post, sep, block_bits, string_blocks)
+    lines = format_lines(post, sep, block_bits)
     if layout == "hash":
         if parts:
             # by (term, block): the lines of one very common term spread over the parts

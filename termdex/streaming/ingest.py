@@ -1,10 +1,10 @@
 """Incremental index build with Structured Streaming (A5 applied per micro-batch).
 
 New documents arriving in a folder (text files or Parquet rows) are tokenised and
-counted per micro-batch; each batch's postings are written to its own folder
-``<index>/epoch=<id>``. A batch that is retried after a failure overwrites its own
-folder, so no count is added twice, and the stream's checkpoint records which
-files were already indexed.
+counted per micro-batch; each batch's postings are written, sorted, to its own folder
+``<index>/epoch=<stream>-<number>``, where the stream is the query's id, which its
+checkpoint keeps. A batch that is retried after a failure overwrites its own folder, so
+no count is added twice; another stream, or a new checkpoint, has folders of its own.
 
 Readers merge the partial indexes on the fly (``read_merged``): a document split
 across batches (more lines of the same file name, more turns of a conversation)
@@ -18,6 +18,7 @@ does not grow with the corpus.
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,16 +71,22 @@ def index_stream(
     """
     checkpoint = checkpoint or os.path.join(index_path, "_checkpoint")
 
+    started, stream = threading.Event(), []
+
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        out = os.path.join(index_path, f"epoch={epoch_id}")
-        postings(batch).write.mode("overwrite").parquet(out)
+        started.wait()
+        out = os.path.join(index_path, f"epoch={stream[0]}-{epoch_id}")
+        write_index(postings(batch), out, mode="overwrite")
 
     writer = docs.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    query = writer.start()
+    stream.append(query.id)
+    started.set()
+    return query
 
 
 def read_partials(spark: SparkSession, index_path: str) -> DataFrame:

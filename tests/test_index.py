@@ -83,7 +83,9 @@ def test_grouped_blocks_bound_rows(spark):
     docs = from_table(read_table(spark, SF_SMALL, "documents"))
     post = postings(docs)
     g = grouped(post, block_bits=4)
-    assert g.select(F.max(F.size("postings"))).first()[0] <= 16
+    assert g.select(F.max(F.size("postings"))).first()[0] <= 64
+    # short lists are never cut
+    assert g.groupBy("term").agg(F.count("*").alias("k"), F.sum(F.size("postings")).alias("n")).filter("n <= 16 and k > 1").count() == 0
     flat = g.select("term", F.explode("postings").alias("p")).select("term", "p.doc", "p.tf")
     assert flat.exceptAll(post).count() == 0 and post.exceptAll(flat).count() == 0
     # entries of a row are sorted by doc
@@ -173,21 +175,34 @@ def test_text_lines_reader_reads_all_parts(spark, hand_docs, tmp_path):
     assert read_text_lines(spark, path).count() == 11
 
 
-def test_string_doc_lines_are_bounded(spark, tmp_path):
-    # ten files all holding "cloud": with 2-document blocks no line has more than 2 entries
-    docs = spark.createDataFrame([(f"f{i}.txt", "cloud computing") for i in range(10)], "doc string, text string")
-    post = postings(docs)
-    lines = format_lines(post, block_bits=1).select("line").collect()
-    assert max(len(r["line"].split("\t")) - 1 for r in lines) <= 2
-    assert len([r for r in lines if r["line"].startswith("cloud\t")]) == 5
-    g = grouped(post, block_bits=1)
-    assert g.select(F.max(F.size("postings"))).first()[0] <= 2
-    path = str(tmp_path / "idx")
-    write_text_index(post, path, block_bits=1)
-    assert _post_set(read_text_index(spark, path)) == _post_set(post)
-    # one line per term, as the reference writes it, on request
-    one = format_lines(post, string_blocks=1).select("line").collect()
-    assert sorted(r["line"] for r in one)[0] == "cloud\t" + "\t".join(f"f{i}.txt:1" for i in range(10))
+def test_long_lists_are_cut_whatever_the_key(spark, tmp_path):
+    for kind, name in (("string", lambda i: f"f{i}.txt"), ("bigint", lambda i: i << 40)):
+        docs = spark.createDataFrame([(name(i), "cloud computing") for i in range(100)], f"doc {kind}, text string")
+        post = postings(docs)
+        lines = format_lines(post, block_bits=4).select("line").collect()
+        sizes = [len(r["line"].split("\t")) - 1 for r in lines if r["line"].startswith("cloud\t")]
+        assert sum(sizes) == 100 and 3 <= len(sizes) <= 7
+        path = str(tmp_path / f"idx-{kind}")
+        write_text_index(post, path, block_bits=4)
+        assert read_text_index(spark, path).count() == 200
+        # one line per term up to the block's size
+        assert format_lines(post).count() == 2
+
+
+def test_lines_depend_on_no_partitioning(spark):
+    docs = spark.createDataFrame([(f"f{i}", "cloud x" if i % 2 else "cloud y") for i in range(60)], "doc string, text string")
+    want = None
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for aqe, parts in (("true", "8"), ("false", "1"), ("false", "40")):
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = sorted(r["line"] for r in format_lines(postings(docs.repartition(7)), block_bits=5).collect())
+            want = want or got
+            assert got == want and len(got) == 4
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_empty_corpus_through_every_operator(spark, tmp_path):
@@ -229,9 +244,11 @@ def test_text_sink_refuses_null_doc_key(spark, tmp_path):
     docs = spark.createDataFrame([(None, "cloud"), (1, "cloud")], "doc bigint, text string")
     with pytest.raises(Exception):
         write_text_index(postings(docs), str(tmp_path / "idx"))
-    path = str(tmp_path / "pq")
-    write_index(postings(docs), path)
-    assert read_index(spark, path).count() == 2
+    with pytest.raises(Exception):
+        write_index(postings(docs), str(tmp_path / "pq"))
+    names = spark.createDataFrame([(None, "cloud"), ("a", "cloud")], "doc string, text string")
+    with pytest.raises(Exception):
+        write_text_index(postings(names), str(tmp_path / "names"))
 
 
 def test_text_form_round_trips_random_string_names(spark):

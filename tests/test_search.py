@@ -152,3 +152,34 @@ def test_null_queries_have_no_answer(spark, hand_post):
     got = sorted(map(tuple, search_batch(hand_post, qs).collect()))
     assert got == [(2, "a.txt"), (2, "b.txt")]
     assert _docs(search_all(hand_post, None)) == []
+
+
+def test_batch_ids_must_name_one_query(spark, hand_post):
+    for rows in ([(1, "cloud"), (1, "x")], [(None, "cloud")]):
+        with pytest.raises(ValueError):
+            search_batch(hand_post, spark.createDataFrame(rows, "query_id bigint, query string"))
+
+
+def test_batch_keeps_the_type_of_ids(spark, hand_post):
+    for text in ("cloud", ""):
+        got = search_batch(hand_post, spark.createDataFrame([("q", text)], "query_id string, query string"))
+        assert dict(got.dtypes)["query_id"] == "string"
+
+
+def test_searches_refuse_null_keys(spark):
+    post = spark.createDataFrame([("cloud", None, 1), ("x", None, 1), ("cloud", "a", 1), ("x", "a", 1)], "term string, doc string, tf bigint")
+    for search in (search_all, search_all_intersect):
+        with pytest.raises(Exception):
+            search(post, "cloud x").collect()
+
+
+def test_cluster_without_a_shared_folder_raises():
+    from unittest.mock import MagicMock
+
+    from termdex.session import checkpoint_base
+
+    spark = MagicMock()
+    spark.conf.get.side_effect = lambda k, d=None: "yarn" if k == "spark.master" else None
+    spark.sparkContext.getCheckpointDir.return_value = None
+    with pytest.raises(ValueError):
+        checkpoint_base(spark)

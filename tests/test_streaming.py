@@ -77,3 +77,13 @@ def test_continuous_trigger_indexes_new_files(spark, tmp_path):
     finally:
         q.stop()
     assert _set(read_merged(spark, idx)) == [("cloud", "a.txt", 1), ("cloud", "b.txt", 1), ("computing", "a.txt", 1)]
+
+
+def test_streams_with_their_own_checkpoints_add_up(spark, tmp_path):
+    for name, text in (("a", "cloud cloud"), ("b", "cloud grid")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.txt").write_text(text)
+    idx = str(tmp_path / "idx")
+    for name in ("a", "b"):
+        index_stream(stream_text_files(spark, str(tmp_path / name)), idx, str(tmp_path / f"cp-{name}")).awaitTermination()
+    assert set(_set(read_merged(spark, idx))) == {("cloud", "a.txt", 2), ("cloud", "b.txt", 1), ("grid", "b.txt", 1)}
