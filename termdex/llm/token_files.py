@@ -17,9 +17,9 @@ Table columns: ``part`` (range partition), ``before`` (ids before it in the part
 ``doc_ids``, ``doc_lengths``, ``offsets`` (binary, uint32 per block), ``words`` (binary).
 
 How it runs. Documents are range-partitioned by id and sorted in their partition; equal
-ids fall in one partition, ordered by text. Encoding is a map that remembers the pieces it
-has seen: the tokenizer drops white space, so a text's ids are those of its words in a
-row. A task counts the ids before each of its segments; global starts add the totals of the
+ids fall in one partition, ordered by text. Encoding is a map whose worker remembers, also for its next
+task, the pieces it has seen (``REMEMBERED`` at most): the tokenizer drops white space, so a
+text's ids are those of its words in a row. A task counts the ids before each of its segments; global starts add the totals of the
 parts before (one number for each part of ``PART_BYTES`` of text reaches the driver). So
 reading is a map over the segments.
 
@@ -51,7 +51,7 @@ END_ID = 1
 PART_BYTES = 32 << 20
 # Parts whose starts are broadcast; more are joined by a shuffle.
 MAX_PARTS = 500_000
-# Pieces a task remembers before it starts afresh.
+# Pieces a worker remembers before it starts afresh.
 REMEMBERED = 500_000
 _LOW60 = np.uint64((1 << 60) - 1)
 
@@ -85,8 +85,9 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
             step = min(size, count - size)
             widest = np.maximum(widest[:-step], widest[step:])
             size += step
-        fits = (widest <= bits) & (left[: n - count + 1] >= count)
-        choice[: n - count + 1][fits] = s
+        if widest.min() <= bits:
+            fits = (widest <= bits) & (left[: n - count + 1] >= count)
+            choice[: n - count + 1][fits] = s
     step = np.array([1, *(c for c, _ in SELECTORS)])[choice].tolist()
     places, at = [], 0
     while at < n:
@@ -167,9 +168,9 @@ class WordTokenizer:
     """
 
     SPLIT = re.compile(r"[^ \n\t\r]+")
-    # Plain characters, and the file's pre-tokenizer pattern over them.
+    # Plain characters, and the file's pre-tokenizer pattern over them (letters first: no other branch takes one first).
     PLAIN = re.compile(r"[ \n\t\r!-~À-ÖØ-öø-ÿ]*")
-    CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \n\t\ra-z0-9ß-öø-ÿ]+")
+    CUT = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^ \n\t\ra-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -183,6 +184,8 @@ class WordTokenizer:
         merge = t.model.tokenize
         bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         split, match, cut = self.SPLIT.findall, self.PLAIN.fullmatch, self.CUT.findall
+        # the tokenizer's own spelling of the bytes of plain letters that are not ASCII
+        spelling = {c: bytewise(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
         def plain(x: str) -> bool:
             return "<|" not in x and match(x) is not None
@@ -197,7 +200,7 @@ class WordTokenizer:
         def ids_of(key: str) -> list[int]:
             if not plain(key):
                 return t.encode(key, add_special_tokens=False).ids
-            return [x.id for x in merge(key if key.isascii() else bytewise(key)[0][0])]
+            return [x.id for x in merge(key if key.isascii() else key.translate(spelling))]
 
         seen = _Numbers()
         pool, length = np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -232,6 +235,17 @@ class WordTokenizer:
         return run
 
 
+_ENCODER: tuple = (None, None)
+
+
+def _worker_encoder(tokenizer: WordTokenizer):
+    """The encoder of this Python worker, kept with its pieces from task to task."""
+    global _ENCODER
+    if _ENCODER[0] != tokenizer.json:
+        _ENCODER = (tokenizer.json, tokenizer.encoder())
+    return _ENCODER[1]
+
+
 def public_tokenizer() -> WordTokenizer:
     import public_tokenizers
 
@@ -255,7 +269,7 @@ def _segment(part: int, before: int, docs: list, ids: list[np.ndarray], kind: pa
 
 def _write(get, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = get().encoder()
+        encode = _worker_encoder(get())
         before, docs, held, size = 0, [], [], 0
         part, kind = 0, pa.int64()
         for b in batches:
