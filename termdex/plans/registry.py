@@ -18,13 +18,14 @@ from termdex.operators.lines import format_lines
 from termdex.operators.search import (
     batch_terms,
     parse_query,
+    resident_index,
     search_all,
     search_all_intersect,
     search_batch,
     search_stored,
 )
 from termdex.session import shared_dir
-from termdex.sources.files import from_table, read_lines, read_table
+from termdex.sources.files import from_table, read_lines, read_table, read_whole
 from termdex.sources.index_io import read_index, read_text_index, write_index, write_text_index
 from termdex.streaming.ingest import index_stream, read_merged, stream_table
 
@@ -162,6 +163,36 @@ def q_search_stored_text(spark, sf):
     return search_stored(spark, path, STORED_QUERY, "text").select(F.col("doc").cast("bigint").alias("doc"))
 
 
+def q_search_stored_blocks(spark, sf):
+    # Q5: common words on several lines of several parts; the answer unions them.
+    path = shared_dir(spark, "text-index")
+    write_text_index(documents_postings(spark, sf), path, parts=5, block_bits=SMALL_BLOCK_BITS)
+    return search_stored(spark, path, STORED_QUERY, "text").select(F.col("doc").cast("bigint").alias("doc"))
+
+
+def q_search_resident(spark, sf):
+    # Q2: the stored index is loaded once and cached; searches run over the cache.
+    path = shared_dir(spark, "parquet-index")
+    write_index(documents_postings(spark, sf), path)
+    return search_all(resident_index(spark, path), SEARCH_QUERY)
+
+
+def _read_parts(spark, sf, layout: str):
+    path = shared_dir(spark, "text-index")
+    write_text_index(documents_postings(spark, sf), path, parts=5, layout=layout)
+    return read_text_index(spark, path)
+
+
+def q_read_parts_hash(spark, sf):
+    # K1: five parts, hashed on (term, block).
+    return _read_parts(spark, sf, "hash")
+
+
+def q_read_parts_round(spark, sf):
+    # K3: five parts, lines dealt round-robin.
+    return _read_parts(spark, sf, "round")
+
+
 def q_merge_postings(spark, sf):
     # A5: index the user turns and all other turns apart, then merge the two indexes.
     conv = read_table(spark, sf, "conversations")
@@ -177,8 +208,30 @@ def q_file_corpus_terms(spark, sf):
     # How rows fall into files is not fixed, so the result is each term's total count.
     corpus = shared_dir(spark, "file-corpus")
     documents(spark, sf).select("text").repartition(10).write.text(corpus)
-    post = postings(read_lines(spark, corpus), SPREAD)
-    return post.groupBy("term").agg(F.sum("tf").cast("bigint").alias("occurrences"))
+    return _occurrences(read_lines(spark, corpus))
+
+
+def _occurrences(docs: DataFrame) -> DataFrame:
+    return postings(docs, SPREAD).groupBy("term").agg(F.sum("tf").cast("bigint").alias("occurrences"))
+
+
+# Documents per file of the corpora that are read whole: more documents are more files.
+FILE_DOCUMENTS = 100
+
+
+def q_file_corpus_whole(spark, sf):
+    # One row per file.
+    corpus = shared_dir(spark, "file-corpus")
+    documents(spark, sf).select("text").write.option("maxRecordsPerFile", FILE_DOCUMENTS).text(corpus)
+    return _occurrences(read_whole(spark, corpus))
+
+
+def q_file_corpus_flat(spark, sf):
+    # The folder's own files only; the conversations in a folder inside it stay out.
+    corpus = shared_dir(spark, "file-corpus")
+    documents(spark, sf).select("text").write.text(corpus)
+    read_table(spark, sf, "conversations").select("text").write.text(f"{corpus}/inside")
+    return _occurrences(read_lines(spark, corpus, recursive=False))
 
 
 def q_postings_streamed(spark, sf):
@@ -214,9 +267,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_batch_clean": q_search_batch_clean,
     "search_stored_parquet": q_search_stored_parquet,
     "search_stored_text": q_search_stored_text,
+    "search_stored_blocks": q_search_stored_blocks,
+    "search_resident": q_search_resident,
+    "read_parts_hash": q_read_parts_hash,
+    "read_parts_round": q_read_parts_round,
     "merge_postings": q_merge_postings,
     "postings_streamed": q_postings_streamed,
     "file_corpus_terms": q_file_corpus_terms,
+    "file_corpus_whole": q_file_corpus_whole,
+    "file_corpus_flat": q_file_corpus_flat,
 }
 
 
@@ -282,6 +341,8 @@ def _lines_sql(sep_sql: str, bits: int = DEFAULT_BLOCK_BITS, doc: str = "doc") -
     )
 
 
+_OCCURRENCES_SQL = _post_cte() + "SELECT term, CAST(sum(tf) AS BIGINT) AS occurrences FROM post GROUP BY term"
+
 ORACLE_SQL: dict[str, str] = {
     "tokens": f"SELECT doc, term FROM ({_tok_sql('documents', 'doc_id', 'text')}) WHERE term <> ''",
     "postings": _post_cte() + "SELECT term, doc, tf FROM post",
@@ -304,7 +365,13 @@ ORACLE_SQL: dict[str, str] = {
     "search_batch_clean": _batch_sql(True),
     "search_stored_parquet": _search_sql(STORED_QUERY),
     "search_stored_text": _search_sql(STORED_QUERY),
+    "search_stored_blocks": _search_sql(STORED_QUERY),
+    "search_resident": _search_sql(SEARCH_QUERY),
+    "read_parts_hash": _post_cte() + "SELECT term, CAST(doc AS VARCHAR) AS doc, tf FROM post",
+    "read_parts_round": _post_cte() + "SELECT term, CAST(doc AS VARCHAR) AS doc, tf FROM post",
     "merge_postings": _post_cte("conversations", "conv_id", "text") + "SELECT term, doc, tf FROM post",
     "postings_streamed": _post_cte() + "SELECT term, doc, tf FROM post",
-    "file_corpus_terms": _post_cte() + "SELECT term, CAST(sum(tf) AS BIGINT) AS occurrences FROM post GROUP BY term",
+    "file_corpus_terms": _OCCURRENCES_SQL,
+    "file_corpus_whole": _OCCURRENCES_SQL,
+    "file_corpus_flat": _OCCURRENCES_SQL,
 }
