@@ -30,8 +30,8 @@ from termdex.sources.index_io import filter_text_lines, parse_lines, read_index,
 # (checked with one count of the query-term rows); beyond, joins are sort-merge.
 MAX_BROADCAST_TERMS = 2_000_000
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
-# Broadcast one term's document set in the intersection only below this counted size.
-MAX_BROADCAST_DOCSET = 2_000_000
+# Document sets broadcast by one query: counted bytes of all of them together.
+MAX_BROADCAST_BYTES = 128 << 20
 # Look candidates up by broadcasting them only below this counted number of probes.
 MAX_BROADCAST_PROBES = 5_000_000
 
@@ -70,15 +70,51 @@ def _divide(hits: DataFrame, n_terms: int) -> DataFrame:
     )
 
 
-def search_all(post: DataFrame, query: str, clean_query: bool = False) -> DataFrame:
-    """Q1 (+Q2 when ``post`` is cached): documents containing every query term."""
+def _list_sizes(hits: DataFrame) -> dict[str, tuple[int, int]]:
+    """Rows and about the bytes of each query term's list (one row per term reaches the driver)."""
+    bytes_ = F.sum(F.octet_length(F.col("doc").cast("string")) + 16)
+    return {r["term"]: (r["n"], r["b"]) for r in hits.groupBy("term").agg(F.count(F.lit(1)).alias("n"), bytes_.alias("b")).collect()}
+
+
+def _divide_rarest_first(hits: DataFrame, terms: list[str], max_broadcast_bytes: int) -> DataFrame:
+    """``_divide`` of the hits that lie in the rarest term's documents.
+
+    A broadcast set within its counted bytes drops the common terms' other hits before
+    anything is shuffled; a larger set is left to the shuffle of the division itself.
+    """
+    hits = hits.select("term", keyed("doc").alias("doc"))
+    sizes = _list_sizes(hits)
+    if len(sizes) < len(terms):
+        return _empty_docs(hits)
+    rarest = min(terms, key=lambda t: sizes[t])
+    if len(terms) > 1 and sizes[rarest][1] <= max_broadcast_bytes:
+        docs = hits.filter(F.col("term") == rarest).select("doc")
+        hits = hits.join(F.broadcast(docs), "doc", "left_semi")
+    return _divide(hits, len(terms))
+
+
+def search_all(
+    post: DataFrame,
+    query: str,
+    clean_query: bool = False,
+    rarest_first: bool = False,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Q1 (+Q2 when ``post`` is cached): documents containing every query term.
+
+    ``rarest_first`` counts the terms' lists first and moves only hits in the rarest
+    one's documents: for a stored or cached index, which is cheap to read twice.
+    """
     terms = parse_query(query, clean_query)
     if not terms:
         return _empty_docs(post)
-    return _divide(post.filter(F.col("term").isin(terms)), len(terms))
+    hits = post.filter(F.col("term").isin(terms))
+    return _divide_rarest_first(hits, terms, max_broadcast_bytes) if rarest_first else _divide(hits, len(terms))
 
 
-def search_all_intersect(post: DataFrame, query: str, clean_query: bool = False) -> DataFrame:
+def search_all_intersect(
+    post: DataFrame, query: str, clean_query: bool = False, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
     """Q4 twin of ``search_all``: intersect the document sets of the terms.
 
     Set intersection is a semi-join on ``doc`` followed by ``distinct`` (what
@@ -91,16 +127,18 @@ def search_all_intersect(post: DataFrame, query: str, clean_query: bool = False)
     # term's set would re-read the index, or re-tokenise the corpus, on its own.
     checkpoint_base(post.sparkSession)
     hits = post.filter(F.col("term").isin(terms)).select("term", keyed("doc").alias("doc")).checkpoint(eager=True)
-    # Exact set sizes (one row per query term) order the intersection rarest first and
-    # decide, per set, between a broadcast and a sort-merge semi-join.
-    sizes = {r["term"]: r["n"] for r in hits.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Exact set sizes order the intersection rarest first; sets are broadcast as long as
+    # their bytes together are within the limit, then joined by sort-merge semi-joins.
+    sizes = _list_sizes(hits)
     if len(sizes) < len(terms):
         return _empty_docs(post)
     order = sorted(terms, key=lambda t: sizes[t])
     acc = hits.filter(F.col("term") == order[0]).select("doc")
+    sent = 0
     for t in order[1:]:
         other = hits.filter(F.col("term") == t).select("doc")
-        other = F.broadcast(other) if sizes[t] <= MAX_BROADCAST_DOCSET else other.hint("merge")
+        sent += sizes[t][1]
+        other = F.broadcast(other) if sent <= max_broadcast_bytes else other.hint("merge")
         acc = acc.join(other, "doc", "left_semi")
     return acc.distinct()
 
@@ -124,7 +162,8 @@ def search_stored(spark: SparkSession, path: str, query: str, fmt: str = "parque
     """Q3 + S7 + Q5: search an index on storage, reading only the query terms.
 
     Parquet: the ``In(term, ...)`` filter is pushed to the scan and skips row groups
-    of a term-sorted index. Text: only lines whose first word is a query term are
+    of a term-sorted index; the lists are counted first, and only hits in the rarest
+    term's documents are shuffled. Text (read once): only lines whose first word is a query term are
     split; a term spread over several lines or parts unions its documents.
     """
     terms = parse_query(query, clean_query)
@@ -136,7 +175,8 @@ def search_stored(spark: SparkSession, path: str, query: str, fmt: str = "parque
         raise ValueError("fmt must be 'parquet' or 'text'")
     if not terms:
         return _empty_docs(post)
-    return _divide(post.filter(F.col("term").isin(terms)), len(terms))
+    hits = post.filter(F.col("term").isin(terms))
+    return _divide_rarest_first(hits, terms, MAX_BROADCAST_BYTES) if fmt == "parquet" else _divide(hits, len(terms))
 
 
 def _side(df: DataFrame, small: bool) -> DataFrame:

@@ -39,6 +39,21 @@ def test_search_all_intersect_twin(hand_post, query, expected):
     assert _docs(search_all_intersect(hand_post, query)) == expected
 
 
+@pytest.mark.parametrize("query, expected", HAND_QUERIES)
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_rarest_first_with_and_without_broadcast(hand_post, query, expected, limit):
+    assert _docs(search_all(hand_post, query, rarest_first=True, max_broadcast_bytes=limit)) == expected
+    assert _docs(search_all_intersect(hand_post, query, max_broadcast_bytes=limit)) == expected
+
+
+def test_rarest_first_drops_hits_before_the_shuffle(hand_post):
+    from termdex.plans import inspect
+
+    plan = inspect.plan_string(search_all(hand_post, "a cloud", rarest_first=True))
+    assert "BroadcastHashJoin" in plan and plan.index("REPARTITION_BY_COL") < plan.index("BroadcastHashJoin")
+    assert "BroadcastExchange" not in inspect.plan_string(search_all(hand_post, "a cloud", rarest_first=True, max_broadcast_bytes=0))
+
+
 def test_search_batch_matches_hand_table(spark, hand_post):
     qs = spark.createDataFrame([(i, q) for i, (q, _) in enumerate(HAND_QUERIES)], "query_id bigint, query string")
     got = {}
@@ -136,15 +151,12 @@ def test_resident_index_answers_like_stored(spark, hand_post, tmp_path, fmt):
     res.unpersist()
 
 
-def test_intersect_without_broadcast(hand_post, monkeypatch):
-    import termdex.operators.search as S
-
-    monkeypatch.setattr(S, "MAX_BROADCAST_DOCSET", 0)
-    plan_text = S.search_all_intersect(hand_post, "cloud computing")
-    assert _docs(plan_text) == ["a.txt", "b.txt"]
+def test_intersect_without_broadcast(hand_post):
     from termdex.plans import inspect
 
-    assert "BroadcastExchange" not in inspect.plan_string(S.search_all_intersect(hand_post, "cloud computing"))
+    got = search_all_intersect(hand_post, "cloud computing", max_broadcast_bytes=0)
+    assert _docs(got) == ["a.txt", "b.txt"]
+    assert "BroadcastExchange" not in inspect.plan_string(got)
 
 
 def test_null_queries_have_no_answer(spark, hand_post):
