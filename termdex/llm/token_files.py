@@ -17,11 +17,11 @@ Table columns: ``part`` (range partition), ``before`` (ids before it in the part
 ``doc_ids``, ``doc_lengths``, ``offsets`` (binary, uint32 per block), ``words`` (binary).
 
 How it runs. Documents are range-partitioned by id and sorted in their partition; equal
-ids fall in one partition, ordered by text. Encoding is a map whose worker remembers, also for its next
-task, the pieces it has seen (``REMEMBERED`` at most): the tokenizer drops white space, so a
-text's ids are those of its words in a row. A task counts the ids before each of its segments; global starts add the totals of the
-parts before (one number for each part of ``PART_BYTES`` of text reaches the driver). So
-reading is a map over the segments.
+ids fall in one partition, ordered by text. Encoding is a map whose worker remembers the
+pieces it has seen (``REMEMBERED`` at most), also for its next task: the tokenizer drops
+white space, so a text's ids are those of its words in a row. A task counts the ids before
+each of its segments; global starts add the totals of the parts before (one number for each
+part of ``PART_BYTES`` of text reaches the driver). So reading is a map over the segments.
 
 Null and empty texts hold the end id alone. Repeated rows are written each. Null ids come
 first. Other columns are ignored.
