@@ -9,11 +9,13 @@ character, variety) and its context (neighbouring characters, key words before i
 a threshold for each kind, calibrated on a held-out part for precision, selects those that
 are added. Of overlapping candidates the best stays; none may touch a base span.
 
-Training needs no outside labels: a candidate that is a base span is a positive one, any
-other a negative one, with less weight where no check speaks against it. Features are
-small whole numbers, so all candidates of a corpus fall into at most ``MAX_CELLS`` cells; the
-grouped counts of cells (map-side partial counts, one row per cell) are all that the
-driver sees. Trees are fitted there and become CASE expressions.
+Training needs no outside labels. Positive are the base spans, rewritten to the loose forms
+of their kind (``_forms``). Negative are candidates with counter-evidence: they fail the
+check of their kind (``_fails``) or stand after a word of ``_AGAINST``. All others are
+unlabelled: they count neither as right nor as wrong, however many a corpus holds. Features
+are small whole numbers, so the labelled examples of a corpus fall into at most ``MAX_CELLS``
+cells for each part; the grouped counts of cells (map-side partial counts, one row per cell) are
+all that the driver sees. Trees are fitted there and become CASE expressions.
 
 How it runs. Matches come from ``regexp_extract_all`` and the text between them from
 ``split``, both built in; adding up their lengths gives the places in code points. A
@@ -29,6 +31,7 @@ answered each. Redaction keeps all columns and null texts as they are.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import partial, reduce
 
 import numpy as np
@@ -57,6 +60,13 @@ LOOSE = {
 # Texts that can hold any match.
 _NUMBERS = r"[0-9][0-9 ().\[\]{}dotDOT/-]{5,}"
 _MAIL = r"@|[\[({<] ?(?:at|AT) ?[\])}>]| (?:at|AT) [A-Za-z0-9-]+(?: (?:dot|DOT) |\.)"
+# A plain "at" with written dots is prose ("look at example.com") unless a key word precedes it.
+_PROSE_AT = r"^[^@\[({<]* (?:at|AT) [A-Za-z0-9.-]+$"
+_TLD = r"[A-Za-z]{2,}$"
+_YEAR, _MONTH, _DAY = "(?:19|20)[0-9]{2}", "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12][0-9]|3[01])"
+_SEP = "[ ./-]{1,2}"
+# Dates, spans of years and dotted quads are no phone numbers.
+_NO_PHONE = rf"^(?:{_YEAR}{_SEP}{_MONTH}{_SEP}{_DAY}(?![0-9]).*|(?:{_DAY}{_SEP}{_MONTH}|{_MONTH}{_SEP}{_DAY}){_SEP}{_YEAR}(?![0-9]).*|{_YEAR}{_SEP}{_YEAR}|[0-9]{{1,3}}(?: ?\. ?[0-9]{{1,3}}){{3}})$"
 _OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})){3}$"
 
 # Key words that speak for a kind when they stand before a candidate, and against any.
@@ -69,14 +79,12 @@ _FOR = {
 _AGAINST = r"(?i)version|order|\bid\b|\bno\b|\bnr\b|ref|isbn|issn|token|licen|page|section|key|hash|serial"
 
 #: Features with the number of values each can take.
-FEATURES = {"kind": 4, "digits": 7, "groups": 4, "seps": 4, "lead": 4, "left": 4, "right": 4, "near": 2, "against": 2, "variety": 3}
+FEATURES = {"kind": 4, "digits": 7, "groups": 4, "seps": 4, "lead": 5, "left": 4, "right": 4, "near": 2, "against": 2, "fails": 2, "variety": 3}
 # No corpus has more distinct rows of features.
 MAX_CELLS = math.prod(FEATURES.values())
 CONTEXT = 24
 ROUNDS, RATE, RIDGE = 40, 0.3, 5.0
-# Weight of a candidate that no check speaks against, as a negative one.
-UNSURE = 0.5
-# Wanted precision of added spans on the calibration part, and candidates it must rest on.
+# Wanted precision on the labelled examples of the calibration part, and positive ones it must rest on.
 PRECISION, SUPPORT = 0.98, 30
 # One in so many documents calibrates.
 PARTS = 4
@@ -147,7 +155,37 @@ def _bin(x: Column, *bounds: int) -> Column:
     return reduce(lambda a, b: a + b, (F.when(x >= b, 1).otherwise(0) for b in bounds))
 
 
-def _features(kind: str, c: Column) -> dict[str, Column]:
+def _fails(kind: str, c: Column) -> Column:
+    """Whether the check of its kind speaks against a candidate."""
+    t = c["t"]
+    if kind == "email":
+        return ~t.rlike(_TLD) | (t.rlike(_PROSE_AT) & ~c["l"].rlike(_FOR[kind]))
+    if kind == "ip":
+        return ~F.regexp_replace(F.regexp_replace(t, "dot|DOT", "."), "[^0-9.]", "").rlike(_OCTETS)
+    if kind == "phone":
+        return ~_valid(kind, t) | t.rlike(_NO_PHONE)
+    return ~_valid(kind, t)
+
+
+def _forms(kind: str, t: Column) -> list[Column]:
+    """A base match as it reads without its plus, ``@``, dots or usual separators."""
+    if kind == "email":
+        local, host = F.substring_index(t, "@", 1), F.substring_index(t, "@", -1)
+        ways = ((" [at] ", " [dot] "), (" at ", " dot "), ("(at)", "(dot)"), (" [at] ", "."), ("(at)", "."))
+        return [F.concat(local, F.lit(at), F.replace(host, F.lit("."), F.lit(dot))) for at, dot in ways]
+    if kind == "ip":
+        return [F.replace(t, F.lit("."), F.lit(dot)) for dot in ("[.]", "[dot]", " . ")]
+    if kind == "card":
+        return [F.regexp_replace(_digits(t), "([0-9]{4})(?=[0-9])", "$1" + sep) for sep in (".", "/", "  ")]
+    bare = F.regexp_replace(t, r"^\+[0-9]{1,3}[ .-]*", "")
+    groups = F.regexp_extract_all(bare, F.lit("[0-9]+"), F.lit(0))
+    return [bare, *(F.array_join(groups, sep) for sep in ("-", ".", " ")), F.concat(F.lit("00"), F.substring(t, F.lit(2), F.length(t)))]
+
+
+FORMS = {"email": 5, "ip": 3, "card": 3, "phone": 5}
+
+
+def _features(kind: str, c: Column, fails: Column) -> dict[str, Column]:
     t, d = c["t"], _digits(c["t"])
     before, after = F.substring(c["l"], -1, 1), F.substring(c["r"], 1, 1)
     first = F.substring(t, 1, 1)
@@ -158,35 +196,55 @@ def _features(kind: str, c: Column) -> dict[str, Column]:
     seps = F.regexp_replace(t, r"[^ ./()\[\]{}-]", "")
     return {
         "kind": F.lit(KINDS.index(kind)),
-        "digits": _bin(F.length(d), 1, 7, 10, 12, 14, 16),
+        "digits": _bin(F.length(d), 1, 8, 10, 12, 14, 16),
         "groups": _bin(F.size(F.regexp_extract_all(t, F.lit("[0-9]+"), F.lit(0))), 2, 3, 4),
         "seps": F.when(seps == "", 0).when(seps.rlike(r"^(?: +|-+|\.+)$"), 1).when(seps.rlike(r"^[ ()-]+$"), 2).otherwise(3),
-        "lead": F.when(first == "+", 0).when(first == "(", 1).when(first.rlike("[0-2]"), 2).otherwise(3),
+        "lead": F.when(first == "+", 0).when(t.startswith("00"), 4).when(first == "(", 1).when(first.rlike("[0-2]"), 2).otherwise(3),
         "left": beside(before),
         "right": beside(after),
         "near": F.when(c["l"].rlike(_FOR[kind]), 1).otherwise(0),
         "against": F.when(c["l"].rlike(_AGAINST), 1).otherwise(0),
+        "fails": F.when(fails, 1).otherwise(0),
         "variety": _bin(F.size(F.array_distinct(F.split(d, ""))), 3, 5),
     }
 
 
+def _across(c: Column) -> Callable[[Column], Column]:
+    return lambda b: (b["s"] < c["e"]) & (b["e"] > c["s"])
+
+
 def _candidates(kind: str) -> Column:
-    """A kind's candidates as ``struct<s, e, f, base, failed>``."""
+    """A kind's candidates as ``struct<s, e, f>``; one across another kind's base span fails."""
 
     def one(c: Column) -> Column:
-        base = F.exists(f"base_{kind}", lambda b: (b["s"] == c["s"]) & (b["e"] == c["e"]))
-        # it has the full form of the kind, yet fails the check
-        failed = c["t"].rlike("^(?:" + BASE[kind] + ")$") & ~_valid(kind, c["t"]) if kind != "email" else F.lit(False)
-        return F.struct(c["s"].alias("s"), c["e"].alias("e"), F.struct(*(v.alias(n) for n, v in _features(kind, c).items())).alias("f"), base.alias("base"), failed.alias("failed"))
+        fails = reduce(lambda a, b: a | b, (F.exists(f"base_{k}", _across(c)) for k in KINDS if k != kind), _fails(kind, c))
+        return F.struct(c["s"].alias("s"), c["e"].alias("e"), F.struct(*(v.alias(n) for n, v in _features(kind, c, fails).items())).alias("f"))
 
     return F.transform(f"loose_{kind}", one)
 
 
+def _negatives(kind: str) -> Column:
+    """Features of the candidates with counter-evidence that lie apart from their kind's base spans."""
+    apart = F.filter(_candidates(kind), lambda c: ((c["f"]["fails"] == 1) | (c["f"]["against"] == 1)) & ~F.exists(f"base_{kind}", _across(c)))
+    return F.transform(apart, lambda c: c["f"])
+
+
+def _positives(kind: str) -> Column:
+    """Features of the loose forms of the base spans that no word speaks against."""
+
+    def rewritten(c: Column) -> Column:
+        forms = F.transform(F.array(*_forms(kind, c["t"])), lambda t: F.struct(t.alias("t"), c["l"].alias("l"), c["r"].alias("r")))
+        return F.filter(forms, lambda x: x["t"].rlike("^(?:" + LOOSE[kind] + ")$") & ~_fails(kind, x))
+
+    every = F.flatten(F.transform(F.filter(f"base_{kind}", lambda c: ~c["l"].rlike(_AGAINST)), rewritten))
+    return F.transform(every, lambda x: F.struct(*(v.alias(n) for n, v in _features(kind, x, F.lit(False)).items())))
+
+
 class Boosted:
     """Boosted depth-two trees over cells of features, with a threshold for each kind."""
 
     def __init__(self, cells: list[dict]):
-        """``cells``: features, ``base``, ``failed``, ``part`` and count ``n`` of each cell."""
+        """``cells``: features, ``positive``, ``part`` and count ``n`` of each cell."""
         self.trees: list[tuple] = []
         self.start = 0.0
         self.thresholds: dict[str, float | None] = dict.fromkeys(KINDS)
@@ -194,14 +252,14 @@ class Boosted:
             return
         names = list(FEATURES)
         x = np.array([[c[f] for f in names] for c in cells])
-        y = np.array([float(c["base"]) for c in cells])
-        n = np.array([float(c["n"]) for c in cells])
-        w = n * np.where((y > 0) | np.array([c["failed"] for c in cells]), 1.0, UNSURE)
+        y = np.array([float(c["positive"]) for c in cells])
+        # the forms of one base span count as one
+        n = np.array([c["n"] / (FORMS[KINDS[c["kind"]]] if c["positive"] else 1) for c in cells])
+        w = n
         fit = np.array([c["part"] != 0 for c in cells])
-        if not (w[fit] * y[fit]).sum() or not (w[fit] * (1 - y[fit])).sum():
+        if not (w[fit] * y[fit]).sum():
             return
-        rate = (w[fit] * y[fit]).sum() / w[fit].sum()
-        self.start = math.log(rate / (1 - rate))
+        self.start = math.log(((w[fit] * y[fit]).sum() + 1) / ((w[fit] * (1 - y[fit])).sum() + 1))
         total = np.full(len(y), self.start)
         for _ in range(ROUNDS):
             p = 1 / (1 + np.exp(-total))
@@ -242,12 +300,14 @@ class Boosted:
 
     @staticmethod
     def _threshold(score: np.ndarray, y: np.ndarray, n: np.ndarray) -> float | None:
-        """Lowest score from which on the precision is as wanted, or none."""
+        """Halfway below the lowest score from which on the precision is as wanted, or none."""
         found = None
-        for s in sorted(set(score.tolist()), reverse=True):
+        ranked = sorted(set(score.tolist()), reverse=True)
+        for s, below in zip(ranked, [*ranked[1:], None], strict=False):
             at = score >= s
-            if n[at].sum() >= SUPPORT and (n[at] * y[at]).sum() / n[at].sum() >= PRECISION:
-                found = s
+            right = (n[at] * y[at]).sum()
+            if right >= SUPPORT and right / n[at].sum() >= PRECISION:
+                found = min(s, 0.0) if below is None else (s + below) / 2
         return found
 
     def score(self, f: Column) -> Column:
@@ -275,11 +335,12 @@ def _rows(docs: DataFrame, text_col: str, **keep: Column) -> DataFrame:
 def fit(docs: DataFrame, text_col: str = "text") -> Boosted:
     """Learn from all texts of ``docs``."""
     df = _with_matches(_rows(docs, text_col, part=F.pmod(F.xxhash64(text_col), F.lit(PARTS))))
-    c = df.select("part", F.explode(F.concat(*(_candidates(k) for k in KINDS))).alias("c")).select("part", "c.f.*", "c.base", "c.failed")
     part = F.when(F.col("part") == 0, 0).otherwise(1).alias("part")
-    cells = c.groupBy(part, *FEATURES, "base", "failed").agg(F.count("*").alias("n"))
-    # at most MAX_CELLS for each of the two parts and the three kinds of evidence
-    return Boosted([r.asDict() for r in cells.orderBy("part", *FEATURES, "base", "failed").collect()])
+    label = lambda of, positive: F.transform(F.concat(*(of(k) for k in KINDS)), lambda f: F.struct(f.alias("f"), F.lit(positive).alias("positive")))
+    c = df.select(part, F.explode(F.concat(label(_positives, True), label(_negatives, False))).alias("c")).select("part", "c.f.*", "c.positive")
+    cells = c.groupBy("part", *FEATURES, "positive").agg(F.count("*").alias("n"))
+    # at most MAX_CELLS for each of the two parts: evidence is among the features
+    return Boosted([r.asDict() for r in cells.orderBy("part", *FEATURES, "positive").collect()])
 
 
 def _with_spans(df: DataFrame, model: Boosted) -> DataFrame:

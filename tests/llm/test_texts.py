@@ -216,6 +216,46 @@ def test_trees_add_what_looks_like_the_base(spark):
     assert got[1].spans == "phone:21:38" and got[2].spans == ""
 
 
+@pytest.mark.parametrize("share", [0.1, 0.5])
+def test_loose_forms_are_added_at_any_share(spark, share):
+    rng = random.Random(11)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
+    def phone(loose):
+        a, b, c = str(rng.randint(200, 989)), digits(3), digits(4)
+        return rng.choice([f"{a}-{b}-{c}", f"({a}) {b}-{c}", f"{a}.{b}.{c}"]) if loose else f"+1 ({a}) {b}-{c}"
+
+    def email(loose):
+        user, n = "user" + digits(3), digits(1)
+        return f"{user} [at] mail{n} [dot] example [dot] com" if loose else f"{user}@mail{n}.example.com"
+
+    def number(loose):
+        n = card()
+        return ".".join(n[i : i + 4] for i in range(0, 16, 4)) if loose else n
+
+    rows = []
+    for kind, make in (("phone", phone), ("email", email), ("card", number)):
+        for _ in range(600):
+            loose = rng.random() < share
+            rows.append((kind if loose else "base", "word " + make(loose) + " word"))
+    bad = [f"order {digits(3)}-{digits(3)}-{digits(4)} sent" for _ in range(100)]
+    bad += [f"from 20{digits(2)}-0{rng.randint(1, 9)}-1{digits(1)} on" for _ in range(100)] + ["we look at example.com today"] * 100
+    dotted = (number(True) for _ in range(100))
+    bad += ["word " + n[:-1] + str((int(n[-1]) + 1) % 10) + " word" for n in dotted]
+    rows += [("bad", t) for t in bad]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, kind string, text string")
+    got = pii.find(docs, pii.fit(docs)).join(docs, "doc_id").collect()
+    for r in got:
+        if r.kind in ("base", "bad"):
+            assert r.n_added == 0, r
+        else:
+            assert r.spans == f"{r.kind}:5:{len(r.text) - 5}", r
+
+
 def test_personal_data_runs_no_python(spark):
     docs = spark.createDataFrame([(1, "a@b.co")], "doc_id long, text string")
     model = pii.fit(docs)
