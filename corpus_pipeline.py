@@ -19,7 +19,7 @@ from termdex.sources.files import read_table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that are in one of the languages of the labelled rows."""
-    model = langid.model(langid.profiles(docs))
+    model = langid.learn(docs)
     return docs.filter(langid.accepted(spark, model, F.col("text")))
 
 

@@ -1,7 +1,9 @@
 """Language-model scoring, language identification and quality against plain versions."""
 
+import base64
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
@@ -144,6 +146,25 @@ def test_held_out_languages(spark):
     assert r.filter("lang = lang_pred").count() >= 0.99 * r.count()
 
 
+def test_foreign_and_random_texts_are_rejected(spark):
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(n))
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+        "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền.",
+        "xqzj zzxq", letters(60), letters(1500), base64.b64encode(rng.randbytes(1200)).decode(), "12 34", None,
+    ]
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null")
+    m = langid.learn(df)
+    assert df.filter(~langid.accepted(spark, m, F.col("text"))).count() == 0
+    short = df.select(F.regexp_extract("text", r"^\s*(?:\S+\s+){4}", 0).alias("text")).filter(F.col("text").rlike("(?:[a-z]+ ){3}"))
+    assert short.filter(langid.accepted(spark, m, F.col("text"))).count() >= 0.99 * short.count() > 0
+    planted = spark.createDataFrame([(t,) for t in foreign], "text string")
+    assert [r.text for r in planted.filter(langid.accepted(spark, m, F.col("text"))).collect()] == []
+
+
 def test_quality_on_held_out_labels(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
