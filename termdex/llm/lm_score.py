@@ -9,6 +9,7 @@ are added up. Probabilities are smoothed with a Dirichlet prior on the shorter c
 
     p(w | h) = (c(h w) + m * p(w | h')) / (c(h) + m),      backoff(h) = m / (c(h) + m),
 
+with a prior m for each length of context,
 and at the root by absolute discounting, ``p(w) = (c(w) - d) / N``, whose freed mass
 ``d * V / N`` is the probability of the class of unknown words.
 
@@ -34,6 +35,7 @@ unknown class with probability 1 and scores 0. Other columns of the input are ig
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +46,11 @@ from pyspark.sql.types import StructType
 
 from termdex.llm.common import hashes, mix, small_batches, split_of, word_ids
 
-# Weight of the shorter context in p(w | h), in counts.
-PRIOR = 300.0
+# Words in the longest n-gram.
+ORDER = 3
+# Weight of the shorter context in p(w | h), in counts, for contexts of one and of two words;
+# longer ones take the last.
+PRIORS = (300.0, 3.0)
 # UTF-8 bytes of text in a block: bounds the memory of a task.
 BLOCK_BYTES = 8 << 20
 # Reserved words: a blank cannot occur in a word.
@@ -156,7 +161,7 @@ class Automaton:
     ``arc_key`` holds ``state * vocabulary + word`` in rising order; state 0 is the root.
     """
 
-    def __init__(self, g: _Grams, counts: list[np.ndarray], total: int, distinct: int, once: int, twice: int, prior: float):
+    def __init__(self, g: _Grams, counts: list[np.ndarray], total: int, distinct: int, once: int, twice: int, priors: list[float]):
         order = len(counts)
         W = g.vocab_size
         c1 = counts[0]
@@ -168,13 +173,13 @@ class Automaton:
         weight = [np.log10(prob)]
         # States: the root, the start of a text, then every seen context of each length.
         texts = int(c1[self._end(g)])
-        bow, fail = [np.zeros(1), self._bow(np.array([texts]), prior)], [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        bow, fail = [np.zeros(1), self._bow(np.array([texts]), priors[0])], [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         size, state = 2, []
         for level in range(1, order):
             c = counts[level - 1]
             s = np.where(c > 0, size + np.cumsum(c > 0) - 1, -1)
             seen, rep = c > 0, g.rep[level - 1]
-            bow.append(self._bow(c[seen], prior))
+            bow.append(self._bow(c[seen], priors[level - 1]))
             if level == 1:
                 fail.append(np.zeros(int(seen.sum()), np.int64))
             else:
@@ -195,6 +200,7 @@ class Automaton:
                 own = counts[level - 2][inv[level - 2][rep - 1]]
                 source = state[level - 2][inv[level - 2][rep - 1]]
             lower = prob[inv[level - 2][rep]]
+            prior = priors[level - 2]
             p = np.zeros(len(counts[level - 1]))
             p[seen] = (c + prior * lower) / (own + prior)
             key.append(source * W + g.tokens[rep])
@@ -240,7 +246,7 @@ class Automaton:
         return out
 
 
-def _score(order: int, prior: float, schema: pa.Schema):
+def _score(order: int, priors: list[float], schema: pa.Schema):
     """Texts of a block and the shards' answers to it -> one scored row per text."""
 
     def run(t: pa.Table, replies: pa.Table) -> pa.Table:
@@ -260,7 +266,7 @@ def _score(order: int, prior: float, schema: pa.Schema):
         total, distinct, once, twice = (int(x) for x in sums[:4])
         c = counts[0][g.inv[0]]
         add = lambda x: np.add.reduceat(x, g.starts)
-        auto = Automaton(g, counts, total, distinct, once, twice, prior)
+        auto = Automaton(g, counts, total, distinct, once, twice, priors)
         return pa.table(
             {
                 "doc_id": t.column("doc_id"),
@@ -281,8 +287,8 @@ def score(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    order: int = 2,
-    prior: float = PRIOR,
+    order: int = ORDER,
+    prior: float | Sequence[float] = PRIORS,
     folds: int = 7,
     held_fold: int = 2,
     block_bytes: int = BLOCK_BYTES,
@@ -291,9 +297,12 @@ def score(
 
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, one
     row per input row. ``base_score`` is the add-one unigram score over the same counts.
+    ``prior`` is one for all contexts, or one for each length from one word on (the last for longer ones).
     """
     if order < 1:
         raise ValueError("order must be at least 1")
+    given = list(prior) if isinstance(prior, Sequence) else [prior]
+    priors = (given + given[-1:] * order)[:max(order - 1, 1)]
     small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -310,4 +319,4 @@ def score(
     out = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = to_arrow_schema(StructType.fromDDL(f"doc_id {kind}, {out}"))
-    return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_score(order, prior, schema), f"doc_id {kind}, {out}")
+    return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_score(order, priors, schema), f"doc_id {kind}, {out}")

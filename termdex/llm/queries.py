@@ -12,7 +12,7 @@ from termdex.sources.files import read_table
 
 
 def op1_lm_score(spark: SparkSession, sf: str) -> DataFrame:
-    return lm_score.score(read_table(spark, sf, "documents"))
+    return lm_score.score(read_table(spark, sf, "documents"), order=lm_score.ORDER)
 
 
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from termdex.llm import langid, lm_score, quality
+from termdex.llm import langid, lm_score, quality, queries
 
 ROWS = [
     (0, "The cat sat on the mat", "en"),
@@ -83,6 +83,26 @@ def test_scores_match_the_definition(docs, order, block_bytes):
     assert got == plain_scores(ROWS, order, 2.0)
 
 
+def test_registered_order_has_contexts_of_two_words(spark, tmp_path):
+    rows = [(i, "a b c", "en") for i in range(3, 50) if not held(i, 7)] + [(100, "a b d", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    train = [[b" start", *words(t)] for i, t, _ in rows if not held(i, 7)]
+    grams = collections.Counter(tuple(w[k : k + n]) for w in train for n in (1, 2, 3) for k in range(len(w) - n + 1))
+    one = {g[0]: c for g, c in grams.items() if len(g) == 1 and g != (b" start",)}
+    once, twice = sum(c == 1 for c in one.values()), sum(c == 2 for c in one.values())
+    d = (once + 1) / (once + 2 * twice + 2)
+
+    def p(h, w):
+        if not h:
+            return (one[w] - d) / sum(one.values())
+        m = {1: 300.0, 2: 3.0}[len(h)]
+        return (grams[(*h, w)] + m * p(h[1:], w)) / (grams[h] + m)
+
+    for r in queries.op1_lm_score(spark, str(tmp_path)).collect():
+        s = [b" start", *words(dict((i, t) for i, t, _ in rows)[r.doc_id])]
+        assert r.score == pytest.approx(sum(math.log10(p(tuple(s[max(0, k - 2) : k]), s[k])) for k in range(1, len(s))))
+
+
 def test_nothing_to_learn_from(spark):
     ids = [i for i in range(50) if held(i, 7)]
     df = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string")
