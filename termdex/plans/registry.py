@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termdex.functions.text import NON_TERM_RUN, SPACES_SEP, TAB_SEP, doc_name
+from termdex.functions.text import NON_TERM_RUN, SPACES_SEP, TAB_SEP, WHITESPACE_RUN, doc_name
 from termdex.operators.index import DEFAULT_BLOCK_BITS, grouped, merge_postings, postings, stats, tokens
 from termdex.operators.lines import format_lines
 from termdex.operators.search import (
@@ -147,6 +147,20 @@ def q_search_batch(spark, sf):
     return search_batch(documents_postings(spark, sf), qs)
 
 
+def passage_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Each whole raw passage (``item:0``), and all its words, two by two (``item:1`` and on)."""
+    qs = benchmark_queries(spark, sf)
+    words = F.filter(F.split("query", WHITESPACE_RUN), lambda w: w != "")
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w"), F.lit(2)), lambda i: F.array_join(F.slice("w", i, 2), " "))
+    pairs = qs.withColumn("w", words).filter(F.size("w") > 0).select("query_id", F.posexplode(pairs).alias("k", "query"))
+    named = lambda k: F.concat(F.col("query_id").cast("string"), F.lit(":"), k.cast("string")).alias("query_id")
+    return qs.select(named(F.lit(0)), "query").union(pairs.select(named(F.col("k") + 1), "query"))
+
+
+def q_search_batch_passages(spark, sf):
+    return search_batch(documents_postings(spark, sf), passage_queries(spark, sf))
+
+
 def q_search_batch_clean(spark, sf):
     return search_batch(documents_postings(spark, sf), benchmark_queries(spark, sf), clean_query=True)
 
@@ -264,6 +278,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_all": q_search_all,
     "search_all_intersect": q_search_all_intersect,
     "search_batch": q_search_batch,
+    "search_batch_passages": q_search_batch_passages,
     "search_batch_clean": q_search_batch_clean,
     "search_stored_parquet": q_search_stored_parquet,
     "search_stored_text": q_search_stored_text,
@@ -303,26 +318,35 @@ def _sql_terms(terms: list[str]) -> str:
     return ", ".join("'" + t.replace("'", "''") + "'" for t in terms)
 
 
-def _qt_cte(clean: bool, text: str = "text") -> str:
+def _qt_cte(clean: bool, text: str = "text", table: str = "benchmark") -> str:
     if clean:
         split = f"string_split(lower(regexp_replace(text, '{NON_TERM_RUN}', ' ', 'g')), ' ')"
     else:
         split = f"regexp_split_to_array(lower({text}), '{_WS_RE2}')"
     return (
-        f"qw AS (SELECT item_id AS query_id, unnest({split}) AS term FROM benchmark), "
+        f"qw AS (SELECT item_id AS query_id, unnest({split}) AS term FROM {table}), "
         "qt AS (SELECT DISTINCT query_id, term FROM qw WHERE term <> ''), "
         "qn AS (SELECT query_id, count(*) AS n FROM qt GROUP BY query_id) "
     )
 
 
-def _batch_sql(clean: bool, text: str = "text") -> str:
+def _batch_sql(clean: bool, text: str = "text", table: str = "benchmark", before: str = "") -> str:
     return (
-        _post_cte() + ", " + _qt_cte(clean, text)
+        _post_cte() + ", " + before + _qt_cte(clean, text, table)
         + "SELECT qt.query_id AS query_id, post.doc AS doc FROM qt JOIN post ON qt.term = post.term "
         "JOIN qn ON qt.query_id = qn.query_id GROUP BY qt.query_id, post.doc, qn.n HAVING count(*) = qn.n"
     )
 
 
+# The queries of passage_queries.
+_ASKED_CTE = (
+    f"words AS (SELECT item_id, list_filter(regexp_split_to_array(text, '{_WS_RE2}'), lambda x: x <> '') AS w FROM benchmark), "
+    "asked AS (SELECT item_id || ':0' AS item_id, text FROM benchmark UNION ALL "
+    "SELECT item_id || ':' || k, array_to_string(w[2 * k - 1 : 2 * k], ' ') "
+    "FROM (SELECT item_id, w, unnest(range(1, (len(w) + 1) // 2 + 1)) AS k FROM words)), "
+)
+
+
 def _search_sql(query: str) -> str:
     terms = parse_query(query)
     return (
@@ -362,6 +386,7 @@ ORACLE_SQL: dict[str, str] = {
     "search_all": _search_sql(SEARCH_QUERY),
     "search_all_intersect": _search_sql(SEARCH_QUERY),
     "search_batch": _batch_sql(False, f"regexp_extract(text, '{TWO_WORDS}')"),
+    "search_batch_passages": _batch_sql(False, table="asked", before=_ASKED_CTE),
     "search_batch_clean": _batch_sql(True),
     "search_stored_parquet": _search_sql(STORED_QUERY),
     "search_stored_text": _search_sql(STORED_QUERY),

@@ -195,3 +195,13 @@ def test_cluster_without_a_shared_folder_raises():
     spark.sparkContext.getCheckpointDir.return_value = None
     with pytest.raises(ValueError):
         checkpoint_base(spark)
+
+
+def test_passage_queries_keep_every_passage_and_word(spark, tmp_path):
+    from termdex.plans.registry import passage_queries
+
+    rows = [(4, "Rrquell.\nDe la la Citt\u00e0  vieja"), (5, " "), (6, "one")]
+    spark.createDataFrame(rows, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.query_id: r.query for r in passage_queries(spark, str(tmp_path)).collect()}
+    assert {k: v for k, v in got.items() if k.endswith(":0")} == {f"{i}:0": t for i, t in rows}
+    assert {k: v for k, v in got.items() if not k.endswith(":0")} == {"4:1": "Rrquell. De", "4:2": "la la", "4:3": "Citt\u00e0 vieja", "6:1": "one"}
