@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termdex.llm import chat, decontaminate, langid, lm_score, neardup, pieces, pii, quality, token_files, topk
+from termdex.llm import byte_bpe, chat, decontaminate, langid, lm_score, neardup, pieces, pii, quality, token_files, topk
 from termdex.sources.files import read_table
 
 
@@ -65,6 +65,18 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.digests(segments)
 
 
+def op12_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = byte_bpe.public_ranks()
+    docs = read_table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = docs.select("doc_id", byte_bpe.encode(spark, ranks, F.col("text")).alias("ids"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(byte_bpe.id_bytes(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(spark, ranks, F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
@@ -76,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 # Whole-number inner products of every query with every other vector. The other operators are
