@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termdex.llm import byte_bpe, chat, decontaminate, langid, lm_score, neardup, pieces, pii, quality, token_files, topk
+from termdex.llm import byte_bpe, chat, decontaminate, langid, lm_score, neardup, pieces, pii, quality, token_files, topk, variants
 from termdex.sources.files import read_table
 
 
@@ -77,6 +77,10 @@ def op12_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.group(variants.words(read_table(spark, sf, "documents"), delete_every=199))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_language_id": op2_language_id,
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # Whole-number inner products of every query with every other vector. The other operators are
