@@ -56,6 +56,9 @@ from termdex.llm.common import saved, ship, slots, small_batches
 CHUNK = 8 << 20
 # Rows (distinct suffixes of a chunk) in a group.
 BUDGET = 2_000_000
+# A prefix is extended if it has more than a quarter of the budget, or than one in SHARE of all
+# rows: then small corpora, too, fall into even groups.
+SHARE = 1024
 # Pieces end at these bytes; words at blanks and tabs.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = b"."
@@ -201,14 +204,17 @@ def _weights(depth: int, level: int, heavy: Callable[[], set[tuple[int, ...]]] |
 def borders(coded: DataFrame, depth: int, budget: int) -> np.ndarray:
     """First prefix of every group of about ``budget`` rows, in order (a column for each word)."""
     names = [f"p{d}" for d in range(depth)]
-    heavy, light = None, []
+    heavy, light, limit = None, [], 0
     for level in range(1, depth + 1):
         own = names[:level]
         shared = ship(coded.sparkSession, heavy) if heavy is not None else None
         got = coded.mapInArrow(_weights(depth, level, shared), ", ".join(f"{n} int" for n in own) + ", rows long")
-        # at most four for every budget of rows are too large
         got = saved(got.groupBy(*own).agg(F.sum("rows").alias("rows")), "phrases-prefixes")
-        large = (F.col("rows") > budget // 4) & F.lit(level < depth)
+        if level == 1:
+            # so at most four prefixes for every budget of rows, or SHARE, are too large
+            total = got.agg(F.sum("rows")).first()[0] or 0
+            limit = min(budget // 4, max(1, total // SHARE))
+        large = (F.col("rows") > limit) & F.lit(level < depth)
         light.append(got.filter(~large).select(*own, *(F.lit(-1).alias(n) for n in names[level:]), "rows"))
         heavy = {tuple(r) for r in got.filter(large).select(*own).collect()}
         if not heavy:
