@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 from termdex.llm.common import saved, ship, slots, small_batches
 
 # Bytes of text in a chunk.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 # Rows (distinct suffixes of a chunk) in a group.
 BUDGET = 2_000_000
 # A prefix is extended if it has more than a quarter of the budget, or than one in SHARE of all
