@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,7 @@ def index_stream(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    write: Callable[[DataFrame, str], None] | None = None,
 ) -> StreamingQuery:
     """Start indexing a streaming ``(doc, text)`` DataFrame into ``index_path``.
 
@@ -67,7 +69,8 @@ def index_stream(
     that resume from the checkpoint); otherwise the query runs on ``processing_time``.
     The checkpoint defaults to ``<index_path>/_checkpoint`` (hidden from Parquet
     readers), so restarting on the same index resumes instead of indexing old
-    input again.
+    input again. ``write`` takes each micro-batch and its name in place of the folder
+    of its own (``streaming.levels`` keeps a manifest instead).
     """
     checkpoint = checkpoint or os.path.join(index_path, "_checkpoint")
 
@@ -75,8 +78,11 @@ def index_stream(
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
         started.wait()
-        out = os.path.join(index_path, f"epoch={stream[0]}-{epoch_id}")
-        write_index(postings(batch), out, mode="overwrite")
+        name = f"{stream[0]}-{epoch_id}"
+        if write:
+            write(batch, name)
+        else:
+            write_index(postings(batch), os.path.join(index_path, f"epoch={name}"), mode="overwrite")
 
     writer = docs.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)
     if available_now:

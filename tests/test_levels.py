@@ -1,0 +1,117 @@
+"""Levelled partial indexes under one manifest (A5)."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from termdex.operators.index import postings
+from termdex.sources.index_io import read_index
+from termdex.streaming import levels
+from termdex.streaming.ingest import stream_text_files
+
+
+def _docs(spark, rng, ids):
+    words = [f"w{i}" for i in range(20)]
+    return spark.createDataFrame([(i, " ".join(rng.choices(words, k=rng.randint(1, 8)))) for i in ids], "doc bigint, text string")
+
+
+def _same(a, b):
+    return a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_levels_merge_to_the_whole_index(spark, tmp_path):
+    rng = random.Random(1)
+    path = str(tmp_path / "index")
+    # documents 0-9 come again in every slice: their counts add up
+    slices = [_docs(spark, rng, [*range(10), *range(100 * k, 100 * k + 5)]) for k in range(1, 8)]
+    for k, docs in enumerate(slices, 1):
+        levels.append(spark, path, postings(docs), f"s{k}", fanout=3, base=1000)
+        levels.compact_levels(spark, path, fanout=3, base=1000)
+        whole = postings(_union(slices[:k]))
+        assert _same(levels.read_live(spark, path), whole)
+        # fewer than fanout partials of a level
+        now = levels.live(spark, path)[1]
+        assert all(sum(x[1] == level for x in now) < 3 for level in {x[1] for x in now})
+    assert [x[1] for x in sorted(now, key=lambda x: -x[1])] == [1, 1, 0]
+    merged = read_index(spark, f"{path}/{next(f for f, level, _ in now if level == 1)}")
+    assert merged.count() == merged.select("term", "doc").distinct().count()
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out
+
+
+def test_a_reader_between_the_steps_sees_each_posting_once(spark, tmp_path):
+    rng = random.Random(2)
+    path = str(tmp_path / "index")
+    slices = [_docs(spark, rng, range(10 * k, 10 * k + 15)) for k in range(3)]
+    whole = postings(_union(slices)).cache()
+    for k, docs in enumerate(slices):
+        levels.append(spark, path, postings(docs), f"s{k}")
+    before = levels.read_live(spark, path)
+    step = levels.merge_step(spark, path, fanout=3)
+    # the merged folder is there, and in no version
+    assert _same(levels.read_live(spark, path), whole) and len(levels.live(spark, path)[1]) == 3
+    version = levels.commit(spark, path, *step)
+    assert levels.live(spark, path)[0] == version and len(levels.live(spark, path)[1]) == 1
+    assert _same(levels.read_live(spark, path), whole)
+    # a reader that began before the compaction still reads its own version
+    assert _same(before, whole)
+    assert levels.stale(spark, path) == ["part=s0", "part=s1", "part=s2"] and levels.stale(spark, path, 2) == []
+    assert levels.merge_step(spark, path, fanout=3) is None
+
+
+def test_steps_tried_again_add_nothing_twice(spark, tmp_path):
+    path = str(tmp_path / "index")
+    post = postings(_docs(spark, random.Random(3), range(20))).cache()
+    for _ in range(2):
+        levels.append(spark, path, post, "epoch-0")
+    assert _same(levels.read_live(spark, path), post)
+    # an attempt that died between its two steps: the folder is there, but in no version
+    more = postings(_docs(spark, random.Random(4), range(50, 60))).cache()
+    more.limit(3).write.parquet(f"{path}/part=epoch-1")
+    levels.append(spark, path, more, "epoch-1")
+    assert _same(levels.read_live(spark, path), post.union(more))
+
+
+def test_two_writers_from_one_version(spark, tmp_path):
+    path = str(tmp_path / "index")
+    post = postings(_docs(spark, random.Random(3), range(9)))
+    levels.append(spark, path, post, "a")
+    version, _ = levels.live(spark, path)
+    levels.append(spark, path, post, "b")
+    with pytest.raises(ValueError):
+        levels.commit(spark, path, version, [("part=c", 0, 1)])
+    with pytest.raises(ValueError):
+        levels.commit(spark, path, version + 1, [], ["part=c"])
+
+
+def test_levels_by_rows():
+    assert [levels.level_of(n, 4, 100) for n in (0, 100, 101, 400, 401, 1600, 1601)] == [0, 0, 1, 1, 2, 2, 3]
+
+
+def test_empty_partials_and_missing_index(spark, tmp_path):
+    path = str(tmp_path / "index")
+    with pytest.raises(ValueError):
+        levels.read_live(spark, path)
+    levels.append(spark, path, postings(_docs(spark, random.Random(1), range(3)).filter("false")))
+    assert levels.read_live(spark, path).count() == 0 and levels.live(spark, path)[0] == 1
+
+
+def test_stream_into_levels(spark, tmp_path):
+    corpus, path = tmp_path / "corpus", str(tmp_path / "index")
+    corpus.mkdir()
+    rng = random.Random(6)
+    texts = {f"f{k}.txt": " ".join(rng.choices(["a", "b", "c", "d"], k=12)) for k in range(6)}
+    for k, (name, text) in enumerate(texts.items()):
+        (corpus / name).write_text(text)
+        if k % 3 == 2:
+            levels.append_stream(stream_text_files(spark, str(corpus), max_files=1), path, fanout=2).awaitTermination()
+    want = postings(spark.createDataFrame(list(texts.items()), "doc string, text string"))
+    assert _same(levels.read_live(spark, path), want)
+    assert len(levels.live(spark, path)[1]) <= 3
+    assert levels.read_live(spark, path).agg(F.sum("tf")).first()[0] == 72
