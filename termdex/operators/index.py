@@ -23,10 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termdex.functions.text import raw_terms
+from termdex.session import staged
 
 # log2 of the documents per posting block: a term with at most 2**20 documents has one
 # grouped row or text line; a longer list is cut into rows of about that many.
 DEFAULT_BLOCK_BITS = 20
+# A side of a join is broadcast only if its counted bytes are within this.
+MAX_BROADCAST_BYTES = 128 << 20
+# Bytes that a broadcast row takes besides its strings.
+ROW_BYTES = 32
 
 
 def keyed(doc: Column | str) -> Column:
@@ -105,33 +110,67 @@ def stats(post: DataFrame) -> DataFrame:
     )
 
 
-def with_block(post: DataFrame, block_bits: int = DEFAULT_BLOCK_BITS) -> DataFrame:
+def heavy_terms(post: DataFrame, size: int) -> DataFrame:
+    """``(term, parts)`` of the terms with more than ``size`` documents: the blocks that each is cut into."""
+    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return df.filter(F.col("df") > size).select("term", F.ceil(F.col("df") / size).alias("parts"))
+
+
+def blocks(
+    post: DataFrame,
+    block_bits: int = DEFAULT_BLOCK_BITS,
+    max_docs: int | None = None,
+    stored: bool = False,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> tuple[DataFrame, int]:
+    """``with_block``, and the number of terms whose lists are cut."""
+    size = 1 << block_bits
+    if max_docs is None or max_docs > size:
+        if not stored:
+            post = staged(post.withColumn("doc", keyed("doc")), "postings")
+        heavy = staged(heavy_terms(post, size), "heavy-terms")
+        n, sent = heavy.agg(F.count(F.lit(1)), F.sum(F.octet_length("term") + ROW_BYTES)).first()
+        if n:
+            heavy = F.broadcast(heavy) if sent <= max_broadcast_bytes else heavy.hint("merge")
+            digest = F.conv(F.substring(F.md5(F.col("doc").cast("string")), 1, 8), 16, 10).cast("bigint")
+            block = F.coalesce(F.pmod(digest, F.col("parts")) + 1, F.lit(0)).cast("bigint")
+            cut = post.join(heavy, "term", "left").withColumn("doc", keyed("doc")).withColumn("block", block).drop("parts")
+            return cut, n
+    return post.withColumn("doc", keyed("doc")).withColumn("block", F.lit(0).cast("bigint")), 0
+
+
+def with_block(
+    post: DataFrame,
+    block_bits: int = DEFAULT_BLOCK_BITS,
+    max_docs: int | None = None,
+    stored: bool = False,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """``post`` plus a ``block`` column: 0 for every term with at most ``2**block_bits`` documents.
 
     Only a longer list is cut, by a hash of the document, into the fewest blocks of that
-    many documents on average, so the result depends on neither the key's type nor the
-    partitioning. The document frequencies reuse the build's own exchange. Cut terms are
-    broadcast: there is at most one for every ``2**block_bits`` postings.
+    many documents on average (numbered from 1), so the result depends on neither the key's
+    type nor the partitioning.
+
+    A list is no longer than the number of documents, so where the caller knows that there
+    are no more than ``max_docs`` and this is within a block, nothing has to be counted.
+    Otherwise the build runs once, into a table (unless ``post`` is ``stored`` already);
+    the heavy terms are counted from that table's term column, and the lines read the
+    table too. So the corpus is read and tokenised by one stage, whatever the planner makes
+    of two readers. The heavy terms are broadcast if their counted bytes are within the limit,
+    else joined by a shuffle.
     """
-    size = 1 << block_bits
-    # tf is named so that both sides have the same aggregate below, and so one exchange
-    one = F.when(F.col("tf") < 0, 0).otherwise(1)
-    heavy = post.groupBy("term").agg(F.sum(one).alias("df")).filter(F.col("df") > size)
-    heavy = heavy.select("term", F.ceil(F.col("df") / size).alias("parts"))
-    digest = F.conv(F.substring(F.md5(F.col("doc").cast("string")), 1, 8), 16, 10).cast("bigint")
-    block = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(digest, F.col("parts"))).cast("bigint")
-    cut = post.join(F.broadcast(heavy), "term", "left")
-    return cut.withColumn("doc", keyed("doc")).withColumn("block", block).drop("parts")
+    return blocks(post, block_bits, max_docs, stored, max_broadcast_bytes)[0]
 
 
-def grouped(post: DataFrame, block_bits: int = DEFAULT_BLOCK_BITS) -> DataFrame:
+def grouped(post: DataFrame, block_bits: int = DEFAULT_BLOCK_BITS, max_docs: int | None = None, stored: bool = False) -> DataFrame:
     """A3 + P5: ``(term, block, postings array<struct<doc, tf>>)`` sorted by doc.
 
     All of a common term's documents in one row would grow with the corpus, so the
     list is cut into blocks of documents (``with_block``); other terms have one row.
     """
     return (
-        with_block(post, block_bits)
+        with_block(post, block_bits, max_docs, stored)
         .select("term", "block", F.struct("doc", "tf").alias("p"))
         .groupBy("term", "block")
         .agg(F.sort_array(F.collect_list("p")).alias("postings"))

@@ -19,8 +19,15 @@ def format_lines(
     post: DataFrame,
     sep: str = TAB_SEP,
     block_bits: int = DEFAULT_BLOCK_BITS,
+    max_docs: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
-    """P6-P8 over A3: ``(term, block, line)``.
+    """P6-P8 over A3: ``(term, block, line)``; ``max_docs`` and ``stored`` as in ``with_block``."""
+    return line_rows(with_block(post, block_bits, max_docs, stored), sep).select("term", "block", "line")
+
+
+def line_rows(cut: DataFrame, sep: str = TAB_SEP) -> DataFrame:
+    """Lines of postings with their ``block``, and the ``entries`` and ``occurrences`` in each.
 
     Each entry string is built before the aggregation and carried next to its doc,
     so the per-group work is one sort and one join of strings, with no lambda.
@@ -28,7 +35,7 @@ def format_lines(
     from its line, so both fail the job (N3); Parquet keeps them.
     """
     doc = F.col("doc")
-    doc_type = post.schema["doc"].dataType
+    doc_type = cut.schema["doc"].dataType
     doc_str = doc.cast("string")
     if isinstance(doc_type, T.StringType):
         doc_str = F.when(
@@ -37,14 +44,15 @@ def format_lines(
         ).otherwise(doc)
     entry = F.concat(doc_str, F.lit(ENTRY_SEP), F.col("tf").cast("string"))
     return (
-        with_block(post, block_bits)
-        .select("term", "block", F.struct(doc.alias("d"), entry.alias("e")).alias("p"))
+        cut.select("term", "block", "tf", F.struct(doc.alias("d"), entry.alias("e")).alias("p"))
         .groupBy("term", "block")
-        .agg(F.sort_array(F.collect_list("p")).alias("ps"))
+        .agg(F.sort_array(F.collect_list("p")).alias("ps"), F.sum("tf").alias("occurrences"))
         .select(
             "term",
             "block",
             F.concat(F.col("term"), F.lit(sep), F.array_join(F.col("ps.e"), sep)).alias("line"),
+            F.size("ps").cast("long").alias("entries"),
+            "occurrences",
         )
     )
 

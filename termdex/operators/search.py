@@ -10,7 +10,7 @@ emit (queries holding t) x (documents holding t) rows for a common term t. Inste
 each query is seeded with its rarest term, whose posting list bounds the answer, and
 each candidate (query, doc) then checks the query's terms against the postings on
 (term, doc). Work is at most n_terms x df(rarest term) per query, and exact. The
-number of such probes is counted from small tables first: few probes are broadcast
+bytes of such probes are counted from small tables first: few probes are broadcast
 and looked up without moving the postings; many probes use a shuffled semi-join.
 """
 
@@ -18,22 +18,20 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termdex.functions.text import NON_TERM_RUN, query_terms
-from termdex.operators.index import keyed
-from termdex.session import checkpoint_base
-from termdex.sources.index_io import filter_text_lines, parse_lines, read_index, read_text_lines
-
-# Broadcast the batch's distinct terms / query-term rows only below these counts
-# (checked with one count of the query-term rows); beyond, joins are sort-merge.
-MAX_BROADCAST_TERMS = 2_000_000
-MAX_BROADCAST_QUERY_TERMS = 2_000_000
-# Document sets broadcast by one query: counted bytes of all of them together.
-MAX_BROADCAST_BYTES = 128 << 20
-# Look candidates up by broadcasting them only below this counted number of probes.
-MAX_BROADCAST_PROBES = 5_000_000
+from termdex.operators.index import MAX_BROADCAST_BYTES, ROW_BYTES, keyed
+from termdex.session import staged
+from termdex.sources.index_io import filter_text_lines, manifest_files, parse_lines, read_index, read_text_lines
+
+# Rows of one term or query that a shuffled join of the batch gives to one task.
+SALT_ROWS = 1_000_000
+# Terms that get salts of their own, at most (a row of each is broadcast).
+MAX_HOT_TERMS = 1_000_000
+# Salts of each of the batch's terms while no frequency is known.
+VOCABULARY_SALTS = 16
 
 _PY_NON_TERM = re.compile(NON_TERM_RUN)
 
@@ -76,20 +74,53 @@ def _list_sizes(hits: DataFrame) -> dict[str, tuple[int, int]]:
     return {r["term"]: (r["n"], r["b"]) for r in hits.groupBy("term").agg(F.count(F.lit(1)).alias("n"), bytes_.alias("b")).collect()}
 
 
+# Bits of a bitmap of hashed documents, at most: 128 MB.
+MAX_BITMAP_BITS = 1 << 30
+# Bits for each document in it, as long as they fit: one in eight other documents passes.
+BITMAP_BITS_PER_DOC = 8
+
+
+def bitmap_bits(n_docs: int) -> int:
+    """Bits of the bitmap for ``n_docs`` documents: a power of two, one of Spark's buckets at least."""
+    return min(MAX_BITMAP_BITS, max(1 << 15, 1 << (BITMAP_BITS_PER_DOC * n_docs - 1).bit_length()))
+
+
+def _in_bitmap(hits: DataFrame, docs: DataFrame, bits: int) -> DataFrame:
+    """Hits whose hashed document is in the bitmap of ``docs``, some others among them.
+
+    The bitmap is built by the tasks, in buckets of 2**15 bits, and has a fixed size
+    whatever the number of documents. Of a bucket only the byte of the hit's bit is looked at.
+    """
+    place = F.pmod(F.xxhash64("doc"), F.lit(bits))
+    at = docs.select(place.alias("p"))
+    made = at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bitmap"))
+    bit = F.bitmap_bit_position("p")
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    placed = hits.withColumn("p", place).withColumn("bucket", F.bitmap_bucket_number("p"))
+    inside = placed.join(F.broadcast(made), "bucket")
+    return inside.filter(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*hits.columns)
+
+
 def _divide_rarest_first(hits: DataFrame, terms: list[str], max_broadcast_bytes: int) -> DataFrame:
     """``_divide`` of the hits that lie in the rarest term's documents.
 
-    A broadcast set within its counted bytes drops the common terms' other hits before
-    anything is shuffled; a larger set is left to the shuffle of the division itself.
+    The rarest term's documents are broadcast if their counted bytes are within the limit,
+    else as a bitmap of their hashes, of a fixed size. Either way the common terms' other hits
+    are dropped before anything is shuffled; the few that a bitmap lets through fail the
+    division, which is exact.
     """
     hits = hits.select("term", keyed("doc").alias("doc"))
     sizes = _list_sizes(hits)
     if len(sizes) < len(terms):
         return _empty_docs(hits)
     rarest = min(terms, key=lambda t: sizes[t])
-    if len(terms) > 1 and sizes[rarest][1] <= max_broadcast_bytes:
+    if len(terms) > 1:
         docs = hits.filter(F.col("term") == rarest).select("doc")
-        hits = hits.join(F.broadcast(docs), "doc", "left_semi")
+        if sizes[rarest][1] <= max_broadcast_bytes:
+            hits = hits.join(F.broadcast(docs), "doc", "left_semi")
+        else:
+            others = _in_bitmap(hits.filter(F.col("term") != rarest), docs, bitmap_bits(sizes[rarest][0]))
+            hits = others.union(hits.filter(F.col("term") == rarest))
     return _divide(hits, len(terms))
 
 
@@ -112,35 +143,31 @@ def search_all(
     return _divide_rarest_first(hits, terms, max_broadcast_bytes) if rarest_first else _divide(hits, len(terms))
 
 
-def search_all_intersect(
-    post: DataFrame, query: str, clean_query: bool = False, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
+# Words whose bits share one number (its sign stays unused).
+MASK_WORDS = 63
+
+
+def search_all_intersect(post: DataFrame, query: str, clean_query: bool = False) -> DataFrame:
     """Q4 twin of ``search_all``: intersect the document sets of the terms.
 
-    Set intersection is a semi-join on ``doc`` followed by ``distinct`` (what
-    ``INTERSECT`` plans to), written out so each step's strategy follows its size.
+    Each hit carries the bit of its term; the bits of a document's hits are or-ed, and the
+    documents in every set have all bits. The hits move once, combined map-side, whatever
+    the number of terms; more than ``MASK_WORDS`` terms take several masks.
     """
     terms = parse_query(query, clean_query)
     if not terms:
         return _empty_docs(post)
-    # The query terms' postings are cut once (a reliable checkpoint): otherwise each
-    # term's set would re-read the index, or re-tokenise the corpus, on its own.
-    checkpoint_base(post.sparkSession)
-    hits = post.filter(F.col("term").isin(terms)).select("term", keyed("doc").alias("doc")).checkpoint(eager=True)
-    # Exact set sizes order the intersection rarest first; sets are broadcast as long as
-    # their bytes together are within the limit, then joined by sort-merge semi-joins.
-    sizes = _list_sizes(hits)
-    if len(sizes) < len(terms):
-        return _empty_docs(post)
-    order = sorted(terms, key=lambda t: sizes[t])
-    acc = hits.filter(F.col("term") == order[0]).select("doc")
-    sent = 0
-    for t in order[1:]:
-        other = hits.filter(F.col("term") == t).select("doc")
-        sent += sizes[t][1]
-        other = F.broadcast(other) if sent <= max_broadcast_bytes else other.hint("merge")
-        acc = acc.join(other, "doc", "left_semi")
-    return acc.distinct()
+    hits = post.filter(F.col("term").isin(terms)).select("term", keyed("doc").alias("doc"))
+    groups = [terms[a : a + MASK_WORDS] for a in range(0, len(terms), MASK_WORDS)]
+
+    def mask(group: list[str]) -> Column:
+        bit = F.create_map(*(F.lit(x) for k, t in enumerate(group) for x in (t, 1 << k)))
+        return F.bit_or(F.coalesce(F.try_element_at(bit, F.col("term")), F.lit(0)).cast("bigint"))
+
+    found = hits.groupBy("doc").agg(*(mask(g).alias(f"m{k}") for k, g in enumerate(groups)))
+    for k, g in enumerate(groups):
+        found = found.filter(F.col(f"m{k}") == F.lit((1 << len(g)) - 1).cast("bigint"))
+    return found.select("doc")
 
 
 def resident_index(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -158,19 +185,29 @@ def resident_index(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     return post.select("term", "doc").cache()
 
 
+def stored_text_lines(spark: SparkSession, path: str, terms: list[str]) -> DataFrame:
+    """S7 for text: the lines of some terms, from the parts that can hold them if there is a manifest."""
+    files = manifest_files(spark, path, terms)
+    if files == []:
+        return spark.createDataFrame([], "value string")
+    lines = read_text_lines(spark, path) if files is None else spark.read.text(files)
+    return filter_text_lines(lines, terms)
+
+
 def search_stored(spark: SparkSession, path: str, query: str, fmt: str = "parquet", clean_query: bool = False) -> DataFrame:
     """Q3 + S7 + Q5: search an index on storage, reading only the query terms.
 
     Parquet: the ``In(term, ...)`` filter is pushed to the scan and skips row groups
     of a term-sorted index; the lists are counted first, and only hits in the rarest
-    term's documents are shuffled. Text (read once): only lines whose first word is a query term are
-    split; a term spread over several lines or parts unions its documents.
+    term's documents are shuffled. Text (read once): a manifest names the parts that can
+    hold the terms; only lines whose first word is a query term are split; a term spread
+    over several lines or parts unions its documents.
     """
     terms = parse_query(query, clean_query)
     if fmt == "parquet":
         post = read_index(spark, path)
     elif fmt == "text":
-        post = parse_lines(filter_text_lines(read_text_lines(spark, path), terms or [""]))
+        post = parse_lines(stored_text_lines(spark, path, terms or [""]))
     else:
         raise ValueError("fmt must be 'parquet' or 'text'")
     if not terms:
@@ -183,6 +220,11 @@ def _side(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df.hint("merge")
 
 
+def _bytes(*cols: str) -> Column:
+    """Bytes of broadcast rows with these columns."""
+    return F.sum(sum((F.octet_length(F.col(c).cast("string")) for c in cols), F.lit(0)) + ROW_BYTES).cast("bigint")
+
+
 def batch_terms(queries: DataFrame, clean_query: bool = False) -> DataFrame:
     """P11 for a table of queries -> ``(query_id, term, n)``, n = distinct terms of the query."""
     arr = query_terms(F.col("query"), clean_query)
@@ -191,13 +233,34 @@ def batch_terms(queries: DataFrame, clean_query: bool = False) -> DataFrame:
     )
 
 
+def _salt(salts: Column) -> Column:
+    """One of ``salts`` salts for a row, by its document."""
+    return F.pmod(F.xxhash64("doc"), F.coalesce(salts, F.lit(1))).cast("int").alias("salt")
+
+
+def _all_salts(salts: Column) -> Column:
+    """A row for each salt: the other side of a salted join."""
+    return F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)).cast("int") - 1)).alias("salt")
+
+
+def hot_terms(dfreq: DataFrame, salt_rows: int) -> DataFrame:
+    """``(term, salts)`` of terms with more than ``salt_rows`` documents: a salt for each that many.
+
+    At least so many rows a salt that no more than ``MAX_HOT_TERMS`` terms are hot.
+    """
+    total = dfreq.agg(F.sum("df")).first()[0] or 0
+    rows = max(salt_rows, -(-total // MAX_HOT_TERMS))
+    return dfreq.filter(F.col("df") > rows).select("term", F.ceil(F.col("df") / rows).cast("int").alias("salts"))
+
+
 def search_batch(
     post: DataFrame,
     queries: DataFrame,
     clean_query: bool = False,
-    max_broadcast_terms: int = MAX_BROADCAST_TERMS,
-    max_broadcast_query_terms: int = MAX_BROADCAST_QUERY_TERMS,
-    max_broadcast_probes: int = MAX_BROADCAST_PROBES,
+    max_broadcast_terms: int = MAX_BROADCAST_BYTES,
+    max_broadcast_query_terms: int = MAX_BROADCAST_BYTES,
+    max_broadcast_probes: int = MAX_BROADCAST_BYTES,
+    salt_rows: int = SALT_ROWS,
 ) -> DataFrame:
     """Q6: answer a table ``queries(query_id, query)`` -> ``(query_id, doc)``.
 
@@ -205,50 +268,73 @@ def search_batch(
     the answers, so a null or repeated ``query_id`` raises. The postings are scanned three
     times (frequencies of the batch's words, the rarest words' lists, the probes), each
     time pruned to what is needed: give a stored index, not a build.
+
+    The limits are counted bytes; beyond them a side is joined by a shuffle, in which the
+    rows of a hot term or query are dealt over a salt for every ``salt_rows`` of them.
     """
     if not queries.groupBy("query_id").count().filter("count > 1 or query_id is null").isEmpty():
         raise ValueError("query_id must be unique and not null")
-    qt = batch_terms(queries, clean_query)
-    # One count of the (query, term) rows; it also bounds the batch's distinct terms.
-    n_rows = qt.count()
-    n_vocab = n_rows
-    if n_rows == 0:
+    qt = staged(batch_terms(queries, clean_query), "query-terms")
+    term_bytes, qt_bytes = qt.agg(_bytes("term"), _bytes("term", "query_id")).first()
+    if not qt_bytes:
         kind = queries.schema["query_id"].dataType
         return post.select(F.lit(None).cast(kind).alias("query_id"), "doc").filter(F.lit(False))
 
-    # Counted sizes decide every join strategy on the query side: broadcast below
-    # the limits, a forced shuffle (sort-merge) join above them, whatever the
-    # planner's estimates say.
-    terms_small = n_vocab <= max_broadcast_terms
-    qt_small = n_rows <= max_broadcast_query_terms
-    vocab = _side(qt.select("term").distinct(), terms_small)
+    # Counted bytes decide every join strategy on the query side: broadcast below the
+    # limits, a forced shuffle (sort-merge) join above them, whatever the planner
+    # estimates.
+    terms_small = term_bytes <= max_broadcast_terms
+    qt_small = qt_bytes <= max_broadcast_query_terms
+    vocab = qt.select("term").distinct()
 
-    # Postings of the batch's terms only: the semi-join is pushed below a postings
+    # Postings of the batch's terms only: a broadcast semi-join is pushed below a postings
     # aggregate, and a stored index is read for these columns alone.
-    checkpoint_base(post.sparkSession)
-    rel = post.select("term", keyed("doc").alias("doc")).join(vocab, "term", "left_semi")
+    rel = post.select("term", keyed("doc").alias("doc"))
+    if terms_small:
+        rel = rel.join(F.broadcast(vocab), "term", "left_semi")
+    else:
+        # no frequency is known yet: every term gets the same salts
+        rel = rel.withColumn("salt", _salt(F.lit(VOCABULARY_SALTS)))
+        rel = rel.join(vocab.select("term", _all_salts(F.lit(VOCABULARY_SALTS))).hint("merge"), ["term", "salt"], "left_semi").drop("salt")
 
-    # Rarest term of each query (at most one row per query, cut from lineage once);
-    # a term missing from the index rules the query out.
-    dfreq = _side(rel.groupBy("term").agg(F.count(F.lit(1)).alias("df")), terms_small)
+    # Rarest term of each query (one row per query); a term missing from the index rules
+    # the query out.
+    dfreq = staged(rel.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "term-counts")
     rare = (
-        qt.join(dfreq, "term", "left")
+        qt.join(_side(dfreq, terms_small), "term", "left")
         .groupBy("query_id")
         .agg(
             F.min(F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("term"))).alias("r"),
             F.max("n").alias("n"),
         )
         .filter(F.col("r.df") > 0)
-        .select("query_id", F.col("r.term").alias("term"), F.col("r.df").alias("df"), "n")
-        .checkpoint(eager=True)
+        .select("query_id", F.col("r.term").alias("term"), F.ceil(F.col("r.df") / salt_rows).cast("int").alias("salts"), "n")
     )
-    # Exact number of (query, candidate doc, query term) probes, from the small table.
-    n_probes = int(rare.agg(F.coalesce(F.sum(F.col("df") * F.col("n")), F.lit(0))).first()[0])
+    rare = staged(rare, "rarest-terms")
 
-    # Only the rarest words' lists are kept (a reliable checkpoint); stop words stay in place.
-    cand = rel.join(_side(rare.drop("df"), qt_small), "term").select("query_id", "doc", "n").checkpoint(eager=True)
-    probes = cand.join(_side(qt.select("query_id", "term"), qt_small), "query_id")
-    if n_probes <= max_broadcast_probes:
+    # Only the rarest words' lists are kept (a table); stop words stay in place.
+    if qt_small:
+        cand = rel.join(F.broadcast(rare), "term")
+    else:
+        hot = F.broadcast(hot_terms(dfreq, salt_rows))
+        dealt = rel.join(hot, "term", "left").select("term", "doc", _salt(F.col("salts")))
+        asked = rare.join(hot.withColumnRenamed("salts", "own"), "term", "left").select("*", _all_salts(F.col("own")))
+        cand = dealt.join(asked.hint("merge"), ["term", "salt"])
+    cand = staged(cand.select("query_id", "doc", "n", "salts"), "candidates")
+
+    # Exact bytes of all (query, candidate, query term) probes, from a row per query.
+    lists = cand.groupBy("query_id").agg(F.count(F.lit(1)).alias("c"), _bytes("doc", "query_id").alias("b"))
+    words = qt.groupBy("query_id").agg(F.max("n").alias("n"), F.sum(F.octet_length("term")).alias("t"))
+    probe_bytes = lists.join(_side(words, qt_small), "query_id").agg(F.sum(F.col("b") * F.col("n") + F.col("c") * F.col("t"))).first()[0] or 0
+
+    if qt_small:
+        probes = cand.join(F.broadcast(qt.select("query_id", "term")), "query_id")
+    else:
+        # a query with a long list: its candidates are dealt over its salts
+        asked = qt.select("query_id", "term").join(rare.select("query_id", "salts").hint("merge"), "query_id").select("query_id", "term", _all_salts(F.col("salts")))
+        probes = cand.withColumn("salt", _salt(F.col("salts"))).join(asked.hint("merge"), ["query_id", "salt"]).drop("salt")
+    probes = probes.select("query_id", "doc", "n", "term")
+    if probe_bytes <= max_broadcast_probes:
         # the probes are few: look them up in the postings without moving the postings
         hits = rel.join(F.broadcast(probes), ["term", "doc"])
     else:

@@ -26,8 +26,9 @@ from termdex.operators.search import (
 )
 from termdex.session import shared_dir
 from termdex.sources.files import from_table, read_lines, read_table, read_whole
-from termdex.sources.index_io import read_index, read_text_index, write_index, write_text_index
+from termdex.sources.index_io import inspect_parts, read_index, read_text_index, write_index, write_text_index
 from termdex.streaming.ingest import index_stream, read_merged, stream_table
+from termdex.streaming.levels import append, compact_levels, read_live
 
 # Search parameters of the registered queries (constants of the query, not data).
 SEARCH_QUERY = "The  of AND"
@@ -81,7 +82,9 @@ def q_index_stats(spark, sf):
 
 
 def q_index_lines_tab(spark, sf):
-    return format_lines(documents_postings(spark, sf), TAB_SEP).select("line")
+    # no list is longer than the table has rows, a count that reads footers only
+    n = documents(spark, sf).count()
+    return format_lines(documents_postings(spark, sf), TAB_SEP, max_docs=n).select("line")
 
 
 def q_index_lines_files(spark, sf):
@@ -138,20 +141,15 @@ def q_search_all_intersect(spark, sf):
     return search_all_intersect(documents_postings(spark, sf), SEARCH_QUERY)
 
 
-# The first two words of a passage, as it writes them: raw queries that have answers.
-TWO_WORDS = "^[A-Za-z]+ [A-Za-z]+"
-
-
 def q_search_batch(spark, sf):
-    qs = benchmark_queries(spark, sf).withColumn("query", F.regexp_extract("query", TWO_WORDS, 0))
-    return search_batch(documents_postings(spark, sf), qs)
+    return search_batch(documents_postings(spark, sf), passage_queries(spark, sf, by=3))
 
 
-def passage_queries(spark: SparkSession, sf: str) -> DataFrame:
-    """Each whole raw passage (``item:0``), and all its words, two by two (``item:1`` and on)."""
+def passage_queries(spark: SparkSession, sf: str, by: int = 2) -> DataFrame:
+    """Each whole raw passage (``item:0``), and all its words, two by two or ``by`` by ``by`` (``item:1`` and on)."""
     qs = benchmark_queries(spark, sf)
     words = F.filter(F.split("query", WHITESPACE_RUN), lambda w: w != "")
-    pairs = F.transform(F.sequence(F.lit(1), F.size("w"), F.lit(2)), lambda i: F.array_join(F.slice("w", i, 2), " "))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w"), F.lit(by)), lambda i: F.array_join(F.slice("w", i, by), " "))
     pairs = qs.withColumn("w", words).filter(F.size("w") > 0).select("query_id", F.posexplode(pairs).alias("k", "query"))
     named = lambda k: F.concat(F.col("query_id").cast("string"), F.lit(":"), k.cast("string")).alias("query_id")
     return qs.select(named(F.lit(0)), "query").union(pairs.select(named(F.col("k") + 1), "query"))
@@ -177,6 +175,28 @@ def q_search_stored_text(spark, sf):
     return search_stored(spark, path, STORED_QUERY, "text").select(F.col("doc").cast("bigint").alias("doc"))
 
 
+def q_search_stored_manifest(spark, sf):
+    # S7 + Q3: the manifest beside the parts names those that can hold a word; K4's cut.
+    path = shared_dir(spark, "text-index")
+    write_text_index(documents_postings(spark, sf), path, parts=16, layout="exact")
+    return search_stored(spark, path, STORED_QUERY, "text").select(F.col("doc").cast("bigint").alias("doc"))
+
+
+def q_search_all_bitmap(spark, sf):
+    # Q1 with the rarest word above the broadcast limit: its documents travel as a bitmap.
+    path = shared_dir(spark, "parquet-index")
+    write_index(documents_postings(spark, sf), path)
+    return search_all(read_index(spark, path), SEARCH_QUERY, rarest_first=True, max_broadcast_bytes=0)
+
+
+def q_search_batch_shuffled(spark, sf):
+    # Q6 with nothing broadcast, and a salt for every thousand rows of a hot word or query.
+    return search_batch(
+        documents_postings(spark, sf), passage_queries(spark, sf),
+        max_broadcast_terms=0, max_broadcast_query_terms=0, max_broadcast_probes=0, salt_rows=1000,
+    )
+
+
 def q_search_stored_blocks(spark, sf):
     # Q5: common words on several lines of several parts; the answer unions them.
     path = shared_dir(spark, "text-index")
@@ -207,6 +227,47 @@ def q_read_parts_round(spark, sf):
     return _read_parts(spark, sf, "round")
 
 
+# Parts of the exact cut, as many as the largest of the reference's runs.
+EXACT_PARTS = 15
+
+
+def _part_number(col: str):
+    return F.regexp_extract(col, "part-([0-9]+)", 1).cast("bigint")
+
+
+def q_read_parts_exact(spark, sf):
+    # K4: the sorted lines cut after every ceil(lines / parts): what each part file holds.
+    path = shared_dir(spark, "text-index")
+    write_text_index(documents_postings(spark, sf), path, parts=EXACT_PARTS, layout="exact")
+    parts = inspect_parts(spark, path)
+    return parts.select(_part_number("file").alias("part"), "lines", "bytes", F.col("first").alias("first_term"), F.col("last").alias("last_term"))
+
+
+def q_parts_sorted(spark, sf):
+    # K2 + K6: hashed parts, proved to be in order from the files themselves.
+    path = shared_dir(spark, "text-index")
+    write_text_index(documents_postings(spark, sf), path, parts=5, layout="hash")
+    parts = inspect_parts(spark, path)
+    return parts.agg(F.count(F.lit(1)).alias("parts"), F.sum("lines").alias("num_lines"), F.sum("bytes").alias("num_bytes"), F.bool_and("in_order").alias("in_order"))
+
+
+def q_build_observed(spark, sf):
+    # The build's own numbers, observed by the job that writes it (with cut lists).
+    path = shared_dir(spark, "text-index")
+    report = write_text_index(documents_postings(spark, sf), path, block_bits=SMALL_BLOCK_BITS)
+    return spark.createDataFrame([tuple(report)], "num_terms bigint, tot_terms bigint, num_postings bigint, num_lines bigint, num_bytes bigint")
+
+
+def q_postings_compacted(spark, sf):
+    # A5: ten small indexes by document, levels merged under one manifest, then read.
+    path = shared_dir(spark, "levels")
+    docs = documents(spark, sf).withColumn("k", F.pmod(F.xxhash64("doc"), F.lit(10)))
+    for k in range(10):
+        append(spark, path, postings(docs.filter(F.col("k") == k), SPREAD), f"slice-{k}", fanout=3)
+    compact_levels(spark, path, fanout=3)
+    return read_live(spark, path)
+
+
 def q_merge_postings(spark, sf):
     # A5: index the user turns and all other turns apart, then merge the two indexes.
     conv = read_table(spark, sf, "conversations")
@@ -282,10 +343,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_batch_clean": q_search_batch_clean,
     "search_stored_parquet": q_search_stored_parquet,
     "search_stored_text": q_search_stored_text,
+    "search_stored_manifest": q_search_stored_manifest,
+    "search_all_bitmap": q_search_all_bitmap,
+    "search_batch_shuffled": q_search_batch_shuffled,
     "search_stored_blocks": q_search_stored_blocks,
     "search_resident": q_search_resident,
     "read_parts_hash": q_read_parts_hash,
     "read_parts_round": q_read_parts_round,
+    "read_parts_exact": q_read_parts_exact,
+    "parts_sorted": q_parts_sorted,
+    "build_observed": q_build_observed,
+    "postings_compacted": q_postings_compacted,
     "merge_postings": q_merge_postings,
     "postings_streamed": q_postings_streamed,
     "file_corpus_terms": q_file_corpus_terms,
@@ -338,13 +406,14 @@ def _batch_sql(clean: bool, text: str = "text", table: str = "benchmark", before
     )
 
 
-# The queries of passage_queries.
-_ASKED_CTE = (
-    f"words AS (SELECT item_id, list_filter(regexp_split_to_array(text, '{_WS_RE2}'), lambda x: x <> '') AS w FROM benchmark), "
-    "asked AS (SELECT item_id || ':0' AS item_id, text FROM benchmark UNION ALL "
-    "SELECT item_id || ':' || k, array_to_string(w[2 * k - 1 : 2 * k], ' ') "
-    "FROM (SELECT item_id, w, unnest(range(1, (len(w) + 1) // 2 + 1)) AS k FROM words)), "
-)
+def _asked_cte(by: int) -> str:
+    """The queries of passage_queries."""
+    return (
+        f"words AS (SELECT item_id, list_filter(regexp_split_to_array(text, '{_WS_RE2}'), lambda x: x <> '') AS w FROM benchmark), "
+        "asked AS (SELECT item_id || ':0' AS item_id, text FROM benchmark UNION ALL "
+        f"SELECT item_id || ':' || k, array_to_string(w[{by} * (k - 1) + 1 : {by} * k], ' ') "
+        f"FROM (SELECT item_id, w, unnest(range(1, (len(w) + {by - 1}) // {by} + 1)) AS k FROM words)), "
+    )
 
 
 def _search_sql(query: str) -> str:
@@ -385,15 +454,34 @@ ORACLE_SQL: dict[str, str] = {
     "query_terms": "WITH " + _qt_cte(False) + "SELECT query_id, term FROM qt",
     "search_all": _search_sql(SEARCH_QUERY),
     "search_all_intersect": _search_sql(SEARCH_QUERY),
-    "search_batch": _batch_sql(False, f"regexp_extract(text, '{TWO_WORDS}')"),
-    "search_batch_passages": _batch_sql(False, table="asked", before=_ASKED_CTE),
+    "search_batch": _batch_sql(False, table="asked", before=_asked_cte(3)),
+    "search_batch_passages": _batch_sql(False, table="asked", before=_asked_cte(2)),
     "search_batch_clean": _batch_sql(True),
     "search_stored_parquet": _search_sql(STORED_QUERY),
     "search_stored_text": _search_sql(STORED_QUERY),
+    "search_stored_manifest": _search_sql(STORED_QUERY),
+    "search_all_bitmap": _search_sql(SEARCH_QUERY),
+    "search_batch_shuffled": _batch_sql(False, table="asked", before=_asked_cte(2)),
     "search_stored_blocks": _search_sql(STORED_QUERY),
     "search_resident": _search_sql(SEARCH_QUERY),
     "read_parts_hash": _post_cte() + "SELECT term, CAST(doc AS VARCHAR) AS doc, tf FROM post",
     "read_parts_round": _post_cte() + "SELECT term, CAST(doc AS VARCHAR) AS doc, tf FROM post",
+    "read_parts_exact": (
+        f"WITH line AS ({_lines_sql('chr(9)')}), "
+        f"placed AS (SELECT line, split_part(line, chr(9), 1) AS term, (row_number() OVER (ORDER BY split_part(line, chr(9), 1)) - 1) "
+        f"// ((count(*) OVER () + {EXACT_PARTS - 1}) // {EXACT_PARTS}) AS part FROM line) "
+        "SELECT part, count(*) AS lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, min(term) AS first_term, max(term) AS last_term FROM placed GROUP BY part"
+    ),
+    "parts_sorted": (
+        f"SELECT CAST(5 AS BIGINT) AS parts, count(*) AS num_lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS num_bytes, true AS in_order FROM ({_lines_sql('chr(9)')})"
+    ),
+    "build_observed": (
+        f"WITH line AS ({_lines_sql('chr(9)', SMALL_BLOCK_BITS)}) SELECT count(DISTINCT split_part(line, chr(9), 1)) AS num_terms, "
+        "(SELECT CAST(sum(tf) AS BIGINT) FROM (" + _post_cte() + "SELECT tf FROM post)) AS tot_terms, "
+        "(SELECT count(*) FROM (" + _post_cte() + "SELECT tf FROM post)) AS num_postings, "
+        "count(*) AS num_lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS num_bytes FROM line"
+    ),
+    "postings_compacted": _post_cte() + "SELECT term, doc, tf FROM post",
     "merge_postings": _post_cte("conversations", "conv_id", "text") + "SELECT term, doc, tf FROM post",
     "postings_streamed": _post_cte() + "SELECT term, doc, tf FROM post",
     "file_corpus_terms": _OCCURRENCES_SQL,

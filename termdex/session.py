@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job of this library relies on; cluster values come from the submitter.
 DEFAULT_CONF = {
@@ -68,3 +68,20 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = checkpoint_base(spark)
     name = "-".join(parts) if parts else "work"
     return os.path.join(base.rstrip("/"), f"termdex-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Run ``df`` once: write it to a fresh table in the shared folder and read that.
+
+    What reads the result reads the table, so the work before it is not repeated, by a
+    second reader or after a lost executor.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store its path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -1,0 +1,222 @@
+"""Text parts: manifest, exact cut, order inside parts, the build's report, and one corpus pass."""
+
+import glob
+import json
+import os
+import subprocess
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import HAND_INDEX_TAB
+from termdex.operators.index import blocks, postings, staged, stats, with_block
+from termdex.operators.lines import format_lines
+from termdex.operators.search import search_stored, stored_text_lines
+from termdex.sources.index_io import inspect_parts, manifest_files, read_text_index, read_text_lines, write_manifest, write_text_index
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _many(spark, n_terms=200, n_docs=40):
+    """Postings of ``n_terms`` words, the first of which are in every document."""
+    docs = spark.range(n_docs).select(
+        F.col("id").alias("doc"),
+        F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n_terms - 1)), lambda i: F.when((i < 3) | (i % n_docs == F.col("id")), F.format_string("w%04d", i)).otherwise("")), " ").alias("text"),
+    )
+    return postings(docs)
+
+
+def _docs(df):
+    return sorted(r["doc"] for r in df.collect())
+
+
+# -- K4 ------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n_lines, parts, want", [(7, 3, [3, 3, 1]), (4, 3, [2, 2]), (200, 15, [14] * 14 + [4]), (5, 1, [5]), (2, 6, [1, 1]), (0, 4, [])])
+def test_exact_cut(spark, tmp_path, n_lines, parts, want):
+    docs = spark.createDataFrame([("d", " ".join(f"w{i:03d}" for i in range(n_lines)))], "doc string, text string")
+    path = str(tmp_path / "out")
+    write_text_index(postings(docs), path, parts=parts, layout="exact")
+    files = sorted(glob.glob(f"{path}/part-*"))
+    lines = [open(f).read().splitlines() for f in files]
+    assert [len(x) for x in lines if x] == want
+    assert [x.split("\t")[0] for f in lines for x in f] == [f"w{i:03d}" for i in range(n_lines)]
+
+
+def test_exact_cut_keeps_a_cut_term_s_lines_together(spark, tmp_path):
+    path = str(tmp_path / "out")
+    post = _many(spark)
+    report = write_text_index(post, path, parts=7, layout="exact", block_bits=3)
+    parts = inspect_parts(spark, path).orderBy("first").collect()
+    size = -(-report.lines // 7)
+    assert [p.lines for p in parts] == [size] * 6 + [report.lines - 6 * size] and all(p.in_order for p in parts)
+    back = read_text_index(spark, path)
+    assert back.select("term", F.col("doc").cast("long"), "tf").exceptAll(post).count() == 0 and back.count() == post.count()
+
+
+def test_exact_needs_parts(hand_docs, tmp_path):
+    with pytest.raises(ValueError):
+        write_text_index(postings(hand_docs), str(tmp_path / "x"), layout="exact")
+
+
+# -- manifest ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("layout", ["range", "exact", "hash"])
+def test_search_opens_only_parts_that_can_hold_a_word(spark, tmp_path, layout):
+    post = _many(spark).cache()
+    path = str(tmp_path / "index")
+    write_text_index(post, path, parts=8, layout=layout, manifest=True)
+    every = read_text_lines(spark, path).inputFiles()
+    for query, terms in (("w0050", ["w0050"]), ("w0001 w0199", ["w0001", "w0199"]), ("zzz", ["zzz"]), ("a zzzz", ["a", "zzzz"])):
+        opened = manifest_files(spark, path, terms)
+        if layout != "hash":
+            assert len(opened) <= len(terms) < len(every)
+        lines = stored_text_lines(spark, path, terms)
+        assert set(lines.inputFiles()) == set(opened)
+        want = _docs(post.filter(F.col("term").isin(terms)).groupBy("doc").agg(F.count_distinct("term").alias("n")).filter(F.col("n") == len(terms)))
+        assert sorted(int(d) for d in _docs(search_stored(spark, path, query, "text"))) == want
+
+
+def test_manifest_of_a_foreign_index_and_parts_added_later(spark, tmp_path):
+    d = tmp_path / "odd name"
+    d.mkdir()
+    (d / "part1.txt").write_text("a    f1:1\nb    f1:2 f2:1")
+    (d / "part2.txt").write_text("\n  \nt\tf2:1\n\nu\tf2:5\n")
+    write_manifest(spark, str(d))
+    assert [os.path.basename(f) for f in manifest_files(spark, str(d), ["b"])] == ["part1.txt"]
+    assert _docs(search_stored(spark, str(d), "b", "text")) == ["f1", "f2"]
+    # a part that the manifest does not know is always opened; one that is gone is not
+    (d / "part3.txt").write_text("b f9:1\n")
+    assert _docs(search_stored(spark, str(d), "b", "text")) == ["f1", "f2", "f9"]
+    (d / "part1.txt").unlink()
+    assert _docs(search_stored(spark, str(d), "b", "text")) == ["f9"]
+    assert read_text_index(spark, str(d)).count() == 3
+    rows = spark.read.parquet(f"{d}/_manifest").orderBy("first").collect()
+    assert [(r.file, r.lines, r["first"], r["last"]) for r in rows] == [("part1.txt", 2, "a", "b"), ("part2.txt", 2, "t", "u")]
+
+
+def test_manifest_without_words_opens_nothing(spark, tmp_path):
+    path = str(tmp_path / "index")
+    write_text_index(_many(spark), path, parts=4, layout="range")
+    assert search_stored(spark, path, "", "text").count() == 0
+    assert manifest_files(spark, path, []) == []
+    assert manifest_files(spark, str(tmp_path), ["x"]) is None
+
+
+# -- K2, K6 --------------------------------------------------------------------------
+
+
+def test_parts_out_of_order_are_found(spark, tmp_path):
+    (tmp_path / "good.txt").write_text("a x:1\na y:1\nb x:1\n")
+    (tmp_path / "bad.txt").write_text("a x:1\nc y:1\nb x:1\n")
+    (tmp_path / "blank.txt").write_text("\n\n")
+    got = {r.file: (r.lines, r.bytes, r["first"], r["last"], r.in_order) for r in inspect_parts(spark, str(tmp_path)).collect()}
+    assert got == {"good.txt": (3, 18, "a", "b", True), "bad.txt": (3, 18, "a", "c", False)}
+
+
+def test_order_is_checked_across_blocks_of_a_file(spark, tmp_path):
+    path = str(tmp_path / "one")
+    write_text_index(_many(spark, 400), path, parts=1)
+    (tmp_path / "swapped").mkdir()
+    lines = open(glob.glob(f"{path}/part-*")[0]).read().splitlines()
+    (tmp_path / "swapped" / "p.txt").write_text("\n".join(lines[200:] + lines[:200]) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        for folder, good in ((path, True), (str(tmp_path / "swapped"), False)):
+            assert read_text_lines(spark, folder).rdd.getNumPartitions() > 3
+            (r,) = inspect_parts(spark, folder).collect()
+            assert (r.lines, r["first"], r["last"], r.in_order) == (400, "w0000", "w0399", good)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+# -- A6-A8 ---------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("layout, parts", [("hash", None), ("hash", 3), ("round", 3), ("range", 3), ("exact", 3)])
+@pytest.mark.parametrize("bits", [20, 3])
+def test_report_is_what_was_written(spark, tmp_path, layout, parts, bits):
+    post = _many(spark)
+    path = str(tmp_path / "index")
+    got = write_text_index(post, path, parts=parts, layout=layout, block_bits=bits)
+    n = stats(post).first()
+    lines = [x for f in glob.glob(f"{path}/part-*") for x in open(f).read().splitlines()]
+    assert got == (n.num_terms, n.tot_terms, post.count(), len(lines), sum(len(x) + 1 for x in lines))
+    assert (got.lines > got.terms) == (bits == 3)
+
+
+def test_report_of_an_empty_corpus(spark, tmp_path):
+    empty = spark.createDataFrame([], "doc string, text string")
+    assert write_text_index(postings(empty), str(tmp_path / "x")) == (0, 0, 0, 0, 0)
+
+
+# -- A3, P7, P8: one corpus pass ------------------------------------------------------
+
+
+def test_bound_on_documents_gives_the_same_lines(spark, hand_docs):
+    for n in (4, None):
+        assert sorted(r.line for r in format_lines(postings(hand_docs), max_docs=n).collect()) == HAND_INDEX_TAB
+    # a bound above a block counts after all
+    post = _many(spark)
+    assert with_block(post, 3, max_docs=40).filter("block > 0").count() == with_block(post, 3).filter("block > 0").count() > 0
+
+
+def test_heavy_terms_with_and_without_broadcast(spark):
+    post = staged(_many(spark), "test-postings")
+    a, n = blocks(post, 3, stored=True)
+    b, m = blocks(post, 3, stored=True, max_broadcast_bytes=0)
+    # the three words of every document
+    assert n == m == 3
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+    from termdex.plans import inspect
+
+    assert "BroadcastHashJoin" in inspect.plan_string(blocks(post, 3, stored=True)[0])
+    assert "SortMergeJoin" in inspect.plan_string(blocks(post, 3, stored=True, max_broadcast_bytes=0)[0])
+
+
+BUILD = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from termdex.session import local_session
+from termdex.operators.index import postings
+from termdex.sources.files import from_table, read_table
+from termdex.sources.index_io import write_text_index
+spark = local_session(4)
+docs = from_table(read_table(spark, sys.argv[2], "documents"))
+for k, bits in enumerate((20, 5)):
+    report = write_text_index(postings(docs, "auto"), f"{sys.argv[3]}/{k}", block_bits=bits)
+    print("occurrences", report.occurrences)
+spark.stop()
+"""
+
+
+def _nodes(plan):
+    yield plan
+    for child in plan["children"]:
+        yield from _nodes(child)
+
+
+def test_a_build_tokenises_the_corpus_once(tmp_path):
+    """The event log of two builds, with and without cut lists: each token comes out of a Generate once."""
+    (tmp_path / "log").mkdir()
+    conf = {"enabled": "true", "compress": "false", "rolling.enabled": "false", "dir": f"file://{tmp_path}/log"}
+    args = " ".join(f"--conf spark.eventLog.{k}={v}" for k, v in conf.items())
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": f"{args} --conf spark.ui.enabled=false pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", BUILD, REPO, "/root/testdata/sf0.01", str(tmp_path / "out")], env=env, check=True, timeout=300, capture_output=True, text=True)
+    occurrences = [int(x.split()[1]) for x in out.stdout.splitlines() if x.startswith("occurrences")]
+    assert len(occurrences) == 2 and occurrences[0] == occurrences[1] > 0
+    (log,) = glob.glob(f"{tmp_path}/log/*")
+    events = [json.loads(line) for line in open(log)]
+    generated = {m["accumulatorId"] for e in events if "sparkPlanInfo" in e for n in _nodes(e["sparkPlanInfo"]) if n["nodeName"].startswith("Generate") for m in n["metrics"]}
+    made = {}
+    for e in events:
+        if e["Event"] == "SparkListenerTaskEnd":
+            for a in e["Task Info"]["Accumulables"]:
+                if a["ID"] in generated:
+                    made[e["Stage ID"]] = made.get(e["Stage ID"], 0) + int(a["Update"])
+    # one tokenising stage for each build
+    assert list(made.values()) == occurrences

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from termdex.operators.index import postings
 from termdex.operators.search import search_all, search_all_intersect, search_batch, search_stored
@@ -43,15 +44,16 @@ def test_search_all_intersect_twin(hand_post, query, expected):
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_rarest_first_with_and_without_broadcast(hand_post, query, expected, limit):
     assert _docs(search_all(hand_post, query, rarest_first=True, max_broadcast_bytes=limit)) == expected
-    assert _docs(search_all_intersect(hand_post, query, max_broadcast_bytes=limit)) == expected
 
 
 def test_rarest_first_drops_hits_before_the_shuffle(hand_post):
     from termdex.plans import inspect
 
-    plan = inspect.plan_string(search_all(hand_post, "a cloud", rarest_first=True))
-    assert "BroadcastHashJoin" in plan and plan.index("REPARTITION_BY_COL") < plan.index("BroadcastHashJoin")
-    assert "BroadcastExchange" not in inspect.plan_string(search_all(hand_post, "a cloud", rarest_first=True, max_broadcast_bytes=0))
+    # the documents themselves, or above the limit the bitmap of their hashes
+    for limit in (1 << 20, 0):
+        plan = inspect.plan_string(search_all(hand_post, "a cloud", rarest_first=True, max_broadcast_bytes=limit))
+        assert "BroadcastHashJoin" in plan and plan.index("REPARTITION_BY_COL") < plan.index("BroadcastHashJoin")
+        assert ("bitmap_construct_agg" in plan) == (limit == 0)
 
 
 def test_search_batch_matches_hand_table(spark, hand_post):
@@ -151,12 +153,82 @@ def test_resident_index_answers_like_stored(spark, hand_post, tmp_path, fmt):
     res.unpersist()
 
 
-def test_intersect_without_broadcast(hand_post):
+def test_bitmap_keeps_the_rarest_words_documents_and_few_others(spark, monkeypatch):
+    from termdex.operators import search
+
+    hits = spark.range(5000).selectExpr("'common' AS term", "concat('d', id) AS doc")
+    docs = spark.range(0, 5000, 100).selectExpr("concat('d', id) AS doc")
+    inside = search._in_bitmap(hits, docs, search.bitmap_bits(50))
+    got = {r.doc for r in inside.collect()}
+    want = {r.doc for r in docs.collect()}
+    assert want <= got and len(got) < 70
+    # a full bitmap lets everything through, and the answer is still exact
+    post = hits.union(docs.selectExpr("'rare' AS term", "doc"))
+    monkeypatch.setattr(search, "bitmap_bits", lambda n: 16)
+    assert set(_docs(search_all(post, "common rare", rarest_first=True, max_broadcast_bytes=0))) == want
+
+
+@pytest.mark.parametrize("n_docs, bits", [(0, 1 << 15), (1, 1 << 15), (4096, 1 << 15), (4097, 1 << 16), (10**12, 1 << 30)])
+def test_bitmap_sizes(n_docs, bits):
+    from termdex.operators.search import bitmap_bits
+
+    assert bitmap_bits(n_docs) == bits
+
+
+@pytest.mark.parametrize("n", [1, 12, 63, 64, 70, 127])
+def test_intersect_by_masks(spark, n):
     from termdex.plans import inspect
 
-    got = search_all_intersect(hand_post, "cloud computing", max_broadcast_bytes=0)
-    assert _docs(got) == ["a.txt", "b.txt"]
-    assert "BroadcastExchange" not in inspect.plan_string(got)
+    words = [f"w{k}" for k in range(n)]
+    rows = [(w, d) for d in ("all", "also") for w in words] + [(w, "but one") for w in words[1:]] + [(w, "last") for w in words[-1:]] + [("other", "all")]
+    post = spark.createDataFrame(rows + rows[:3], "term string, doc string")
+    got = search_all_intersect(post, " ".join(words))
+    plan = inspect.plan_string(got)
+    # one exchange with a combine below it; no join and no table or checkpoint in between
+    assert plan.count("Exchange hash") == 1 and inspect.partial_aggregate_below_exchange(got)
+    assert "Join" not in plan and "parquet" not in plan.lower() and "Scan ExistingRDD" in plan
+    assert _docs(got) == sorted(["all", "also"] + (["last"] if n == 1 else []))
+    assert _docs(search_all_intersect(post, " ".join(words) + " absent")) == []
+
+
+def batch_frame(spark, rng, n_docs=400):
+    """Postings with a word in every document, and queries that all hold it; one query has only that word."""
+    vocab = [f"w{i}" for i in range(30)]
+    docs = [(d, " ".join(["hot"] + rng.choices(vocab, k=rng.randint(0, 10)))) for d in range(n_docs)]
+    queries = [(q, " ".join(["hot"] + rng.choices(vocab, k=rng.randint(0, 2)))) for q in range(60)] + [(60, "hot"), (61, "hot absent"), (62, "HOT  hot")]
+    return docs, queries
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 27])
+def test_batch_with_a_hot_word_and_a_hot_query(spark, limit):
+    docs, queries = batch_frame(spark, random.Random(9))
+    post = postings(spark.createDataFrame(docs, "doc bigint, text string")).cache()
+    qs = spark.createDataFrame(queries, "query_id bigint, query string")
+    want = sorted((q, d) for q, text in queries for d, words in docs if set(text.lower().split()) <= set(words.split()))
+    got = search_batch(post, qs, max_broadcast_terms=limit, max_broadcast_query_terms=limit, max_broadcast_probes=limit, salt_rows=25)
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_salts_deal_a_hot_key(spark):
+    """No key of a salted join has much more than ``salt_rows`` rows, and each row meets its partner once."""
+    from termdex.operators import search
+
+    post = spark.range(10_000).selectExpr("if(id % 3 = 0, 'hot', concat('t', id % 100)) AS term", "id AS doc")
+    dfreq = post.groupBy("term").agg(F.count("doc").alias("df"))
+    hot = search.hot_terms(dfreq, 200)
+    assert [(r.term, r.salts) for r in hot.collect()] == [("hot", 17)]
+    dealt = post.join(hot, "term", "left").select("term", "doc", search._salt(F.col("salts")))
+    assert dealt.groupBy("term", "salt").count().agg(F.max("count")).first()[0] < 270
+    other = post.select("term").distinct().join(hot, "term", "left").select("term", search._all_salts(F.col("salts")))
+    assert dealt.join(other, ["term", "salt"]).count() == 10_000
+
+
+def test_hot_terms_are_bounded(spark, monkeypatch):
+    from termdex.operators import search
+
+    monkeypatch.setattr(search, "MAX_HOT_TERMS", 3)
+    dfreq = spark.range(50).selectExpr("concat('t', id) AS term", "id AS df")
+    assert search.hot_terms(dfreq, 1).count() <= 3
 
 
 def test_null_queries_have_no_answer(spark, hand_post):
