@@ -15,17 +15,23 @@ and at the root by absolute discounting, ``p(w) = (c(w) - d) / N``, whose freed
 
 How it runs. Counts are taken over all training texts and never leave the executors:
 
-1. Texts are dealt into blocks of about ``block_bytes``. A block lists its distinct
-   n-grams (64-bit hashes) with their counts in its training texts, cut into shards by
-   the leading bits of the hash: one packed row per (block, shard).
-2. A shard adds the counts of its n-grams over all blocks and answers each block, in the
-   block's own order, with the totals. Hashes spread evenly, so no n-gram, however
-   common, makes a hot shard: it is one entry per block.
-3. Texts and answers of a block meet, its part of the automaton is built, and the texts
-   are scored.
-
-Memory of a task is bounded by a block or a shard; both grow in number with the corpus,
-not in size. Two different n-grams share a hash with probability about n^2 / 2^65.
+1. A scan task gathers texts into blocks of about ``block_bytes``, numbers each block's
+   words and writes the numbers: the corpus is read and tokenised once. A block is cut by
+   its bytes, so equal rows, however many, fill one block after another.
+2. Levels are exchanged one after another. A block lists its distinct n-grams (64-bit hashes)
+   of a level with their counts in its training texts, cut into shards by the leading bits of
+   the hash. A shard adds the counts of its n-grams over all blocks and answers each block,
+   in the block's own order, with the totals and whether another block has the n-gram too.
+   Hashes spread evenly, so no n-gram, however common, makes a hot shard: it is one
+   entry per block.
+3. From three words on, a block asks only for n-grams whose context (all words but the
+   last) another block has too. The others are its own, and so is their count: most long
+   n-grams never move, and none is lost.
+4. Each block's part of the automaton is built, and its texts are scored.
+
+Memory of a task is bounded by a block or a shard (a text longer than a block is one by
+itself); both grow in number with the corpus, not in size. A block and a shard that share no
+n-gram exchange nothing. Two different n-grams share a hash with probability about n^2 / 2^65.
 
 Null and empty texts score their end token alone. A null id is a training document.
 Repeated rows are scored, and counted, each. With no training text every token is the
@@ -35,16 +41,16 @@ unknown class with probability 1 and scores 0. Other columns of the input are ig
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructType
 
-from termdex.llm.common import hashes, mix, small_batches, split_of, word_ids
+from termdex.llm.common import hashes, mix, saved, small_batches, split_of, word_ids
 
 # Words in the longest n-gram.
 ORDER = 3
@@ -58,29 +64,31 @@ START, END = b" start", b" end"
 
 
 def _planes(a: np.ndarray) -> bytes:
-    """Eight-byte numbers with their equal-place bytes together: small numbers pack well."""
-    return np.ascontiguousarray(a, "<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Numbers in as few bytes as the largest needs (the count of bytes comes first), equal places together."""
+    width = max(1, -(-int(a.max()).bit_length() // 8)) if len(a) else 1
+    raw = np.ascontiguousarray(a, "<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + raw.T.tobytes()
 
 
-def _from_planes(b: memoryview, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8, n * 8).reshape(8, n).T).view("<u8").ravel()
+def _from_planes(b: memoryview, n: int) -> tuple[np.ndarray, int]:
+    """``n`` numbers, and the bytes that they took."""
+    width = b[0]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(b, np.uint8, n * width, 1).reshape(width, n).T
+    return out.view("<u8").ravel(), 1 + n * width
 
 
 class _Grams:
     """The n-grams of a block: for every level 1..order the distinct keys in rising order."""
 
-    def __init__(self, texts: list[str | None], order: int):
-        per_text, vocab = word_ids(texts)
-        self.end = len(vocab)
-        self.lengths = np.array([len(x) + 1 for x in per_text], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
-        tail = np.array([self.end], np.int64)
-        self.tokens = np.concatenate([y for x in per_text for y in (x, tail)])
+    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, vocab: np.ndarray, order: int):
+        """``tokens``: word numbers of all texts, each with its end; ``vocab``: hashes of the words, the end's last."""
+        self.tokens, self.lengths = tokens.astype(np.int64), lengths.astype(np.int64)
+        self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int64)
         self.first = np.zeros(len(self.tokens), bool)
         self.first[self.starts] = True
-        self.vocab_size = len(vocab) + 1
-        h = hashes([*vocab, END])
-        at = h[self.tokens]
+        self.vocab_size = len(vocab)
+        at = vocab[self.tokens]
         key = at
         self.uniq, self.rep, self.inv = [], [], []
         valid = np.ones(len(key), bool)
@@ -101,56 +109,167 @@ class _Grams:
             self.rep.append(where[r])
             self.inv.append(inv)
 
+    def trained(self, held: np.ndarray) -> list[np.ndarray]:
+        """Counts of every level's n-grams in the training texts of the block."""
+        on = np.repeat(~held, self.lengths)
+        return [np.bincount(i[on & (i >= 0)], minlength=len(u)) for u, i in zip(self.uniq, self.inv, strict=True)]
 
-def _request(order: int, bits: int):
-    """Block of texts -> one row per shard with the block's keys and training counts."""
 
-    def run(t: pa.Table) -> pa.Table:
-        block = t.column("block")[0].as_py()
-        g = _Grams(t.column("text").to_pylist(), order)
-        trained = np.repeat(~t.column("held_out").to_numpy().astype(bool), g.lengths)
-        bases = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
-        parts: list[list[tuple[bytes, bytes, int]]] = []
-        for u, i in zip(g.uniq, g.inv, strict=True):
-            n = np.bincount(i[trained & (i >= 0)], minlength=len(u)).astype(np.uint64)
-            cut = np.append(np.searchsorted(u, bases), len(u))
-            parts.append(
-                [(_planes(np.diff(u[a:b], prepend=base)), _planes(n[a:b]), b - a) for base, a, b in zip(bases, cut[:-1], cut[1:], strict=True)]
-            )
-        rows = [b"".join([np.array([p[2] for p in lv], "<i8").tobytes(), *(p[0] + p[1] for p in lv)]) for lv in zip(*parts, strict=True)]
-        shards = np.arange(1 << bits, dtype=np.int32)
-        return pa.table({"shard": shards, "block": np.full(len(rows), block, np.int64), "data": pa.array(rows, pa.binary())})
+def _blocks(block_bytes: int, kind: pa.DataType):
+    """Texts -> a row for each block: ids, split, and the numbered words of its texts."""
+
+    def block(docs: list, held: list[bool], texts: list[str]) -> pa.RecordBatch:
+        per_text, vocab = word_ids(texts)
+        end = np.array([len(vocab)], np.int64)
+        tokens = np.concatenate([y for x in per_text for y in (x, end)]).astype("<u4")
+        lengths = np.array([len(x) + 1 for x in per_text], "<u4")
+        packed = [x.tobytes() for x in (np.array(held, bool), lengths, tokens, hashes([*vocab, END]).astype("<u8"))]
+        one = pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), pa.array(docs, kind))
+        return pa.RecordBatch.from_arrays([one, *(pa.array([x], pa.binary()) for x in packed)], ["docs", "held", "lengths", "tokens", "vocab"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, held, texts, size = [], [], [], 0
+        for b in batches:
+            for d, h, t in zip(*(b.column(c).to_pylist() for c in ("doc_id", "held_out", "text")), strict=True):
+                docs.append(d)
+                held.append(h)
+                texts.append(t)
+                size += len(t) + 8
+                if size >= block_bytes:
+                    yield block(docs, held, texts)
+                    docs, held, texts, size = [], [], [], 0
+        if docs:
+            yield block(docs, held, texts)
+
+    return run
+
+
+def _loaded(t: pa.Table | pa.RecordBatch, row: int, order: int) -> tuple[_Grams, np.ndarray]:
+    get = lambda c: t.column(c)[row].as_py()
+    grams = _Grams(np.frombuffer(get("tokens"), "<u4"), np.frombuffer(get("lengths"), "<u4"), np.frombuffer(get("vocab"), "<u8"), order)
+    return grams, np.frombuffer(get("held"), bool)
+
+
+def _asked(block: int, lists: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
+    """A block's n-grams and counts (of one or more levels) as a packed row for each shard that has any."""
+    bases = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
+    cuts = [np.append(np.searchsorted(u, bases), len(u)) for u, _ in lists]
+    some = np.flatnonzero(sum(np.diff(c) for c in cuts))
+    rows = []
+    for s in some.tolist():
+        parts = [(u[c[s] : c[s + 1]], n[c[s] : c[s + 1]]) for (u, n), c in zip(lists, cuts, strict=True)]
+        rows.append(np.array([len(u) for u, _ in parts], "<i8").tobytes() + b"".join(_planes(np.diff(u, prepend=bases[s])) + _planes(n) for u, n in parts))
+    shards = pa.array(some.astype(np.int32))
+    return pa.RecordBatch.from_arrays([shards, pa.array(np.full(len(rows), block, np.int64)), pa.array(rows, pa.binary())], ["shard", "block", "data"])
+
+
+_ASKED = "shard int, block long, data binary"
+_ANSWERED = "block long, shard int, data binary, total long, kinds long, once long, twice long"
+
+
+def _first_request(order: int, bits: int):
+    """Blocks -> what they ask for of one and two words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                grams, held = _loaded(b, r, min(order, 2))
+                yield _asked(b.column("block")[r].as_py(), list(zip(grams.uniq, grams.trained(held), strict=True)), bits)
 
     return run
 
 
-def _reply(order: int, bits: int):
-    """All blocks' rows of a shard -> the total count of every key, for each block."""
+def _reply(levels: int, bits: int):
+    """All blocks' rows of a shard -> the total count of every key, for each block, and the shard's own sums."""
 
     def run(t: pa.Table) -> pa.Table:
         shard = t.column("shard")[0].as_py()
         base = np.uint64(shard << (64 - bits)) if bits else np.uint64(0)
-        data = t.column("data").to_pylist()
-        sizes = np.array([np.frombuffer(d, "<i8", order) for d in data])
-        at = np.full(len(data), order * 8)
+        data = [memoryview(x) for x in t.column("data").to_pylist()]
+        sizes = np.array([np.frombuffer(d, "<i8", levels) for d in data])
+        at = [levels * 8] * len(data)
         answers: list[list[bytes]] = []
         sums: list[int] = []
-        for level in range(order):
+        for level in range(levels):
             keys, counts = [], []
             for k, d in enumerate(data):
-                n, view = int(sizes[k, level]), memoryview(d)
-                keys.append(np.cumsum(_from_planes(view[at[k] :], n)) + base)
-                counts.append(_from_planes(view[at[k] + 8 * n :], n))
-                at[k] += 16 * n
+                n = int(sizes[k, level])
+                got, used = _from_planes(d[at[k] :], n)
+                own, more = _from_planes(d[at[k] + used :], n)
+                keys.append(np.cumsum(got, dtype=np.uint64) + base)
+                counts.append(own)
+                at[k] += used + more
             u, inv = np.unique(np.concatenate(keys), return_inverse=True)
             total = np.zeros(len(u), np.int64)
             np.add.at(total, inv, np.concatenate(counts).astype(np.int64))
-            mine = np.split(total[inv], np.cumsum(sizes[:, level])[:-1])
+            shared = np.bincount(inv, minlength=len(u)) > 1
+            # the total, and in the last bit whether another block has the n-gram
+            mine = np.split((2 * total + shared)[inv], np.cumsum(sizes[:, level])[:-1])
             answers.append([_planes(x.astype(np.uint64)) for x in mine])
-            sums += [int(total.sum()), int((total > 0).sum()), int((total == 1).sum()), int((total == 2).sum())]
-        head = np.array(sums, "<i8").tobytes()
-        rows = [head + sizes[k].astype("<i8").tobytes() + b"".join(a[k] for a in answers) for k in range(len(data))]
-        return pa.table({"block": t.column("block"), "shard": t.column("shard"), "data": pa.array(rows, pa.binary())})
+            if not sums:
+                sums = [int(total.sum()), int((total > 0).sum()), int((total == 1).sum()), int((total == 2).sum())]
+        rows = [sizes[k].astype("<i8").tobytes() + b"".join(a[k] for a in answers) for k in range(len(data))]
+        none = [None] * len(data)
+        return pa.table(
+            {
+                "block": [*t.column("block").to_pylist(), None],
+                "shard": pa.array(np.full(len(rows) + 1, shard, np.int32)),
+                "data": pa.array([*rows, None], pa.binary()),
+                **{c: pa.array([*none, x], pa.int64()) for c, x in zip(("total", "kinds", "once", "twice"), sums, strict=True)},
+            }
+        )
+
+    return run
+
+
+def _answers(replies: pa.Table, first: int, levels: int) -> list[np.ndarray]:
+    """The answers to a block in its own order: an array for each level asked, from level ``first`` on."""
+    of = replies.column("level").to_pylist()
+    got = sorted((s, d) for at, s, d in zip(of, replies.column("shard").to_pylist(), replies.column("data").to_pylist(), strict=True) if at == first)
+    found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(levels)]
+    for _, d in got:
+        at = 8 * levels
+        for level, n in enumerate(np.frombuffer(d, "<i8", levels).tolist()):
+            x, used = _from_planes(memoryview(d)[at:], n)
+            found[level].append(x.astype(np.int64))
+            at += used
+    return [np.concatenate(x) for x in found]
+
+
+def _totals(grams: _Grams, held: np.ndarray, replies: pa.Table, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Totals of the levels that have been answered, and whether another block has the n-gram."""
+    own = grams.trained(held)
+    first = _answers(replies, 1, min(order, 2))
+    counts, shared = [x >> 1 for x in first], [(x & 1).astype(bool) for x in first]
+    for level in range(3, order + 1):
+        if len(own) < level:
+            break
+        moved = _moved(grams, shared, level)
+        total, both = own[level - 1].astype(np.int64), np.zeros(len(own[level - 1]), bool)
+        if moved.any():
+            (got,) = _answers(replies, level, 1)
+            total[moved], both[moved] = got >> 1, (got & 1).astype(bool)
+        counts.append(total)
+        shared.append(both)
+    return counts, shared
+
+
+def _moved(grams: _Grams, shared: list[np.ndarray], level: int) -> np.ndarray:
+    """Which n-grams of a level have a context that another block has too."""
+    return shared[level - 2][grams.inv[level - 2][grams.rep[level - 1] - 1]]
+
+
+def _next_request(level: int, bits: int):
+    """A block and its answers so far -> what it asks for of ``level`` words."""
+
+    def run(t: pa.Table, replies: pa.Table) -> pa.Table:
+        rows = []
+        for r in range(t.num_rows):
+            grams, held = _loaded(t, r, level)
+            _, shared = _totals(grams, held, replies, level - 1)
+            moved = _moved(grams, shared, level)
+            rows.append(_asked(t.column("block")[r].as_py(), [(grams.uniq[-1][moved], grams.trained(held)[-1][moved])], bits))
+        return pa.Table.from_batches(rows) if rows else pa.table({"shard": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
 
     return run
 
@@ -246,31 +365,22 @@ class Automaton:
         return out
 
 
-def _score(order: int, priors: list[float], schema: pa.Schema):
-    """Texts of a block and the shards' answers to it -> one scored row per text."""
+def _score(order: int, priors: list[float], sums: tuple[int, int, int, int], schema: pa.Schema):
+    """A block and the shards' answers to it -> one scored row per text."""
+    total, distinct, once, twice = sums
 
     def run(t: pa.Table, replies: pa.Table) -> pa.Table:
         if not t.num_rows:
             return schema.empty_table()
-        g = _Grams(t.column("text").to_pylist(), order)
-        got = sorted(zip(replies.column("shard").to_pylist(), replies.column("data").to_pylist(), strict=True))
-        sums = np.zeros(4 * order, np.int64)
-        found: list[list[np.ndarray]] = [[] for _ in range(order)]
-        for _, d in got:
-            sums += np.frombuffer(d, "<i8", 4 * order)
-            sizes, at = np.frombuffer(d, "<i8", order, 32 * order), 40 * order
-            for level, n in enumerate(sizes.tolist()):
-                found[level].append(_from_planes(memoryview(d)[at:], n).astype(np.int64))
-                at += 8 * n
-        counts = [np.concatenate(x) for x in found]
-        total, distinct, once, twice = (int(x) for x in sums[:4])
+        g, held = _loaded(t, 0, order)
+        counts, _ = _totals(g, held, replies, order)
         c = counts[0][g.inv[0]]
         add = lambda x: np.add.reduceat(x, g.starts)
         auto = Automaton(g, counts, total, distinct, once, twice, priors)
         return pa.table(
             {
-                "doc_id": t.column("doc_id"),
-                "held_out": t.column("held_out"),
+                "doc_id": t.column("docs").combine_chunks().flatten(),
+                "held_out": held,
                 "n_tokens": g.lengths,
                 "n_known": add((c > 0).astype(np.int64)),
                 "train_tokens": np.full(len(g.starts), total, np.int64),
@@ -309,14 +419,22 @@ def score(
         F.coalesce(split_of(id_col, folds) == held_fold, F.lit(False)).alias("held_out"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
+    kind = rows.schema["doc_id"].dataType
+    packed = rows.mapInArrow(_blocks(block_bytes, to_arrow_type(kind)), f"docs array<{kind.simpleString()}>, held binary, lengths binary, tokens binary, vocab binary")
+    blocks = saved(packed.withColumn("block", F.monotonically_increasing_id()), "lm-blocks")
+    n_blocks = blocks.count()
     # shards hold about as much as blocks; their number is a power of two (leading bits)
-    bits = max(0, math.ceil(math.log2(blocks)) + 2) if blocks > 1 else 0
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    requests = rows.groupBy("block").applyInArrow(_request(order, bits), "shard int, block long, data binary")
-    replies = requests.groupBy("shard").applyInArrow(_reply(order, bits), "block long, shard int, data binary")
-    out = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = to_arrow_schema(StructType.fromDDL(f"doc_id {kind}, {out}"))
-    return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_score(order, priors, schema), f"doc_id {kind}, {out}")
+    bits = math.ceil(math.log2(n_blocks)) + 2 if n_blocks > 1 else 0
+    by_block = blocks.groupBy("block")
+
+    asked = blocks.mapInArrow(_first_request(order, bits), _ASKED)
+    first = saved(asked.groupBy("shard").applyInArrow(_reply(min(order, 2), bits), _ANSWERED), "lm-answers")
+    sums = first.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "kinds", "once", "twice"))).first()
+    replies = first.filter("block is not null").select("block", "shard", "data", F.lit(1).alias("level"))
+    for level in range(3, order + 1):
+        asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(_next_request(level, bits), _ASKED)
+        answered = saved(asked.groupBy("shard").applyInArrow(_reply(1, bits), _ANSWERED), "lm-answers")
+        replies = replies.union(answered.filter("block is not null").select("block", "shard", "data", F.lit(level).alias("level")))
+    out = f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema = to_arrow_schema(StructType.fromDDL(out))
+    return by_block.cogroup(replies.groupBy("block")).applyInArrow(_score(order, priors, tuple(sums), schema), out)

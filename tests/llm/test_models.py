@@ -76,7 +76,7 @@ def plain_scores(rows, order, prior):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("order", "block_bytes"), [(1, 1 << 20), (2, 1 << 20), (2, 200), (3, 500)])
+@pytest.mark.parametrize(("order", "block_bytes"), [(1, 1 << 20), (2, 1 << 20), (2, 200), (3, 500), (3, 1), (3, 60), (4, 1), (4, 1 << 20)])
 def test_scores_match_the_definition(docs, order, block_bytes):
     got = lm_score.score(docs, order=order, prior=2.0, block_bytes=block_bytes).collect()
     got = sorted((-1 if r[0] is None else r[0], *r[1:5], round(r[5], 6), round(r[6], 6)) for r in got)
@@ -103,6 +103,46 @@ def test_registered_order_has_contexts_of_two_words(spark, tmp_path):
         assert r.score == pytest.approx(sum(math.log10(p(tuple(s[max(0, k - 2) : k]), s[k])) for k in range(1, len(s))))
 
 
+def test_many_equal_rows_fill_many_blocks(spark):
+    """10,000 rows without an id and with one text: no block grows beyond its bytes."""
+    text = "the same line of boilerplate in every row"
+    df = spark.createDataFrame([(None, text)] * 10_000 + [(1, "another line")], "doc_id long, text string")
+    kind = lm_score.to_arrow_type(df.schema["doc_id"].dataType)
+    rows = df.withColumn("held_out", F.lit(False)).select("doc_id", "held_out", "text")
+    packed = rows.mapInArrow(lm_score._blocks(4096, kind), "docs array<long>, held binary, lengths binary, tokens binary, vocab binary")
+    assert packed.agg(F.max(F.size("docs"))).first()[0] <= 4096 // len(text) + 1
+    got = lm_score.score(df, block_bytes=4096)
+    assert got.count() == 10_001 and got.filter("doc_id is null").select("score", "train_tokens").distinct().count() == 1
+    want = lm_score.score(df, block_bytes=1 << 30).filter("doc_id = 1").first()
+    assert got.filter("doc_id = 1").first() == want
+
+
+def test_long_ngrams_move_only_with_their_context():
+    """What a block asks for of three words: those whose two-word context another block has too."""
+    import numpy as np
+
+    texts = ["a b c d", "x y z"]
+    per_text, vocab = lm_score.word_ids(texts)
+    end = np.array([len(vocab)])
+    tokens = np.concatenate([y for x in per_text for y in (x, end)])
+    lengths = np.array([len(x) + 1 for x in per_text])
+    grams = lm_score._Grams(tokens, lengths, lm_score.hashes([*vocab, lm_score.END]), 3)
+    words = [*(v.decode() for v in vocab), "."]
+    spelled = lambda level: [" ".join(words[tokens[k]] for k in range(max(0, at - level + 1), at + 1)) for at in grams.rep[level - 1]]
+    shared = [np.ones(len(grams.uniq[0]), bool), np.array([s in ("b c", "x y") for s in spelled(2)])]
+    moved = lm_score._moved(grams, shared, 3)
+    assert {s for s, m in zip(spelled(3), moved.tolist(), strict=True) if m} == {"b c d", "x y z"}
+
+
+def test_packed_numbers():
+    import numpy as np
+
+    for x in ([], [0], [1, 255], [256, 3], [1 << 40, 7], [(1 << 64) - 1, 0]):
+        a = np.array(x, np.uint64)
+        got, used = lm_score._from_planes(memoryview(lm_score._planes(a) + b"more"), len(a))
+        assert got.tolist() == x and used == len(lm_score._planes(a))
+
+
 def test_nothing_to_learn_from(spark):
     ids = [i for i in range(50) if held(i, 7)]
     df = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string")
