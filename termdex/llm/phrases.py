@@ -59,6 +59,8 @@ BUDGET = 2_000_000
 # A prefix is extended if it has more than a quarter of the budget, or than one in SHARE of all
 # rows: then small corpora, too, fall into even groups.
 SHARE = 1024
+# Parts of a language whose phrases are ranked on their own first.
+RANKED_APART = 64
 # Pieces end at these bytes; words at blanks and tabs.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = b"."
@@ -369,8 +371,13 @@ def collocations(
     kept = kept.withColumn("first", F.element_at("ids", 1)).join(first, "first").drop("first")
     by = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     if top is not None:
-        # with all that tie for the last place, before the words come back
-        kept = kept.withColumn("rank", F.rank().over(by)).filter(F.col("rank") <= top).drop("rank")
+        # with all that tie for the last place, before the words come back: first in parts of a
+        # language, so that no task reads what all others have kept
+        kept = kept.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(RANKED_APART)))
+        apart = Window.partitionBy("lang", "part").orderBy(F.desc("score"), F.desc("a"))
+        for window in (apart, by):
+            kept = kept.withColumn("rank", F.rank().over(window)).filter(F.col("rank") <= top).drop("rank")
+        kept = kept.drop("part")
     kept = saved(kept, "phrases-best")
     spelled = _spelled(kept.select("ids", F.posexplode("ids").alias("at", "id")).join(words.select("id", "word"), "id"))
     ranked = kept.join(spelled, "ids").join(total, "lang")
