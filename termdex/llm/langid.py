@@ -21,7 +21,7 @@ each task before they meet (Spark's group limit under the ranking window). The p
 (``PROFILE`` rows for each of at most ``MAX_LANGS`` languages, checked) go to the workers,
 and prediction is a map without a shuffle. Long texts are counted in windows.
 
-Null texts, and texts without a letter, are ``und`` with score 0; so is everything when
+Null texts, and texts without a letter (marks and emoji are none), are ``und`` with score 0; so is everything when
 there is no training text. A null language takes no part in learning. Repeated rows count,
 and are answered, each. A null id is hashed as the empty text.
 """
@@ -63,6 +63,10 @@ MARGIN, SCATTER = 0.2, 0.8
 BLANK = 32
 
 
+# Set on a mark: it belongs to the letter before it, but a text of marks alone has no letter.
+MARK = np.uint32(1 << 31)
+
+
 def _letters() -> np.ndarray:
     """Per code point: the lower-case letter it counts as, 0 if it is no letter."""
     table = np.zeros(0x110000, np.uint32)
@@ -72,7 +76,7 @@ def _letters() -> np.ndarray:
             low = c.lower()
             table[cp] = ord(low) if len(low) == 1 else cp
         elif unicodedata.category(c)[0] == "M":
-            table[cp] = cp  # marks belong to the letter before them
+            table[cp] = cp | int(MARK)
     return table
 
 
@@ -91,11 +95,12 @@ def gram_counts(text: str | None, table: np.ndarray) -> tuple[np.ndarray, np.nda
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     cps = table[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
     keep = cps > 0
+    if not (cps[keep] < MARK).any():
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    cps &= MARK - np.uint32(1)
     # one blank between words: a non-letter stays only after a letter
     keep[1:] |= cps[:-1] > 0
     cps = cps[keep].astype(np.uint64)
-    if not len(cps) or not cps.any():
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     cps[cps == 0] = BLANK
     ends = ([BLANK] if cps[-1] != BLANK else [])
     cps = np.concatenate([[BLANK], cps, ends]).astype(np.uint64)

@@ -200,6 +200,14 @@ def test_language_edges(spark, docs):
     assert {r.lang_pred for r in langid.identify(none).collect()} == {"und"}
 
 
+def test_texts_without_a_letter_are_und(spark, docs):
+    odd = ["\u26a0\ufe0f 123", "\u2764\ufe0f", "\u0301", "\U0001f642 \u20e3", "12 \u0300\u0301 34", "", None]
+    df = docs.select("doc_id", "text", "lang").union(spark.createDataFrame([(100 + k, t, "en") for k, t in enumerate(odd)] + [(200, "e\u0301t\u0301", "en")], "doc_id long, text string, lang string"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df).collect()}
+    assert {got[100 + k] for k in range(len(odd))} == {("und", 0.0)}
+    assert got[200][0] != "und"
+
+
 def test_held_out_languages(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = langid.identify(df).join(df.select("doc_id", "lang"), "doc_id").filter("held_out")
