@@ -8,7 +8,9 @@ tiles may come in any order, so a passage whose sentences were shuffled is cover
 same. Documents covering at least ``THRESHOLD`` of an item are contaminated by it.
 
 Words are runs of letters, digits and underscores in lower case, so punctuation and line
-breaks don't hide a passage.
+breaks don't hide a passage. In scripts without blanks (``ALONE``: Chinese, Japanese, Thai and
+its neighbours) every character is a word. An item shorter than ``MIN_TILE`` words is matched
+by one tile of its full length.
 
 How it runs. The items, not the documents, travel: their words go to the workers in blocks
 of at most ``MAX_WORDS`` words (counted), one pass over a text for each block, so the
@@ -16,8 +18,7 @@ broadcast is bounded whatever the benchmark's size. Documents are neither shuffl
 exploded; a pair is tiled in the task that holds the document, on the stretches of the
 document that hold seeds of that item only.
 
-Null and empty texts, on either side, match nothing. An item with fewer than
-``MIN_TILE`` words has no tile and never matches. Items that repeat an id are tiled each.
+Null and empty texts, and those without a word, on either side, match nothing. Items that repeat an id are tiled each.
 Items with a null id are reported with a null id. Other columns are untouched.
 """
 
@@ -38,12 +39,22 @@ MIN_TILE = 4
 THRESHOLD = 0.5
 # Benchmark words sent to the workers at once.
 MAX_WORDS = 2_000_000
-_WORDS = re.compile(r"\w+").findall
+# Characters that are words by themselves: kana, Han, Thai, Lao, Myanmar, Khmer.
+ALONE = "\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_WORDS = re.compile(rf"(?=\w)[{ALONE}]|(?:(?![{ALONE}])\w)+").findall
+_PLAIN = re.compile(r"\w+").findall
+_ANY_ALONE = re.compile(f"[{ALONE}]").search
 _K = np.uint64(0x9E3779B97F4A7C15)
 # A word number that no item uses.
 OTHER = -1
 
 
+def _words(text: str | None) -> list[str]:
+    """Words of a text in lower case."""
+    low = (text or "").lower()
+    return _WORDS(low) if _ANY_ALONE(low) else _PLAIN(low)
+
+
 def _windows(x: np.ndarray, size: int) -> np.ndarray:
     """Karp-Rabin hash of every window of ``size`` numbers, from running sums of powers."""
     n = len(x) - size + 1
@@ -122,47 +133,52 @@ class Items:
         self.words: list[np.ndarray] = []
         self.least = least
         for item_id, text in rows:
-            w = _WORDS(text.lower()) if text else []
-            if len(w) >= least:
+            w = _words(text)
+            if w:
                 self.ids.append(item_id)
                 self.words.append(np.array([self.number.setdefault(x, len(self.number)) for x in w], np.int64))
-        seeds = [_windows(w, least) for w in self.words]
-        key = np.concatenate([*seeds, np.zeros(0, np.uint64)])
-        owner = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
-        by = np.lexsort((owner, key))
-        self.key, self.owner = key[by], owner[by]
+        #: By size of the seeds (that of a short item is all of it): hashes in order, and whose they are.
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        sizes = np.array([min(least, len(w)) for w in self.words], np.int64)
+        for size in sorted(set(sizes.tolist()), reverse=True):
+            own = np.flatnonzero(sizes == size)
+            seeds = [_windows(self.words[o], size) for o in own]
+            key = np.concatenate(seeds)
+            owner = np.repeat(own, [len(s) for s in seeds])
+            by = np.lexsort((owner, key))
+            self.seeds[size] = key[by], owner[by]
 
     def match(self, text: str | None, threshold: float) -> list[tuple]:
         """``(item_id, coverage, n_tiles, longest)`` of the items that the text covers."""
-        if not text or not len(self.key):
+        if not text or not self.seeds:
             return []
-        words = _WORDS(text.lower())
+        words = _words(text)
         get = self.number.get
         x = np.fromiter((get(w, OTHER) for w in words), np.int64, len(words))
-        least = self.least
         known = np.concatenate([[0], np.cumsum(x != OTHER)])
-        at = np.flatnonzero(known[least:] - known[:-least] == least) if len(x) >= least else np.zeros(0, np.int64)
-        if not len(at):
-            return []
-        h = _windows(x, least)[at]
-        low, high = np.searchsorted(self.key, h), np.searchsorted(self.key, h, side="right")
-        places: dict[int, list[int]] = defaultdict(list)
-        for p, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
-            for o in set(self.owner[a:b].tolist()):
-                places[o].append(p)
         out = []
-        for o, where in sorted(places.items()):
-            item = self.words[o]
-            # only the stretches that hold seeds of this item can hold tiles
-            inside = np.zeros(len(x) + 1, bool)
-            for k in range(least):
-                inside[np.array(where) + k] = True
-            ends = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8)])) == 1)
-            stretch = np.insert(x[inside[:-1]], np.cumsum(inside)[ends] - 1, OTHER)
-            found = tiles(item, stretch, least)
-            covered = sum(t[0] for t in found) / len(item)
-            if covered >= threshold:
-                out.append((self.ids[o], covered, len(found), max(t[0] for t in found)))
+        for size, (key, owner) in self.seeds.items():
+            at = np.flatnonzero(known[size:] - known[:-size] == size) if len(x) >= size else np.zeros(0, np.int64)
+            if not len(at):
+                continue
+            h = _windows(x, size)[at]
+            low, high = np.searchsorted(key, h), np.searchsorted(key, h, side="right")
+            places: dict[int, list[int]] = defaultdict(list)
+            for k in np.flatnonzero(high > low).tolist():
+                for o in set(owner[low[k] : high[k]].tolist()):
+                    places[o].append(int(at[k]))
+            for o, where in sorted(places.items()):
+                item = self.words[o]
+                # only the stretches that hold seeds of this item can hold tiles
+                inside = np.zeros(len(x) + 1, bool)
+                for k in range(size):
+                    inside[np.array(where) + k] = True
+                ends = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8)])) == 1)
+                stretch = np.insert(x[inside[:-1]], np.cumsum(inside)[ends] - 1, OTHER)
+                found = tiles(item, stretch, size)
+                covered = sum(t[0] for t in found) / len(item)
+                if covered >= threshold:
+                    out.append((self.ids[o], covered, len(found), max(t[0] for t in found)))
         return out
 
 

@@ -127,14 +127,27 @@ def test_contaminated_pairs(spark, monkeypatch, max_words):
     docs = spark.createDataFrame(list(PAGES.items()) + [("exact", PAGES["exact"])], "doc_id string, text string").withColumn("item_id", F.lit(9))
     bench = spark.createDataFrame(BENCH, "item_id long, text string").withColumn("doc_id", F.lit(9))
     got = sorted((r.doc_id, r.item_id, r.n_tiles) for r in decontaminate.contaminated(docs, bench).collect())
-    assert got == [("both", 0, 1), ("both", 4, 1), ("exact", 0, 1), ("exact", 0, 1), ("long", 4, 1), ("moved", 0, 3)]
+    assert got == [("both", 0, 1), ("both", 4, 1), ("exact", 0, 1), ("exact", 0, 1), ("long", 4, 1), ("moved", 0, 3), ("short", 1, 1)]
     kept = decontaminate.clean(docs, bench)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {"third", "words", "short", "none", "empty"}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {"third", "words", "none", "empty"}
     assert decontaminate.contaminated(docs, bench.filter("false")).count() == 0
     assert decontaminate.clean(docs, bench.filter("false")).count() == len(PAGES) + 1
     assert decontaminate.contaminated(docs.filter("false"), bench).count() == 0
 
 
+def test_short_items_and_scripts_without_blanks():
+    items = decontaminate.Items([(0, "Why is that?"), (1, "水の沸点は何度ですか"), (2, "地球是行星。"), (3, "!!!"), (4, "Yes"), (5, "กรุงเทพมหานคร"), (6, "two two two")])
+    got = lambda t: [(m[0], m[1]) for m in items.match(t, 0.5)]
+    assert got("And why is  THAT, then") == [(0, 1.0)] and got("why that is") == []
+    # a copy with other text run on to its clauses
+    assert got("問題：水の沸点は何度ですか？答えは百度。") == [(1, 1.0)] and got("水は青い") == []
+    assert got("我们知道地球是行星吗") == [(2, 1.0)] and got("地球") == []
+    assert got("well, yes!") == [(4, 1.0)] and got("yesterday") == []
+    assert got("ที่กรุงเทพมหานครนั้น") == [(5, 1.0)]
+    assert got("two two") == [] and got("two two two two") == [(6, 1.0)]
+    assert got("!!!") == [] and got(None) == []
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
