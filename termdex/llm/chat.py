@@ -12,14 +12,18 @@ introduces them (``... wrote:``), are left out.
 
 A passage is a run of lines of one quote level. It is looked up as a whole and line by line,
 against the whole messages, their paragraphs and their lines, so a partly quoted or
-trimmed message is found as well.
+trimmed message is found as well. A passage of fewer than ``SHORT`` characters (``> Why?``) could
+come from anywhere, so it links to the first earlier message that is nothing else, and
+to a paragraph or line only if no other turn of the conversation has it.
 
 How it runs. Parsing is a map. Originals are reduced to one row for each conversation and
 hash (its first turn) before the join, with map-side partial minima, so a passage that a
 third of all messages share is no hot group and no join multiplies. Threads are found by
-pointer jumping over the links alone, a table per round. Positions come from counts of
-runs of ``RUN`` turns, so a conversation of any length is sorted in pieces. A conversation
-is emitted in parts of ``PART`` messages, so no row grows with it.
+pointer jumping over the links alone, a table per round. Messages are sorted by range over
+all conversations, so one of any length, or one whose messages all answer one turn, is cut
+over many tasks; positions add the conversation's counts of the ranges before (one row for
+each range that it lies in). A conversation is emitted in parts of ``PART`` messages, so no row
+grows with it.
 
 Null ids are one conversation; null turns come first and are never linked to; null roles
 are ``unknown``; null texts are empty. Exactly repeated rows are one message. Messages of
@@ -37,14 +41,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termdex.llm.common import saved, small_batches
+from termdex.llm.common import saved, slots, small_batches
 
 # Messages in a part of a conversation.
 PART = 64
-# Turns whose messages are numbered together.
-RUN = 256
-# Passages shorter than this many characters, normalised, link nothing.
-SHORTEST = 8
+# Passages shorter than this many characters, normalised, need a whole message or a single origin.
+SHORT = 8
+# Characters of a message by which those of one turn and role are dealt to ranges.
+HEAD = 64
 
 _MARK = re.compile(r"[ \t]*>[ \t]?")
 _INTRO = re.compile(r".{0,200}\b(?:wrote|writes|said|schrieb|écrit|escribió)\s*:\s*$", re.IGNORECASE)
@@ -63,12 +67,22 @@ def normal(text: str) -> str:
 
 
 def _hash(text: str) -> int | None:
+    """Hash of a passage that is long enough to be looked up anywhere."""
     x = normal(text)
-    return xxhash.xxh64_intdigest(x) - (1 << 63) if len(x) >= SHORTEST else None
+    return xxhash.xxh64_intdigest(x) - (1 << 63) if len(x) >= SHORT else None
+
+
+def _short(text: str, how: str) -> int | None:
+    """Hash of a short passage as a ``whole`` message or as a ``part`` of one."""
+    x = normal(text)
+    return xxhash.xxh64_intdigest(f"{how}\n{x}") - (1 << 63) if 0 < len(x) < SHORT else None
 
 
 def parse(text: str | None) -> tuple[str, list[tuple[int, int, list[int]]], list[int]]:
-    """Own text; quoted passages ``(number, level, hashes)``; hashes of the own passages."""
+    """Own text; quoted passages ``(number, level, hashes)``; hashes of the own passages.
+
+    Hashes of short parts are odd, all others even.
+    """
     own: list[str] = []
     runs: list[tuple[int, list[str]]] = []
     last = 0
@@ -91,13 +105,23 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, int, list[int]]], list
     for k, (level, lines) in enumerate(runs):
         # quoted introductions belong to the quoting, not to the passage
         lines = [x for x in lines if not _INTRO.match(x)]
-        units = {_hash("\n".join(lines)), *map(_hash, lines)} - {None}
+        whole = "\n".join(lines)
+        units = _even({_hash(whole), *map(_hash, lines), _short(whole, "whole")}) | _odd({_short(whole, "part")})
         if units:
             quoted.append((k, level, sorted(units)))
-    mine = {_hash(kept), *map(_hash, re.split(r"\n\s*\n", kept)), *map(_hash, kept.split("\n"))} - {None}
+    parts = [*re.split(r"\n\s*\n", kept), *kept.split("\n")]
+    mine = _even({_hash(kept), *map(_hash, parts), _short(kept, "whole")}) | _odd({_short(x, "part") for x in parts})
     return kept, quoted, sorted(mine)
 
 
+def _even(hashes: set[int | None]) -> set[int]:
+    return {h & ~1 for h in hashes if h is not None}
+
+
+def _odd(hashes: set[int | None]) -> set[int]:
+    return {h | 1 for h in hashes if h is not None}
+
+
 _PARSED = (
     T.StructType()
     .add("content", T.StringType())
@@ -147,7 +171,9 @@ def messages(conversations: DataFrame, id_col: str = "conv_id", turn_col: str =
     ).distinct()
     rows = saved(rows.withColumn("key", F.xxhash64("conv", "turn", "role", "text")).withColumn("p", _parse("text")).select("conv", "turn", "role", "key", "p.*"), "chat-messages")
 
-    first = rows.filter("turn is not null").select("conv", "turn", F.explode("own").alias("hash")).groupBy("conv", "hash").agg(F.min("turn").alias("origin"))
+    first = rows.filter("turn is not null").select("conv", "turn", F.explode("own").alias("hash")).groupBy("conv", "hash").agg(F.min("turn").alias("origin"), F.max("turn").alias("last"))
+    # an odd hash is a short part: only one that a single turn has
+    first = first.filter((F.col("hash") % 2 == 0) | (F.col("origin") == F.col("last"))).drop("last")
     said = rows.select("conv", "turn", "key", F.explode("quoted").alias("q")).select("conv", "turn", "key", "q.passage", "q.level", F.explode("q.hashes").alias("hash"))
     known = said.join(first, _same(said, first, "conv", "hash")).select(said["conv"], "turn", "key", "passage", "level", "origin").filter("origin < turn")
     linked = known.groupBy("conv", "turn", "key").agg(
@@ -169,13 +195,17 @@ def messages(conversations: DataFrame, id_col: str = "conv_id", turn_col: str =
 
 def ordered(found: DataFrame) -> DataFrame:
     """Add ``position``, counted from 0 in reply order, to ``messages``."""
-    found = saved(found.withColumn("run", F.floor(F.col("thread") / RUN)), "chat-ordered")
-    runs = found.groupBy("conv", "run").agg(F.count("*").alias("n"))
-    before = runs.withColumn("before", F.sum("n").over(Window.partitionBy("conv").orderBy(F.asc_nulls_first("run"))) - F.col("n")).select("conv", "run", "before")
-    inside = Window.partitionBy("conv", "run").orderBy(F.asc_nulls_first("thread"), F.asc_nulls_first("turn"), "role", "content", "key")
-    numbered = found.withColumn("inside", F.row_number().over(inside) - 1)
-    joined = numbered.join(before, _same(numbered, before, "conv", "run")).drop(before["conv"], before["run"])
-    return joined.withColumn("position", F.col("before") + F.col("inside")).drop("run", "before", "inside", "key")
+    head = F.substring("content", 1, HEAD)
+    by = ["conv", "thread", "turn", "role", "head", "content", "key"]
+    ranged = found.withColumn("head", head).repartitionByRange(slots(found), *by[:5]).sortWithinPartitions(*by)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ranged = saved(ranged.withColumns({"range": F.spark_partition_id(), "place": place}), "chat-ordered")
+    counts = ranged.groupBy("conv", "range").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    earlier = F.sum("n").over(Window.partitionBy("conv").orderBy("range")) - F.col("n")
+    # what to add to a place: the conversation's messages in earlier ranges, less where it begins in this one
+    shift = counts.select("conv", "range", (earlier - F.col("first")).alias("shift"))
+    joined = ranged.join(shift, _same(ranged, shift, "conv", "range")).drop(shift["conv"], shift["range"])
+    return joined.withColumn("position", F.col("place") + F.col("shift")).drop("range", "place", "shift", "head", "key")
 
 
 def chats(placed: DataFrame, part: int = PART) -> DataFrame:

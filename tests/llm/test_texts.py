@@ -310,10 +310,88 @@ def test_quotes_link_replies(spark):
     assert chat.format_conversations(df.filter("false")).count() == 0
 
 
-def test_long_conversations_are_numbered_in_runs(spark):
-    df = spark.range(2000).select(F.lit(7).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("message number "), "id").alias("text"))
-    got = chat.ordered(chat.messages(df)).select("turn", "position").collect()
-    assert len(got) == 2000 and all(r.turn == r.position for r in got)
+@pytest.mark.parametrize("answers", [False, True])
+def test_long_conversations_are_numbered_in_ranges(spark, answers):
+    """One conversation, without replies or with all messages answering its first: many tasks, none large."""
+    n = 20_000
+    quote = F.when((F.col("id") > 0) & F.lit(answers), "> this is the first message\n").otherwise("")
+    text = F.when(F.col("id") == 0, "this is the first message").otherwise(F.concat(quote, F.lit("message number "), "id"))
+    df = spark.range(n).select(F.lit(7).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), text.alias("text"))
+    found = chat.messages(df)
+    assert found.filter("thread = 0").count() == (n if answers else 1)
+    got = chat.ordered(found)
+    assert got.filter("turn = position").count() == n
+    sizes = [r["count"] for r in found.withColumn("head", F.substring("content", 1, chat.HEAD)).repartitionByRange(8, "conv", "thread", "turn", "role", "head").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < n / 4
+
+
+def test_short_passages(spark):
+    rows = [
+        (0, "Why?"), (1, "It is so."), (2, "> Why?\nBecause."), (3, "ok\n\nand a longer paragraph"), (4, "> ok\nfine"),
+        (5, "ok"), (6, "> ok\nagain"), (7, "好的"), (8, "> 好的\n谢谢"), (9, ">\n> \nempty quote"), (10, "> no\nnot said"), (11, "> no"), (12, "no"),
+        (13, "x\nhm\ny"), (14, "> hm\n!"),
+    ]
+    df = spark.createDataFrame([(1, t, "u", x) for t, x in rows], "conv_id long, turn long, role string, text string")
+    got = {r.turn: r.reply_to for r in chat.messages(df).collect()}
+    # whole messages first; a part only where no other turn has it
+    assert {t: r for t, r in got.items() if r is not None} == {2: 0, 6: 5, 8: 7, 14: 13}
+
+
+def plain_chat(rows):
+    """Links, threads and order of one conversation by looking at all earlier messages."""
+    norm = lambda x: " ".join(x.split()).lower()
+    said = {}
+    for t, _, own in rows:
+        said[t] = {norm(x) for x in [own, *own.split("\n")]} - {""}
+    reply = {}
+    for t, quotes, _ in rows:
+        best = {}
+        for level, lines in quotes:
+            units = {norm(" ".join(lines)), *map(norm, lines)}
+            for u in units:
+                if len(u) >= chat.SHORT:
+                    origin = min((x for x in said if u in said[x]), default=None)
+                else:
+                    continue
+                if origin is not None and origin < t:
+                    best.setdefault(level, []).append(origin)
+        if best:
+            reply[t] = max(best[1]) if 1 in best else max(x for v in best.values() for x in v)
+    out = []
+    for t, _, own in rows:
+        top, depth = t, 0
+        while top in reply:
+            top, depth = reply[top], depth + 1
+        out.append((top, t, reply.get(t), depth, own))
+    return sorted(out)
+
+
+def test_planted_quotes_equal_plain_chats(spark):
+    rng = random.Random(12)
+    table, want = [], {}
+    for conv in range(40):
+        rows, texts = [], []
+        for t in range(rng.randint(1, 25)):
+            lines = [" ".join(rng.choices(["alpha", "beta", "gamma", "delta", "epsilon"], k=rng.randint(2, 4))) + f" {rng.randint(0, 30)}" for _ in range(rng.randint(1, 3))]
+            own = "\n".join(lines)
+            quotes = []
+            if texts and rng.random() < 0.6:
+                for level in rng.sample([1, 2], rng.randint(1, 2)):
+                    source = rng.choice(texts).split("\n")
+                    a = rng.randrange(len(source))
+                    quotes.append((level, source[a : a + rng.randint(1, 3)]))
+            marked = [f"{'> ' * level}{x.upper() if rng.random() < 0.3 else x}" for level, part in quotes for x in part]
+            table.append((conv, t, "u", "\n".join([*marked, own])))
+            rows.append((t, quotes, own))
+            texts.append(own)
+        want[conv] = plain_chat(rows)
+    df = spark.createDataFrame(table, "conv_id long, turn long, role string, text string")
+    got = {}
+    for r in chat.ordered(chat.messages(df)).orderBy("conv", "position").collect():
+        got.setdefault(r.conv, []).append((r.thread, r.turn, r.reply_to, r.depth, r.content))
+        assert r.position == len(got[r.conv]) - 1
+    assert got == want
+    assert sum(x[2] is not None for v in want.values() for x in v) > 100
 
 
 def test_long_chains_of_replies(spark):
