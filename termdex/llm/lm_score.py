@@ -41,6 +41,7 @@ unknown class with probability 1 and scores 0. Other columns of the input are ig
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -102,11 +103,15 @@ class _Grams:
                 before[self.first] = hashes([START])[0]
                 key, valid = mix(before, at), ok
             where = np.flatnonzero(valid)
-            u, r, i = np.unique(key[where], return_index=True, return_inverse=True)
+            # any place of an n-gram stands for it, so the sort need not be stable
+            by = np.argsort(key[where])
+            ranked = key[where][by]
+            new = np.ones(len(ranked), bool)
+            new[1:] = ranked[1:] != ranked[:-1]
             inv = np.full(len(key), -1, np.int64)
-            inv[where] = i
-            self.uniq.append(u)
-            self.rep.append(where[r])
+            inv[where[by]] = np.cumsum(new) - 1
+            self.uniq.append(ranked[new])
+            self.rep.append(where[by[new]])
             self.inv.append(inv)
 
     def trained(self, held: np.ndarray) -> list[np.ndarray]:
@@ -121,9 +126,9 @@ def _blocks(block_bytes: int, kind: pa.DataType):
     def block(docs: list, held: list[bool], texts: list[str]) -> pa.RecordBatch:
         per_text, vocab = word_ids(texts)
         end = np.array([len(vocab)], np.int64)
-        tokens = np.concatenate([y for x in per_text for y in (x, end)]).astype("<u4")
+        tokens = zlib.compress(_planes(np.concatenate([y for x in per_text for y in (x, end)])), 1)
         lengths = np.array([len(x) + 1 for x in per_text], "<u4")
-        packed = [x.tobytes() for x in (np.array(held, bool), lengths, tokens, hashes([*vocab, END]).astype("<u8"))]
+        packed = [np.array(held, bool).tobytes(), lengths.tobytes(), tokens, hashes([*vocab, END]).astype("<u8").tobytes()]
         one = pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), pa.array(docs, kind))
         return pa.RecordBatch.from_arrays([one, *(pa.array([x], pa.binary()) for x in packed)], ["docs", "held", "lengths", "tokens", "vocab"])
 
@@ -146,7 +151,9 @@ def _blocks(block_bytes: int, kind: pa.DataType):
 
 def _loaded(t: pa.Table | pa.RecordBatch, row: int, order: int) -> tuple[_Grams, np.ndarray]:
     get = lambda c: t.column(c)[row].as_py()
-    grams = _Grams(np.frombuffer(get("tokens"), "<u4"), np.frombuffer(get("lengths"), "<u4"), np.frombuffer(get("vocab"), "<u8"), order)
+    lengths = np.frombuffer(get("lengths"), "<u4")
+    tokens, _ = _from_planes(memoryview(zlib.decompress(get("tokens"))), int(lengths.sum()))
+    grams = _Grams(tokens, lengths, np.frombuffer(get("vocab"), "<u8"), order)
     return grams, np.frombuffer(get("held"), bool)
 
 
