@@ -223,7 +223,7 @@ def test_trees_add_what_looks_like_the_base(spark):
     rows += [f"order {number()[:3]}.{number()[:3]}/{number()} shipped" for _ in range(600)]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     model = pii.fit(docs)
-    assert model.thresholds["phone"] is not None
+    assert model.threshold is not None
     more = spark.createDataFrame([(1, "call me on the phone +1 (555) 123-4567 now"), (2, "order 123.456/7890 shipped")], "doc_id long, text string")
     got = {r.doc_id: r for r in pii.find(more, model).collect()}
     assert got[1].spans == "phone:21:38" and got[2].spans == ""
@@ -269,6 +269,62 @@ def test_loose_forms_are_added_at_any_share(spark, share):
             assert r.spans == f"{r.kind}:5:{len(r.text) - 5}", r
 
 
+@pytest.fixture(scope="module")
+def learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    return pii.fit(docs)
+
+
+LISTS = [
+    "Results 1024 2048 4096 in bytes", "Table: 12 34 56 78 90 rows", "Matrix 100 200 300 400", "Score 3-2 2-1 10-12 14-18",
+    "years 1999 2004 2012 and 2020", "sizes 16 32 64 128 256 px", "at 12.30 - 14.45 or 18.00 - 19.15", "ratios 10/20/30/40 and 15/25/35/45",
+]
+
+
+def test_trees_learn_format_and_context(spark, learned):
+    """The trees of a real corpus split on many features; number lists add nothing."""
+    assert len(learned.features_used()) >= 4 and not {"fails", "against"} & set(pii.FEATURES)
+    df = spark.createDataFrame(list(enumerate(LISTS)), "doc_id long, text string")
+    assert {r.doc_id: r.spans for r in pii.find(df, learned).collect()} == dict.fromkeys(range(len(LISTS)), "")
+
+
+def test_forms_that_were_not_taught(spark, learned):
+    """Recall on loose forms of the corpus' kinds that ``_forms`` does not write."""
+    rng = random.Random(21)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    ways = {
+        "phone": [lambda: f"({d(3)})555.{d(4)}", lambda: f"{d(3)}-555.{d(4)}", lambda: f"({d(3)}) 555 {d(4)}", lambda: f"001 {d(3)} 555-{d(4)}"],
+        "email": [lambda: f"ab{d(2)} {{at}} mail{d(1)} {{dot}} org", lambda: f"ab{d(2)} AT mail{d(1)} DOT org", lambda: f"ab{d(2)}[at]mail{d(1)}[dot]org"],
+    }
+    rows = [(kind, "some words " + make() + " and more") for kind, forms in ways.items() for make in forms for _ in range(100)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, kind string, text string")
+    found = {}
+    for r in pii.find(df, learned).join(df, "doc_id").collect():
+        found.setdefault(r.kind, []).append(any(s == f"{r.kind}:11:{len(r.text) - 9}" for s in r.spans.split(",")))
+    recall = {k: sum(v) / len(v) for k, v in found.items()}
+    assert min(recall.values()) >= 0.9, recall
+
+
+def test_a_text_of_many_spans(spark, learned):
+    """16,000 spans in one text, and four times as many, in time that grows with them."""
+    import time
+
+    one = "ann@mail.org, 10.20.30.40, +1 (555) 010-2030, 4111111111111111, 555-010-2030, bob [at] mail [dot] org; "
+    took = []
+    for n in (500, 2700, 10_800):
+        df = spark.createDataFrame([(1, one * n)], "doc_id long, text string")
+        start = time.time()
+        r = pii.find(df, learned).first()
+        took.append(time.time() - start)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == (n, n, n, n)
+        want = base_spans(one * n)
+        listed = ",".join(f"{k}:{a}:{b}" for k in PATTERNS for a, b in want[k])
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+    assert took[2] - took[0] < 8 * (took[1] - took[0]) + 5, took
+    clean = pii.redact(spark.createDataFrame([(1, one * 2700)], "doc_id long, text string"), learned).first().text
+    assert clean.count("<EMAIL>") >= 2700 and "@" not in clean and "4111" not in clean
+
+
 def test_personal_data_runs_no_python(spark):
     docs = spark.createDataFrame([(1, "a@b.co")], "doc_id long, text string")
     model = pii.fit(docs)
