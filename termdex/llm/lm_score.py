@@ -59,7 +59,7 @@ ORDER = 3
 # longer ones take the last.
 PRIORS = (300.0, 3.0)
 # UTF-8 bytes of text in a block: bounds the memory of a task.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 # Reserved words: a blank cannot occur in a word.
 START, END = b" start", b" end"
 
@@ -84,7 +84,8 @@ class _Grams:
 
     def __init__(self, tokens: np.ndarray, lengths: np.ndarray, vocab: np.ndarray, order: int):
         """``tokens``: word numbers of all texts, each with its end; ``vocab``: hashes of the words, the end's last."""
-        self.tokens, self.lengths = tokens.astype(np.int64), lengths.astype(np.int64)
+        # a block has fewer than 2**31 words
+        self.tokens, self.lengths = tokens.astype(np.int32), lengths.astype(np.int64)
         self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int64)
         self.first = np.zeros(len(self.tokens), bool)
         self.first[self.starts] = True
@@ -108,10 +109,10 @@ class _Grams:
             ranked = key[where][by]
             new = np.ones(len(ranked), bool)
             new[1:] = ranked[1:] != ranked[:-1]
-            inv = np.full(len(key), -1, np.int64)
-            inv[where[by]] = np.cumsum(new) - 1
+            inv = np.full(len(key), -1, np.int32)
+            inv[where[by]] = np.cumsum(new, dtype=np.int32) - 1
             self.uniq.append(ranked[new])
-            self.rep.append(where[by[new]])
+            self.rep.append(where[by[new]].astype(np.int32))
             self.inv.append(inv)
 
     def trained(self, held: np.ndarray) -> list[np.ndarray]:
@@ -334,8 +335,11 @@ class Automaton:
             after.append(state[level - 1][seen] if level < order else state[level - 2][inv[level - 2][rep]])
             prob = p
         k = np.concatenate(key)
-        o = np.argsort(k, kind="stable")
-        self.arc_key, self.arc_weight, self.arc_next = k[o], np.concatenate(weight)[o], np.concatenate(after)[o]
+        key.clear()
+        o = np.argsort(k)
+        self.arc_key = k[o]
+        del k
+        self.arc_weight, self.arc_next = np.concatenate(weight)[o], np.concatenate(after)[o]
         self.bow, self.fail, self.words, self.start = np.concatenate(bow), np.concatenate(fail), W, 1 if order > 1 and texts else 0
 
     @staticmethod
