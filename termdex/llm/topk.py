@@ -10,12 +10,14 @@ score found; blocks whose bound equals it are still scored, so ties are kept. Th
 exact.
 
 How it runs. Candidates are ranged by a coarse key (signs of the first dimensions), so
-vectors that point the same way share blocks and bounds are tight. Queries are taken in
-chunks of ``CHUNK`` (counted; a chunk is broadcast), each against all blocks. Of a chunk
-there are two passes: the first scores, in every task, each query's most promising block,
-and the kth best score over all of them is a floor that no result is below; the second
-visits the other blocks against that floor. Only the best k per query and task leave
-a task; they meet by (query) with at most k rows per task.
+vectors that point the same way share blocks and bounds are tight; ranges are as many as
+their counted bytes need. A task takes in ``HELD`` bytes of blocks at a time and carries each
+query's best on. Queries are taken in chunks of ``CHUNK`` (counted), each against all blocks. A chunk
+is broadcast, its results are written, and the broadcast is released before the next, so
+the driver holds one chunk. Of a chunk there are two passes: the first scores, for every
+``HELD`` bytes, each query's most promising block, and the kth best score over all of them is a
+floor that no result is below; the second visits the other blocks against that floor. Only the
+best k per query and task leave a task; they meet by (query) with at most k rows per task.
 
 Null vectors and vectors with null or non-finite components take no part. Vectors of
 different lengths are compared as if the shorter ended in zeros; an empty vector scores 0.
@@ -26,15 +28,18 @@ queries, and as candidates sort after all others. Scores beyond 64 bits are an e
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termdex.llm.common import saved, ship
+from termdex.llm.common import saved, slots
+from termdex.session import shared_dir
 
 SCALE = 256
 K = 5
@@ -42,6 +47,8 @@ QUERY_EVERY = 50
 BLOCK = 256
 # Queries broadcast at once.
 CHUNK = 4096
+# Bytes of candidates that a task holds at once, and that a range has.
+HELD = 32 << 20
 # Leading dimensions whose signs order the candidates.
 SIGNS = 12
 # Whole numbers up to this are exact as doubles.
@@ -117,24 +124,8 @@ def _search(get_queries, k: int, get_floor, first: bool):
     result, in falling order of their bounds.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries: Queries = get_queries()
+    def visit(queries: Queries, best: _Best, floor: np.ndarray, ids: list, blocks: list, high: list, low: list) -> None:
         n = len(queries.ids)
-        floor = np.full(n, _Best.NONE, np.int64) if first else get_floor()
-        best = _Best(n, k)
-        ids, blocks, high, low = [], [], [], []
-        for b in batches:
-            vec, lists = b.column("vec_id"), b.column("v").to_pylist()
-            width = max(queries.width, max(map(len, lists), default=0))
-            numbers = np.array([_Best.LAST if x is None else x for x in vec.to_pylist()], np.int64)
-            for a in range(0, len(lists), BLOCK):
-                m = _matrix(lists[a : a + BLOCK], width)[:, : queries.width]
-                ids.append(numbers[a : a + BLOCK])
-                blocks.append(m)
-                high.append(m.max(0))
-                low.append(m.min(0))
-        if not blocks or not n:
-            return
         up, down = np.maximum(queries.vectors, 0), np.minimum(queries.vectors, 0)
         bound = _product(up, np.array(high)) + _product(down, np.array(low))
         order = np.argsort(-bound, axis=1, kind="stable")
@@ -148,6 +139,28 @@ def _search(get_queries, k: int, get_floor, first: bool):
                 q = todo[at[todo] == block]
                 score = _product(queries.vectors[q], blocks[block])
                 best.add(q, ids[block], score, ids[block][None, :] != queries.ids[q][:, None])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries: Queries = get_queries()
+        n = len(queries.ids)
+        floor = np.full(n, _Best.NONE, np.int64) if first else get_floor()
+        best = _Best(n, k)
+        held: tuple[list, list, list, list] = ([], [], [], [])
+        size = 0
+        for b in batches:
+            vec, lists = b.column("vec_id"), b.column("v").to_pylist()
+            width = max(queries.width, max(map(len, lists), default=0))
+            numbers = np.array([_Best.LAST if x is None else x for x in vec.to_pylist()], np.int64)
+            for a in range(0, len(lists), BLOCK):
+                m = _matrix(lists[a : a + BLOCK], width)[:, : queries.width]
+                for kept, x in zip(held, (numbers[a : a + BLOCK], m, m.max(0), m.min(0)), strict=True):
+                    kept.append(x)
+                size += m.nbytes
+                if size >= HELD and n:
+                    visit(queries, best, floor, *held)
+                    held, size = ([], [], [], []), 0
+        if held[0] and n:
+            visit(queries, best, floor, *held)
         q, place = np.nonzero(best.there)
         yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(best.id[q, place]), pa.array(best.score[q, place])], ["q", "vec_id", "score"])
 
@@ -167,30 +180,36 @@ def top_k(
     spark = vectors.sparkSession
     rows = whole_numbers(vectors, id_col, vector_col, scale)
     sign = F.concat_ws("", *(F.when(F.get("v", F.lit(d)) >= 0, "1").otherwise("0") for d in range(SIGNS)))
-    laid = saved(rows.withColumn("coarse", sign).repartitionByRange("coarse", "vec_id").sortWithinPartitions("coarse", "vec_id").select("vec_id", "v"), "topk-vectors")
-    asked = rows.filter(F.col("vec_id") % every == 0).distinct()
+    total = rows.agg(F.sum(8 * F.size("v") + 8)).first()[0] or 0
+    ranges = max(slots(vectors), -(-total // HELD))
+    laid = saved(rows.withColumn("coarse", sign).repartitionByRange(ranges, "coarse", "vec_id").sortWithinPartitions("coarse", "vec_id").select("vec_id", "v"), "topk-vectors")
+    asked = saved(rows.filter(F.col("vec_id") % every == 0).distinct(), "topk-queries")
     size = asked.count()
     chunks = max(1, -(-size // chunk) * 2 if size > chunk else 1)  # hashed chunks stay below the bound
     schema = "q long, vec_id long, score long"
-    out = None
+    results = shared_dir(spark, "topk-found")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    ranked = lambda df: df.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    last = F.when(F.col("vec_id") != _Best.LAST, F.col("vec_id")).alias("vec_id")
     for c in range(chunks):
         part = asked if chunks == 1 else asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(chunks)) == c)
         queries = Queries(sorted((r["vec_id"], r["v"]) for r in part.collect()))
         if not len(queries.ids):
             continue
-        get = ship(spark, queries)
-        best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-        ranked = lambda df: df.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        sent = spark.sparkContext.broadcast(cloudpickle.dumps(queries))
+        get = lambda b=sent: pickle.loads(b.value)
         seeds = ranked(laid.mapInArrow(_search(get, k, None, True), schema)).filter(F.col("rank") == k).select("q", "score").collect()
         floor = np.full(len(queries.ids), _Best.NONE, np.int64)
         for r in seeds:
             floor[r["q"]] = r["score"]
-        found = ranked(laid.mapInArrow(_search(get, k, ship(spark, floor), False), schema))
+        floors = spark.sparkContext.broadcast(floor)
+        found = ranked(laid.mapInArrow(_search(get, k, lambda b=floors: b.value, False), schema))
         names = spark.createDataFrame([(i, int(x)) for i, x in enumerate(queries.ids.tolist())], "q long, query_id long")
-        last = F.when(F.col("vec_id") != _Best.LAST, F.col("vec_id")).alias("vec_id")
         found = found.join(F.broadcast(names), "q").select("query_id", F.col("rank").cast("int").alias("rank"), last, "score")
-        out = found if out is None else out.union(found)
-    if out is None:
-        empty = T.StructType.fromDDL("query_id long, rank int, vec_id long, score long")
-        return spark.createDataFrame([], empty)
-    return out
+        found.write.parquet(f"{results}/chunk={c}")
+        sent.destroy()
+        floors.destroy()
+    out = T.StructType.fromDDL("query_id long, rank int, vec_id long, score long")
+    if not size:
+        return spark.createDataFrame([], out)
+    return spark.read.schema(T.StructType(out.fields + [T.StructField("chunk", T.IntegerType())])).parquet(results).select(*out.names)

@@ -127,8 +127,9 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
     rows += [(2000, None), (2050, []), (2100, [0.5, None]), (2150, [float("nan")] * 8), (2200, [float("inf")] * 8), (2250, [1.0, 2.0]), (None, [9.0] * 8), (2300, [1e5] * 8), (2301, [1e5] * 8), (2301, [1e5] * 8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"score": F.lit(1), "q": F.lit(1), "v": F.lit(2)})
     want = brute_top(rows)
-    for block, chunk in ((256, 4096), (16, 5)):
+    for block, chunk, held in ((256, 4096, 32 << 20), (16, 5, 32 << 20), (16, 7, 4000)):
         monkeypatch.setattr(topk, "BLOCK", block)
+        monkeypatch.setattr(topk, "HELD", held)
         got = topk.top_k(df, chunk=chunk)
         assert {tuple(r) for r in got.collect()} == want
     assert topk.top_k(df.filter("false")).count() == 0
