@@ -1,15 +1,18 @@
 """Command line: the reference's jobs as ``python -m termdex`` (or ``spark-submit``).
 
     build  IN [IN ...] OUT [--parts N] [--format text|parquet] [--sep tab|spaces] [--whole]
-           [--layout hash|round|range] [--input-parts N]
-    search INDEX QUERY [--format parquet|text] [--clean]
+           [--layout hash|round|range|exact] [--input-parts N]
+    search INDEX QUERY [--format parquet|text] [--clean] [--out OUT]
     batch  INDEX QUERIES OUT [--format parquet|text] [--clean]
     stats  INDEX [--format parquet|text]
+    parts  INDEX
 
+``build`` of a text index prints what it wrote. ``parts`` prints file, lines, bytes, first and last
+term and order of every part of a text index, and writes its manifest if it has none.
 ``batch`` reads a text file with one query per line, gives each a unique id and writes
 ``OUT/queries`` (query_id, query) and ``OUT/answers`` (query_id, doc) as Parquet.
-``search`` streams the answer to stdout partition by partition instead of collecting
-it at once. A session that already exists (a notebook, a test) is used and left open.
+``search`` writes the answer to ``OUT`` as text, or streams it to stdout partition by partition
+instead of collecting it at once. A session that already exists (a notebook, a test) is used and left open.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from termdex.operators.index import postings, stats  # noqa: E402
 from termdex.operators.search import search_batch, search_stored  # noqa: E402
 from termdex.session import checkpoint_base  # noqa: E402
 from termdex.sources.files import read_lines, read_whole  # noqa: E402
-from termdex.sources.index_io import read_index, read_text_index, write_index, write_text_index  # noqa: E402
+from termdex.sources.index_io import LAYOUTS, inspect_parts, manifest_files, read_index, read_text_index, write_index, write_manifest, write_text_index  # noqa: E402
 
 
 def _index(spark: SparkSession, path: str, fmt: str):
@@ -45,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--parts", type=int, default=None, help="number of output parts; -1 or none: Spark's own")
     b.add_argument("--format", choices=("text", "parquet"), default="text")
     b.add_argument("--sep", choices=("tab", "spaces"), default="tab")
-    b.add_argument("--layout", choices=("hash", "round", "range"), default="hash", help="of the text parts")
+    b.add_argument("--layout", choices=LAYOUTS, default="hash", help="of the text parts")
     b.add_argument("--input-parts", type=int, default=None, help="spread the input over this many tasks")
     b.add_argument("--whole", action="store_true", help="read each file as one row")
 
@@ -54,6 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("query")
     s.add_argument("--format", choices=("parquet", "text"), default="parquet")
     s.add_argument("--clean", action="store_true", help="tokenise the query like document text")
+    s.add_argument("--out", default=None, help="write the answer as text, one document a line")
 
     q = sub.add_parser("batch", help="answer a file of queries, one per line")
     q.add_argument("index")
@@ -66,6 +70,9 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("index")
     t.add_argument("--format", choices=("parquet", "text"), default="parquet")
 
+    r = sub.add_parser("parts", help="lines and order of a text index's parts")
+    r.add_argument("index")
+
     a = p.parse_args(argv)
     owned = SparkSession.getActiveSession() is None
     spark = SparkSession.builder.appName(f"termdex-{a.cmd}").getOrCreate()
@@ -80,11 +87,17 @@ def main(argv: list[str] | None = None) -> int:
             if a.format == "parquet":
                 write_index(post, out, parts)
             else:
-                write_text_index(post, out, parts, TAB_SEP if a.sep == "tab" else SPACES_SEP, a.layout)
+                # documents are named by their files
+                bound = len(docs.inputFiles())
+                report = write_text_index(post, out, parts, TAB_SEP if a.sep == "tab" else SPACES_SEP, a.layout, max_docs=bound)
+                print(" ".join(f"{k}={v}" for k, v in report._asdict().items()))
         elif a.cmd == "search":
             res = search_stored(spark, a.index, a.query, a.format, a.clean)
-            for row in res.toLocalIterator():
-                print(row["doc"])
+            if a.out:
+                res.select(F.col("doc").cast("string")).write.text(a.out)
+            else:
+                for row in res.toLocalIterator():
+                    print(row["doc"])
         elif a.cmd == "batch":
             lines = spark.read.text(a.queries).select(
                 F.monotonically_increasing_id().alias("query_id"), F.col("value").alias("query")
@@ -94,6 +107,11 @@ def main(argv: list[str] | None = None) -> int:
             lines = lines.checkpoint(eager=True)
             lines.write.parquet(f"{a.out}/queries")
             search_batch(_index(spark, a.index, a.format), lines, a.clean).write.parquet(f"{a.out}/answers")
+        elif a.cmd == "parts":
+            if manifest_files(spark, a.index, []) is None:
+                write_manifest(spark, a.index)
+            for row in inspect_parts(spark, a.index).orderBy("file").toLocalIterator():
+                print(*row, sep="\t")
         else:
             r = stats(_index(spark, a.index, a.format)).first()
             print(f"num_terms={r['num_terms']} tot_terms={r['tot_terms']}")

@@ -41,3 +41,16 @@ def test_cli_build_search_batch_stats(spark, corpus_dir, tmp_path):
     assert answers == [("CLOUD based", "a.txt"), ("cloud computing", "a.txt"), ("cloud computing", "b.txt")]
     # the shared test session is still usable afterwards
     assert spark.range(3).count() == 3
+
+
+def test_search_writes_its_answer_and_parts_are_shown(spark, corpus_dir, tmp_path, capsys):
+    out = str(tmp_path / "index")
+    assert main(["build", corpus_dir, out, "--layout", "exact", "--parts", "4"]) == 0
+    size = sum(len(x) + 1 for x in HAND_INDEX_TAB)
+    assert capsys.readouterr().out == f"terms=11 occurrences=15 postings=13 lines=11 bytes={size}\n"
+    assert main(["search", out, "cloud computing", "--format", "text", "--out", str(tmp_path / "answer")]) == 0
+    assert capsys.readouterr().out == ""
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "answer")).collect()) == ["a.txt", "b.txt"]
+    assert main(["parts", out]) == 0
+    rows = [x.split("\t") for x in capsys.readouterr().out.splitlines()]
+    assert [(r[1], r[3], r[4], r[5]) for r in rows] == [("3", "2025", "based", "True"), ("3", "citt", "computing", "True"), ("3", "it", "s", "True"), ("2", "x", "y", "True")]
