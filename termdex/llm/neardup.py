@@ -22,9 +22,11 @@ Large groups. A group of n near copies is never expanded into its n^2 pairs:
 
 So no bucket is capped and no linked pair of different components is left out; what can be
 missed is bounded by the bands (a pair at the threshold shares none of 32 bands of 4 with
-probability 5e-6) and by ``MISS``. Rows and bytes that move are linear in the members; only
-comparisons inside tasks are quadratic, among members of one bucket that are no copies of
-each other, and they spread over chunk pairs.
+probability 5e-6) and by ``MISS``. The stars move rows in proportion to the members. In the
+remainder a bucket of n members moves each of them, with its signature, once for every chunk:
+n * ceil(n / CHUNK) rows, which for 1,024, 4,096 and 16,384 members of one bucket that are no
+copies of each other are 1,024, 16,384 and 262,144. The comparisons, too, are quadratic in such
+a bucket; both spread over its chunk pairs.
 
 Defined results. Null and empty texts have no shingle, no link, and are their own
 component. A document with fewer words than a shingle has its whole sequence as the one
