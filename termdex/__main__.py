@@ -30,7 +30,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from termdex.functions.text import SPACES_SEP, TAB_SEP  # noqa: E402
 from termdex.operators.index import postings, stats  # noqa: E402
 from termdex.operators.search import search_batch, search_stored  # noqa: E402
-from termdex.session import checkpoint_base  # noqa: E402
+from termdex.session import checkpoint_base, clear_work  # noqa: E402
 from termdex.sources.files import read_lines, read_whole  # noqa: E402
 from termdex.sources.index_io import LAYOUTS, inspect_parts, manifest_files, read_index, read_text_index, write_index, write_manifest, write_text_index  # noqa: E402
 
@@ -117,6 +117,8 @@ def main(argv: list[str] | None = None) -> int:
             print(f"num_terms={r['num_terms']} tot_terms={r['tot_terms']}")
     finally:
         if owned:
+            # all answers are written or printed: nothing reads the work tables any more
+            clear_work(spark)
             spark.stop()
     return 0
 

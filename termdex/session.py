@@ -18,6 +18,10 @@ DEFAULT_CONF = {
 }
 
 
+# Work folders handed out by ``shared_dir``.
+_MADE: list[str] = []
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, app: str = "termdex") -> SparkSession:
     """A ``local[cores]`` session for tests and the bench (never used on a cluster)."""
     parts = shuffle_partitions or (int(cores) if str(cores).isdigit() else 8)
@@ -67,7 +71,22 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """
     base = checkpoint_base(spark)
     name = "-".join(parts) if parts else "work"
-    return os.path.join(base.rstrip("/"), f"termdex-{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base.rstrip("/"), f"termdex-{name}-{uuid.uuid4().hex[:12]}")
+    _MADE.append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete the work folders that this process has made so far, and return how many there were.
+
+    For the end of a job: a DataFrame that still reads one of them (every result that was
+    built on a staged table and is not written yet) can't be run afterwards.
+    """
+    n = 0
+    while _MADE:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return n
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -220,3 +220,14 @@ def test_a_build_tokenises_the_corpus_once(tmp_path):
                     made[e["Stage ID"]] = made.get(e["Stage ID"], 0) + int(a["Update"])
     # one tokenising stage for each build
     assert list(made.values()) == occurrences
+
+
+def test_work_folders_go_when_asked(spark, tmp_path, monkeypatch):
+    from termdex import session
+
+    monkeypatch.setattr(session, "_MADE", [])
+    write_text_index(_many(spark), str(tmp_path / "index"), block_bits=3)
+    made = [p.removeprefix("file:") for p in session._MADE]
+    assert len(made) == 2 and all(os.path.isdir(p) for p in made)
+    assert session.clear_work(spark) == 2 and not any(os.path.exists(p) for p in made)
+    assert session.clear_work(spark) == 0 and read_text_index(spark, str(tmp_path / "index")).count() > 0
