@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from termdex.functions.text import NON_TERM_RUN, query_terms
 from termdex.operators.index import MAX_BROADCAST_BYTES, ROW_BYTES, keyed
+from termdex.plans.inspect import exchanges
 from termdex.session import staged
 from termdex.sources.index_io import filter_text_lines, manifest_files, parse_lines, read_index, read_text_lines
 
@@ -128,17 +129,20 @@ def search_all(
     post: DataFrame,
     query: str,
     clean_query: bool = False,
-    rarest_first: bool = False,
+    rarest_first: bool | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Q1 (+Q2 when ``post`` is cached): documents containing every query term.
 
     ``rarest_first`` counts the terms' lists first and moves only hits in the rarest
-    one's documents: for a stored or cached index, which is cheap to read twice.
+    one's documents. Unless it is given, that is done for an index which is cheap to read
+    twice: a cached one, or one whose plan has no shuffle (a stored table).
     """
     terms = parse_query(query, clean_query)
     if not terms:
         return _empty_docs(post)
+    if rarest_first is None:
+        rarest_first = post.is_cached or not exchanges(post)
     hits = post.filter(F.col("term").isin(terms))
     return _divide_rarest_first(hits, terms, max_broadcast_bytes) if rarest_first else _divide(hits, len(terms))
 

@@ -153,6 +153,20 @@ def test_resident_index_answers_like_stored(spark, hand_post, tmp_path, fmt):
     res.unpersist()
 
 
+def test_stored_indexes_are_searched_rarest_first(spark, hand_docs, tmp_path):
+    from termdex.plans import inspect
+    from termdex.sources.index_io import read_index
+
+    path = str(tmp_path / "index")
+    write_index(postings(hand_docs), path)
+    build, stored, cached = postings(hand_docs), read_index(spark, path), postings(hand_docs).cache()
+    for post, first in ((build, False), (stored, True), (cached, True)):
+        got = search_all(post, "a cloud")
+        assert ("BroadcastHashJoin" in inspect.plan_string(got)) == first
+        assert _docs(got) == ["b.txt"]
+    cached.unpersist()
+
+
 def test_bitmap_keeps_the_rarest_words_documents_and_few_others(spark, monkeypatch):
     from termdex.operators import search
 
