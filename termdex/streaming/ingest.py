@@ -82,7 +82,7 @@ def index_stream(
         if write:
             write(batch, name)
         else:
-            write_index(postings(batch), os.path.join(index_path, f"epoch={name}"), mode="overwrite")
+            write_index(postings(batch, "auto"), os.path.join(index_path, f"epoch={name}"), mode="overwrite")
 
     writer = docs.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)
     if available_now:

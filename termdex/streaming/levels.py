@@ -150,7 +150,7 @@ def append_stream(docs: DataFrame, path: str, checkpoint: str | None = None, com
     """
 
     def write(batch: DataFrame, name: str) -> None:
-        append(batch.sparkSession, path, postings(batch), name, fanout, base)
+        append(batch.sparkSession, path, postings(batch, "auto"), name, fanout, base)
         if compact:
             compact_levels(batch.sparkSession, path, fanout, base)
 
