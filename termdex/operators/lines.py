@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termdex.functions.text import ENTRY_SEP, TAB_SEP, WHITESPACE_RUN, split_words
-from termdex.operators.index import DEFAULT_BLOCK_BITS, with_block
+from termdex.operators.index import DEFAULT_BLOCK_BITS, block_keys, blocks
 
 
 def format_lines(
@@ -23,12 +23,15 @@ def format_lines(
     stored: bool = False,
 ) -> DataFrame:
     """P6-P8 over A3: ``(term, block, line)``; ``max_docs`` and ``stored`` as in ``with_block``."""
-    return line_rows(with_block(post, block_bits, max_docs, stored), sep).select("term", "block", "line")
+    cut, heavy = blocks(post, block_bits, max_docs, stored)
+    return line_rows(cut.repartition(*block_keys(heavy)), sep).select("term", "block", "line")
 
 
 def line_rows(cut: DataFrame, sep: str = TAB_SEP) -> DataFrame:
     """Lines of postings with their ``block``, and the ``entries`` and ``occurrences`` in each.
 
+    ``cut`` is partitioned by block already (``block_keys``), so its postings move as they are, once,
+    and no list is gathered, sorted and spilled before it moves.
     Each entry string is built before the aggregation and carried next to its doc,
     so the per-group work is one sort and one join of strings, with no lambda.
     Doc names holding whitespace cannot be read back, and a null doc key would vanish

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termdex.functions.text import TAB_SEP, WHITESPACE_CLASS
-from termdex.operators.index import DEFAULT_BLOCK_BITS, blocks
+from termdex.operators.index import DEFAULT_BLOCK_BITS, block_keys, blocks, merge_postings
 from termdex.operators.lines import line_rows, parse_lines
 from termdex.session import exists, staged
 
@@ -59,10 +59,10 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 def _exact_chunks(lines: DataFrame, parts: int) -> DataFrame:
     """K4: the lines in (term, block) order, ``ceil(lines / parts)`` in every partition (the last ones fewer).
 
-    Lines are sorted once, by range, into a table. A line's number is its place in its range
-    plus the lines of the ranges before, one count for each of which reaches the driver.
+    ``lines`` lie in ranges of terms. They are sorted once into a table. A line's number is its place in
+    its range plus the lines of the ranges before, one count for each of which reaches the driver.
     """
-    ranged = lines.repartitionByRange("term", "block").sortWithinPartitions("term", "block")
+    ranged = lines.sortWithinPartitions("term", "block")
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     ranged = staged(ranged.withColumns({"range": F.spark_partition_id(), "place": place}), "exact-lines")
     before, total = [], 0
@@ -101,7 +101,11 @@ def write_text_index(
     if layout == "exact" and not parts:
         raise ValueError("layout exact needs the number of parts")
     cut, heavy = blocks(post, block_bits, max_docs, stored)
-    lines = line_rows(cut, sep)
+    keys = block_keys(heavy)
+    # postings that move to a range of terms become lines there: ranges are drawn over the postings, and nothing
+    # is built twice for them; a given number of ranges is drawn over the lines, which any number of tasks builds
+    ranged = layout == "exact" or layout == "range" and not parts
+    lines = line_rows(cut.repartitionByRange(*keys) if ranged else cut.repartition(*keys), sep)
     if layout == "hash":
         if parts:
             # by (term, block): the lines of one very common term spread over the parts
@@ -111,7 +115,7 @@ def write_text_index(
         if parts:
             lines = lines.repartition(parts)
     elif layout == "range":
-        lines = lines.repartitionByRange(parts, "term", "block") if parts else lines.repartitionByRange("term", "block")
+        lines = lines if ranged else lines.repartitionByRange(parts, "term", "block")
         lines = lines.sortWithinPartitions("term", "block")
     else:
         lines = _exact_chunks(lines, parts)
