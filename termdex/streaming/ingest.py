@@ -28,7 +28,7 @@ from pyspark.sql.types import StructType
 
 from termdex.functions.text import doc_name
 from termdex.operators.index import merge_postings, postings
-from termdex.sources.index_io import write_index
+from termdex.sources.index_io import write_index, write_merged
 
 
 def stream_text_files(spark: SparkSession, folder: str, whole: bool = True, max_files: int | None = None) -> DataFrame:
@@ -107,4 +107,4 @@ def read_merged(spark: SparkSession, index_path: str) -> DataFrame:
 
 def compact(spark: SparkSession, index_path: str, out_path: str, parts: int | None = None) -> None:
     """Merge all partials into one term-sorted Parquet index (K7) at ``out_path``."""
-    write_index(read_merged(spark, index_path), out_path, parts)
+    write_merged([read_partials(spark, index_path)], out_path, parts)

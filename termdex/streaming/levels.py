@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from termdex.operators.index import merge_postings, postings
 from termdex.session import exists
-from termdex.sources.index_io import read_index, write_index
+from termdex.sources.index_io import read_index, write_index, write_merged
 from termdex.streaming.ingest import index_stream
 
 MANIFEST = "_manifest"
@@ -115,7 +115,9 @@ def merge_step(spark: SparkSession, path: str, fanout: int = FANOUT, base: int =
             names = [f for f, _, _ in full]
             folder = f"merged={uuid.uuid4().hex[:12]}"
             out = f"{path.rstrip('/')}/{folder}"
-            write_index(merge_postings(*(read_index(spark, f"{path.rstrip('/')}/{f}") for f in names)), out, parts)
+            # so many ranges that a task merges about BASE_ROWS rows, however large the level
+            ranges = parts or max(1, -(-sum(n for _, _, n in full) // BASE_ROWS))
+            write_merged([read_index(spark, f"{path.rstrip('/')}/{f}") for f in names], out, ranges)
             rows = read_index(spark, out).count()
             # counts of shared pairs add up, so the rows may be few; a merged partial still rises
             return version, [(folder, max(level + 1, level_of(rows, fanout, base)), rows)], names

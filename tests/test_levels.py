@@ -45,6 +45,23 @@ def _union(frames):
     return out
 
 
+def test_a_merge_moves_rows_once_to_ranges_of_bounded_rows(spark, tmp_path, monkeypatch):
+    from termdex.streaming import levels
+
+    a = spark.createDataFrame([(f"t{i:02d}", "d1", 1) for i in range(40)], "term string, doc string, tf bigint")
+    b = spark.createDataFrame([(f"t{i:02d}", d, 2) for i in range(40) for d in ("d1", "d2")], "term string, doc string, tf bigint")
+    levels.append(spark, str(tmp_path / "i"), a, "a")
+    levels.append(spark, str(tmp_path / "i"), b, "b")
+    monkeypatch.setattr(levels, "BASE_ROWS", 30)
+    assert levels.compact_levels(spark, str(tmp_path / "i"), fanout=2) == 1
+    ((folder, _, rows),) = levels.live(spark, str(tmp_path / "i"))[1]
+    files = spark.read.parquet(f"{tmp_path}/i/{folder}").groupBy("_metadata.file_path").agg(F.min("term").alias("first"), F.max("term").alias("last"), F.count("*").alias("n")).orderBy("first").collect()
+    assert rows == 80 and len(files) == 4 and all(f.n < 60 for f in files)
+    assert all(x["last"] <= y["first"] for x, y in zip(files, files[1:]))
+    got = {(r.term, r.doc): r.tf for r in levels.read_live(spark, str(tmp_path / "i")).collect()}
+    assert got == {(f"t{i:02d}", d): n for i in range(40) for d, n in (("d1", 3), ("d2", 2))}
+
+
 def test_a_reader_between_the_steps_sees_each_posting_once(spark, tmp_path):
     rng = random.Random(2)
     path = str(tmp_path / "index")

@@ -79,6 +79,43 @@ def test_spread_only_when_scan_is_narrow(spark):
     assert "RoundRobinPartitioning" not in inspect.plan_string(spread(narrow, None))
 
 
+def test_long_splits_are_spread_whatever_their_number(spark):
+    # a task combines about SPREAD_BYTES of a scan, though there are as many splits as slots
+    from termdex.operators.index import SPREAD_BYTES, spread, split_bytes
+
+    slots, key = spark.sparkContext.defaultParallelism, "spark.sql.files.maxPartitionBytes"
+    many, was = _docs(spark).repartition(slots + 1), spark.conf.get(key)
+    try:
+        for value, n in ((str(4 * SPREAD_BYTES), 4), ("40m", 3), (f"{SPREAD_BYTES}b", 1), ("1KB", 1)):
+            spark.conf.set(key, value)
+            assert split_bytes(spark) > (n - 1) * SPREAD_BYTES
+            assert spread(many, "auto").rdd.getNumPartitions() == n * (slots + 1), value
+    finally:
+        spark.conf.set(key, was)
+
+
+def test_lists_are_collected_after_their_postings_move(spark):
+    # no list is gathered below the exchange that deals postings to their blocks
+    from termdex.operators.index import grouped
+
+    for bits in (3, 20):
+        for df in (format_lines(postings(_docs(spark)), block_bits=bits), grouped(postings(_docs(spark)), bits)):
+            lines = inspect.plan_string(df).splitlines()
+            below = lines[next(i for i, ln in enumerate(lines) if "Exchange" in ln) :]
+            assert not any("collect_list" in ln for ln in below)
+            assert len(inspect.exchanges(df)) == 1
+
+
+def test_batch_search_of_a_build_stores_the_words_lists_once(spark):
+    # the answer reads stored lists: no token is made again by it
+    from termdex.operators.search import search_batch
+
+    qs = read_table(spark, SF_SMALL, "benchmark").selectExpr("item_id AS query_id", "text AS query")
+    for limit in (0, 1 << 20):
+        plan = inspect.plan_string(search_batch(postings(_docs(spark)), qs, True, limit, limit, limit))
+        assert "Generate explode(regexp_extract_all" not in plan and "batch-postings" in plan
+
+
 def test_batch_search_broadcasts_only_small_sides(spark):
     from termdex.operators.search import search_batch
 
