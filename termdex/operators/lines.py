@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termdex.functions.text import ENTRY_SEP, TAB_SEP, WHITESPACE_RUN, split_words
-from termdex.operators.index import DEFAULT_BLOCK_BITS, block_keys, blocks
+from termdex.operators.index import DEFAULT_BLOCK_BITS, dealt, sized_blocks
 
 
 def format_lines(
@@ -23,8 +23,7 @@ def format_lines(
     stored: bool = False,
 ) -> DataFrame:
     """P6-P8 over A3: ``(term, block, line)``; ``max_docs`` and ``stored`` as in ``with_block``."""
-    cut, heavy = blocks(post, block_bits, max_docs, stored)
-    return line_rows(cut.repartition(*block_keys(heavy)), sep).select("term", "block", "line")
+    return line_rows(dealt(*sized_blocks(post, block_bits, max_docs, stored)), sep).select("term", "block", "line")
 
 
 def line_rows(cut: DataFrame, sep: str = TAB_SEP) -> DataFrame:

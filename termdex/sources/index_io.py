@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termdex.functions.text import TAB_SEP, WHITESPACE_CLASS
-from termdex.operators.index import DEFAULT_BLOCK_BITS, block_keys, blocks, merge_postings
+from termdex.operators.index import DEFAULT_BLOCK_BITS, dealt, merge_postings, sized_blocks
 from termdex.operators.lines import line_rows, parse_lines
 from termdex.session import exists, staged
 
@@ -113,12 +113,11 @@ def write_text_index(
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if layout == "exact" and not parts:
         raise ValueError("layout exact needs the number of parts")
-    cut, heavy = blocks(post, block_bits, max_docs, stored)
-    keys = block_keys(heavy)
+    cut, heavy, tasks = sized_blocks(post, block_bits, max_docs, stored)
     # postings that move to a range of terms become lines there: ranges are drawn over the postings, and nothing
     # is built twice for them; a given number of ranges is drawn over the lines, which any number of tasks builds
     ranged = layout == "exact" or layout == "range" and not parts
-    lines = line_rows(cut.repartitionByRange(*keys) if ranged else cut.repartition(*keys), sep)
+    lines = line_rows(dealt(cut, heavy, tasks, ranged), sep)
     if layout == "hash":
         if parts:
             # by (term, block): the lines of one very common term spread over the parts

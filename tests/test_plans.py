@@ -129,3 +129,35 @@ def test_batch_search_broadcasts_only_small_sides(spark):
     # when every counted size is over its limit, nothing is broadcast: all joins shuffle
     assert "BroadcastExchange" not in big
     assert big.count("SortMergeJoin") >= 2
+
+
+def test_a_build_moves_texts_and_not_postings(spark):
+    # the texts go to their document's task; with many rows a document, counts are combined first
+    from termdex.operators.index import few_rows
+
+    rows = [(k % 5, f"Alpha beta {k} beta") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc long, text string").repartition(3)
+    assert few_rows(docs) and few_rows(docs, 8) and not few_rows(docs, 7)
+    post, want = postings(docs, by_doc=True), postings(docs)
+    assert sorted(post.collect()) == sorted(want.collect())
+    shuffles = [x for x in inspect.exchanges(post) if "hashpartitioning" in x]
+    assert len(shuffles) == 1 and "hashpartitioning(doc" in shuffles[0]
+    build = QUERIES["postings"](spark, SF_SMALL)
+    assert len(inspect.exchanges(build)) == 1 and "hashpartitioning(doc" in inspect.exchanges(build)[0]
+
+
+def test_tasks_of_a_stored_build_hold_bounded_rows(spark, tmp_path, monkeypatch):
+    from termdex.operators import index
+
+    path = str(tmp_path / "post")
+    postings(_docs(spark)).write.parquet(path)
+    post = spark.read.parquet(path)
+    n = post.count()
+    assert index.task_count(post) is None
+    want = sorted(format_lines(post, block_bits=3).collect())
+    monkeypatch.setattr(index, "TASK_POSTINGS", n // 40)
+    assert index.task_count(post) == -(-n // (n // 40))
+    for bits in (3, 20):
+        lines = format_lines(post, block_bits=bits, stored=True)
+        assert lines.rdd.getNumPartitions() == index.task_count(post)
+    assert sorted(format_lines(post, block_bits=3).collect()) == want
