@@ -27,8 +27,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termdex.functions.text import TAB_SEP, WHITESPACE_CLASS
-from termdex.operators.index import DEFAULT_BLOCK_BITS, dealt, merge_postings, sized_blocks
+from termdex.operators.index import DEFAULT_BLOCK_BITS, dealt, merge_postings, sized_blocks, task_count
 from termdex.operators.lines import line_rows, parse_lines
+from termdex.plans.inspect import exchanges
 from termdex.session import exists, staged
 
 LAYOUTS = ("hash", "round", "range", "exact")
@@ -47,8 +48,15 @@ class BuildReport(NamedTuple):
 
 
 def write_index(post: DataFrame, path: str, parts: int | None = None, mode: str = "errorifexists") -> None:
-    """K7: write postings as Parquet sorted by (term, doc)."""
+    """K7: write postings as Parquet sorted by (term, doc).
+
+    The ranges are drawn by a pass of its own over the rows. So a build (postings whose plan has a shuffle) is
+    stored first and counts nothing twice; its rows are known then, and ranges hold about as many each.
+    """
     df = post.select("term", "doc", "tf")
+    if not post.is_cached and exchanges(post):
+        df = staged(df, "postings")
+        parts = parts or task_count(df)
     df = df.repartitionByRange(parts, "term", "doc") if parts else df.repartitionByRange("term", "doc")
     df.sortWithinPartitions("term", "doc").write.mode(mode).parquet(path)
 

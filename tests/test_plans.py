@@ -146,6 +146,19 @@ def test_a_build_moves_texts_and_not_postings(spark):
     assert len(inspect.exchanges(build)) == 1 and "hashpartitioning(doc" in inspect.exchanges(build)[0]
 
 
+def test_a_build_is_stored_before_its_ranges_are_drawn(spark, tmp_path, monkeypatch):
+    # the pass that draws the ranges reads a table: nothing is counted twice
+    from termdex.sources import index_io
+
+    seen = []
+    monkeypatch.setattr(index_io, "staged", lambda df, name, f=index_io.staged: (seen.append(name), f(df, name))[1])
+    index_io.write_index(postings(_docs(spark)), str(tmp_path / "a"))
+    assert seen == ["postings"]
+    index_io.write_index(spark.read.parquet(str(tmp_path / "a")), str(tmp_path / "b"))
+    assert seen == ["postings"]
+    assert sorted(index_io.read_index(spark, str(tmp_path / "b")).collect()) == sorted(postings(_docs(spark)).collect())
+
+
 def test_tasks_of_a_stored_build_hold_bounded_rows(spark, tmp_path, monkeypatch):
     from termdex.operators import index
 
