@@ -245,6 +245,80 @@ def test_hot_terms_are_bounded(spark, monkeypatch):
     assert search.hot_terms(dfreq, 1).count() <= 3
 
 
+def tables_of_a_shuffled_batch(spark, monkeypatch, post, queries):
+    """The answers of a batch with nothing broadcast, and the tables it stored by name."""
+    from termdex.operators import search
+
+    stored = {}
+    monkeypatch.setattr(search, "staged", lambda df, name, f=search.staged: stored.setdefault(name, f(df, name)))
+    qs = spark.createDataFrame(queries, "query_id bigint, query string")
+    got = search_batch(post, qs, max_broadcast_terms=0, max_broadcast_query_terms=0, max_broadcast_probes=0, salt_rows=25)
+    return got, stored
+
+
+def test_shuffled_batch_asks_each_candidate_for_its_other_words_only(spark, monkeypatch):
+    from termdex.plans import inspect
+
+    docs, queries = batch_frame(spark, random.Random(11))
+    post = postings(spark.createDataFrame(docs, "doc bigint, text string"))
+    got, stored = tables_of_a_shuffled_batch(spark, monkeypatch, post, queries)
+    # candidates and answers do not move by their query, but for the answers of three words and more
+    moved = [x for x in inspect.exchanges(got) if "hashpartitioning(query_id" in x]
+    assert len(moved) == 1 and "salt" not in moved[0]
+    want = sorted((q, d) for q, text in queries for d, words in docs if set(text.lower().split()) <= set(words.split()))
+    assert sorted(map(tuple, got.collect())) == want
+    held = [set(words.split()) for _, words in docs]
+    probes = 0
+    for _, text in queries:
+        words = set(text.lower().split())
+        probes += min(sum(w in h for h in held) for w in words) * max(len(words) - 1, 1)
+    assert stored["probes"].count() == probes
+
+
+def test_shuffled_batch_stores_a_build_once_in_order_of_terms(spark, monkeypatch):
+    docs, queries = batch_frame(spark, random.Random(12), n_docs=50)
+    post = postings(spark.createDataFrame(docs, "doc bigint, text string"))
+    _, stored = tables_of_a_shuffled_batch(spark, monkeypatch, post, queries)
+    assert sorted(stored["build-postings"].collect()) == sorted(post.select("term", "doc").collect())
+    for path in stored["build-postings"].inputFiles():
+        terms = [r.term for r in spark.read.parquet(path).coalesce(1).collect()]
+        assert terms == sorted(terms)
+
+
+def test_shuffled_batch_absorbs_repeats_for_any_number_of_words(spark, monkeypatch):
+    rows = [(w, d) for d in range(40) for w in "abcd" if (d + ord(w)) % 3]
+    post = spark.createDataFrame(rows + rows[::2], "term string, doc bigint")
+    queries = [(1, "a"), (2, "a b"), (3, "a b d"), (4, "a b c d"), (5, "a x")]
+    held = {d: {w for w, e in rows if e == d} for d in range(40)}
+    want = sorted((q, d) for q, text in queries for d in held if set(text.split()) <= held[d])
+    for p in (post, post.repartition(3)):
+        got, _ = tables_of_a_shuffled_batch(spark, monkeypatch, p, queries)
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    import time
+
+    from termdex.session import SHUFFLE_CLEANUP, staged
+
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = files.getAllFiles()
+        return {f for f in (found.apply(k).getName() for k in range(found.size())) if f.startswith("shuffle_")}
+
+    before, was = shuffles(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    df = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    table = staged(df, "test-shuffles")
+    for _ in range(50):
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP, None) == was
+    # the frame can be run again, and other executions keep theirs
+    assert sorted(df.collect()) == sorted(table.collect()) and shuffles() - before
+
+
 def test_null_queries_have_no_answer(spark, hand_post):
     qs = spark.createDataFrame([(1, None), (2, "cloud computing"), (3, None)], "query_id bigint, query string")
     got = sorted(map(tuple, search_batch(hand_post, qs).collect()))
